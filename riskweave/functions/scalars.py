@@ -64,14 +64,18 @@ def fixed_text(value: Column, digits: int) -> Column:
     """Fixed-point text, rounded on the exact binary value as C, Python and JavaScript do.
 
     ``format_string`` rounds the shortest decimal form instead, so 47.15 would give 47.2. The
-    fraction is scaled as a 52-bit integer; ties go to the even digit.
+    fraction is scaled as a 60-bit integer in two halves; ties go to the even digit.
     """
     size = F.abs(value)
     whole = F.floor(size).cast("long")
-    scaled = ((size - whole) * F.lit(2.0**52)).cast("long") * (10**digits)
-    digit = F.shiftright(scaled, 52)
-    rest = scaled.bitwiseAND(F.lit(2**52 - 1))
-    up = (rest > 2**51) | ((rest == 2**51) & (digit % 2 == 1))
+    bits = ((size - whole) * F.lit(2.0**60)).cast("long")
+    low_mask = F.lit(2**30 - 1)
+    low = bits.bitwiseAND(low_mask) * 10**digits
+    high = F.shiftright(bits, 30) * 10**digits + F.shiftright(low, 30)
+    digit = F.shiftright(high, 30)
+    rest = F.shiftleft(high.bitwiseAND(low_mask), 30).bitwiseOR(low.bitwiseAND(low_mask))
+    half = F.lit(2**59)
+    up = (rest > half) | ((rest == half) & (digit % 2 == 1))
     units = whole * (10**digits) + digit + up.cast("long")
     body = F.concat(
         F.floor(units / 10**digits).cast("long").cast("string"),

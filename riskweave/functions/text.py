@@ -63,9 +63,10 @@ def run_lengths(ordered: Column, ends: Column) -> Column:
 def keyword_hits(text: Column, keywords: Sequence[str], whole_word: bool = False) -> Column:
     """Keywords that occur in the lower-cased text, in list order."""
     lowered = F.lower(text)
-    listed = F.array(*[F.lit(k) for k in keywords])
-    if whole_word:
-        return F.filter(
-            listed, lambda k: F.regexp_like(lowered, F.concat(F.lit(r"\b\Q"), k, F.lit(r"\E\b")))
-        )
-    return F.filter(listed, lambda k: F.contains(lowered, k))
+
+    def found(keyword: str) -> Column:
+        if whole_word:
+            return F.regexp_like(lowered, F.lit(rf"\b\Q{keyword}\E\b"))
+        return F.contains(lowered, F.lit(keyword))
+
+    return F.array_compact(F.array(*[F.when(found(k), F.lit(k)) for k in keywords]))

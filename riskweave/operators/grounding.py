@@ -12,7 +12,7 @@ from riskweave.functions import text as tx
 
 def term_rows(df: DataFrame, row_id: str, text: str, pattern: str = fixed.TOKEN_PATTERN) -> DataFrame:
     """Rows (id, term, tf), counted inside each row so that no shuffle is needed."""
-    words = df.select(row_id, F.array_sort(tx.tokens(F.col(text), pattern)).alias("_words"))
+    words = df.select(row_id, F.sort_array(tx.tokens(F.col(text), pattern)).alias("_words"))
     runs = words.withColumn("_ends", tx.run_ends(F.col("_words")))
     pairs = runs.select(row_id, F.explode(tx.run_lengths(F.col("_words"), F.col("_ends"))).alias("_t"))
     return pairs.select(row_id, "_t.term", "_t.tf")

@@ -60,6 +60,7 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     method: str = "linear",
+    bucket_rows: int = 1_000_000,
 ) -> dict[tuple, list[float]]:
     """Exact quantiles per group: key values -> one number per probability.
 
@@ -69,7 +70,8 @@ def exact_quantiles(
     probability come back to the caller, whatever the number of rows.
 
     At most three scans, each with partial aggregation: coarse buckets, parts of the buckets
-    that hold a wanted rank, and the distinct values of the parts that still hold several.
+    that hold a wanted rank, and the distinct values of the parts that still hold several. The
+    second scan is left out when no such bucket has more than ``bucket_rows`` rows.
     """
     if method not in ("linear", "discrete"):
         raise ValueError(f"unknown quantile method {method}")
@@ -124,31 +126,36 @@ def exact_quantiles(
     spans = {(tuple(h[k] for k in keys), h["_b"]): (h["_lo"], h["_hi"]) for h in hits}
     left = settle(hits, ["_b"])
 
-    if left:
+    near, place = rows, [*keys, "_b"]
+
+    def asked(wants: list[_Want]) -> DataFrame:
+        ddl = ", ".join([*(f"{b} long" for b in place[len(keys) :]), want_ddl])
+        return _local(
+            spark, df, keys, ddl,
+            [(*w.key, *w.bucket, w.prob, w.end, w.rank, w.weight, w.before) for w in wants],
+        )
+
+    def resolve(buckets: DataFrame, name: str, wants: list[_Want]) -> list:
+        """Ranks of the wants located in finer buckets of each place."""
+        earlier = F.coalesce(F.sum("_n").over(_preceding(place, name)), F.lit(0))
+        placed = buckets.withColumn("_in", earlier).join(asked(wants), place)
+        placed = placed.withColumn("before", F.col("_start") + F.col("_in"))
+        return holding(placed, F.col("rank"), F.col("before")).collect()
+
+    if left and max(h["_n"] for h in hits) > bucket_rows:
         cuts = {(*w.key, *w.bucket, *spans[w.key, w.bucket[0]]) for w in left}
         cut = _local(spark, df, keys, "_b long, _lo double, _hi double", cuts)
         part = _part(F.col("_v"), F.col("_lo"), F.col("_hi"), F.lit(_PARTS))
-        near = rows.join(cut, [*keys, "_b"]).select(*keys, "_b", part.alias("_p"), "_v")
-        fine = near.groupBy(*keys, "_b", "_p").agg(*numbers)
-        fine = fine.withColumn("_in", F.coalesce(F.sum("_n").over(_preceding([*keys, "_b"], "_p")), F.lit(0)))
-        asked = _local(
-            spark, df, keys, f"_b long, {want_ddl}",
-            [(*w.key, *w.bucket, w.prob, w.end, w.rank, w.weight, w.before) for w in left],
-        )
-        fine = fine.join(asked, [*keys, "_b"]).withColumn("before", F.col("_start") + F.col("_in"))
-        left = settle(holding(fine, F.col("rank"), F.col("before")).collect(), ["_b", "_p"])
+        near = rows.join(cut, place).select(*place, part.alias("_p"), "_v")
+        parts = near.groupBy(*place, "_p").agg(*numbers)
+        left = settle(resolve(parts, "_p", left), ["_b", "_p"])
+        place = [*place, "_p"]
 
     if left:
-        places = _local(spark, df, keys, "_b long, _p long", {(*w.key, *w.bucket) for w in left})
-        asked = _local(
-            spark, df, keys, f"_b long, _p long, {want_ddl}",
-            [(*w.key, *w.bucket, w.prob, w.end, w.rank, w.weight, w.before) for w in left],
-        )
-        place = [*keys, "_b", "_p"]
+        ddl = ", ".join(f"{b} long" for b in place[len(keys) :])
+        places = _local(spark, df, keys, ddl, {(*w.key, *w.bucket) for w in left})
         values = near.join(places, place).groupBy(*place, "_v").agg(*numbers)
-        values = values.withColumn("_in", F.coalesce(F.sum("_n").over(_preceding(place, "_v")), F.lit(0)))
-        values = values.join(asked, place).withColumn("before", F.col("_start") + F.col("_in"))
-        settle(holding(values, F.col("rank"), F.col("before")).collect(), ["_b", "_p"])
+        settle(resolve(values, "_v", left), place[len(keys) :])
 
     result: dict[tuple, list[float]] = {}
     for key in {k for k, _, _ in found}:

@@ -54,12 +54,12 @@ LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount"]
 
 @query
 def ingest_paragraphs(spark, sf_dir):
-    return files.split_paragraphs(table(spark, sf_dir, "documents"), ["doc_id"], delimiter="\n", marker=",")
+    return files.split_paragraphs(fx.documents(spark, sf_dir), ["doc_id"], delimiter="\n", marker=",")
 
 
 @query
 def paragraph_words(spark, sf_dir):
-    paragraphs = files.split_paragraphs(table(spark, sf_dir, "documents"), ["doc_id"], delimiter="\n", marker=",")
+    paragraphs = files.split_paragraphs(fx.documents(spark, sf_dir), ["doc_id"], delimiter="\n", marker=",")
     return profile.aggregate_by_name(paragraphs, {"word_count": "sum", "char_count": "sum", "paragraph_id": "max"})
 
 
@@ -194,9 +194,8 @@ def silver_contract(spark, sf_dir):
 
 @query
 def dist_compare(spark, sf_dir):
-    return aggregates.compare_distributions(
-        fx.silver_home(spark, sf_dir), fx.silver_batch(spark, sf_dir), FEATURES, exact_median=True, digits=3
-    )
+    home, batch = fx.silver_home(spark, sf_dir), fx.stored(fx.silver_batch(spark, sf_dir), "silver_batch")
+    return aggregates.compare_distributions(home, batch, FEATURES, exact_median=True, digits=3)
 
 
 # Silver
@@ -558,7 +557,7 @@ def context_blocks(spark, sf_dir):
 @query
 def prompt_rows(spark, sf_dir):
     """Prompt per document: its text and its two best policy passages."""
-    docs = table(spark, sf_dir, "documents")
+    docs = fx.documents(spark, sf_dir)
     passages = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("passage_id"), "text")
     hits = grounding.top_passages(docs, "doc_id", "text", fx.policy_index(spark, sf_dir))
     context = retrieval.context_blocks(hits.withColumnRenamed("doc_id", "query_id"), passages)
@@ -568,7 +567,7 @@ def prompt_rows(spark, sf_dir):
 
 @query
 def top_passages(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = fx.documents(spark, sf_dir)
     hits = grounding.top_passages(docs, "doc_id", "text", fx.policy_index(spark, sf_dir))
     return hits.withColumn("similarity", F.round("similarity", 4))
 
@@ -601,7 +600,7 @@ def grounding_score(spark, sf_dir):
 @query
 def compliance_hits(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    docs = table(spark, sf_dir, "documents").select(
+    docs = fx.documents(spark, sf_dir).select(
         F.col("doc_id").alias("conv_id"), F.lit(-1).cast("long").alias("turn"), "text"
     )
     hits = governance.compliance_hits(F.col("text"), fx.DOCUMENT_KEYWORDS)

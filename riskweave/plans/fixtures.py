@@ -11,6 +11,7 @@ from riskweave.functions import fixed
 from riskweave.functions import scalars as sc
 from riskweave.operators import attribution, grounding, impute, silver
 from riskweave.sources import tables
+from riskweave.sources.files import widen
 from riskweave.sources.shared import fresh_path
 
 RUN_AT = datetime(2026, 1, 1)
@@ -37,6 +38,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return widen(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def home_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Baseline loans: one per order."""
     c = F.col
@@ -139,6 +144,6 @@ def policy_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def grounded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as explanations, with their support in the policy corpus."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("applicant_id"), "text")
+    docs = documents(spark, sf_dir).select(F.col("doc_id").alias("applicant_id"), "text")
     scores = grounding.grounding_scores(docs, "applicant_id", "text", policy_index(spark, sf_dir))
     return docs.join(scores, "applicant_id")
