@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from riskweave.functions import fixed
 from riskweave.functions import scalars as sc
 from riskweave.operators.ranking import exact_quantiles
 from riskweave.operators.silver import drop_incomplete
+from riskweave.sources.local import small_frame
 
 
 def _complete(df: DataFrame, features: list[str]) -> DataFrame:
@@ -31,10 +31,10 @@ def fit_edges(baseline: DataFrame, features: list[str], bins: int = fixed.PSI_BI
     return {f: sorted(set(cuts.get((f,), [])))[1:-1] for f in features}
 
 
-def bin_index(value: Column, inner_edges: list[float]) -> Column:
+def bin_index(feature: str, inner_edges: list[float]) -> Column:
     """Right-closed bin of a value: the number of inner edges strictly below it."""
-    under = [(F.lit(e) < value).cast("int") for e in inner_edges]
-    return reduce(lambda a, b: a + b, under, F.lit(0))
+    under = [f"CAST(CAST('{edge!r}' AS DOUBLE) < `{feature}` AS INT)" for edge in inner_edges]
+    return F.expr(" + ".join(["0", *under]))
 
 
 def drift_histogram(baseline: DataFrame, incoming: DataFrame, edges: Mapping[str, list[float]]) -> DataFrame:
@@ -46,13 +46,13 @@ def drift_histogram(baseline: DataFrame, incoming: DataFrame, edges: Mapping[str
     features = list(edges)
 
     def placed(df: DataFrame, expected: int, actual: int) -> DataFrame:
-        bins = _complete(df, features).select(*[bin_index(F.col(f), edges[f]).alias(f) for f in features])
+        bins = _complete(df, features).select(*[bin_index(f, edges[f]).alias(f) for f in features])
         return bins.unpivot([], features, "feature_name", "bin").select(
             "feature_name", "bin", F.lit(expected).alias("e"), F.lit(actual).alias("a")
         )
 
     slots = [(f, b, 0, 0) for f in features for b in range(len(edges[f]) + 1)]
-    grid = baseline.sparkSession.createDataFrame(slots, "feature_name string, bin int, e int, a int")
+    grid = small_frame(baseline.sparkSession, slots, "feature_name string, bin int, e int, a int")
     counts = (
         placed(baseline, 1, 0).unionByName(placed(incoming, 0, 1)).unionByName(grid)
         .groupBy("feature_name", "bin")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskweave.functions import fixed
-from riskweave.operators.ranking import running_before
+from riskweave.operators.ranking import fit_splitters, running_before
 
 
 def predicted_class(probability: Column, threshold: float = fixed.DECISION_THRESHOLD) -> Column:
@@ -56,16 +56,17 @@ def classification_metrics(
     )
 
 
-def roc_auc(scores: DataFrame, digits: int = 6) -> DataFrame:
+def roc_auc(scores: DataFrame, digits: int = 6, rows_per_part: int = 250_000) -> DataFrame:
     """Exact area under the curve per model; tied scores count half.
 
     Scores are first reduced to (positives, negatives) per distinct score. NULL when a model
-    has seen only one class.
+    has seen only one class. ``rows_per_part`` sets how finely the score axis is cut.
     """
+    splitters = fit_splitters(scores, "score", rows_per_part)
     counts = scores.groupBy("model", "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
-    ranked = running_before(counts, ["model"], "score", ["neg"])
+    ranked = running_before(counts, ["model"], "score", ["neg"], splitters)
     wins = F.col("pos") * (F.col("neg_before") + F.col("neg") / 2)
     sums = ranked.groupBy("model").agg(
         F.sum(wins).alias("w"), F.sum("pos").cast("double").alias("p"), F.sum("neg").cast("double").alias("n")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions import fixed
+from riskweave.sources.local import small_frame
 
 
 def with_class_weight(df: DataFrame, label: str, scheme: str = "balanced") -> DataFrame:
@@ -63,6 +64,6 @@ def importances(model: PipelineModel, features: list[str], spark) -> DataFrame:
     last = model.stages[-1]
     values = last.featureImportances if hasattr(last, "featureImportances") else abs(last.coefficients.toArray())
     rows = [(f, float(v)) for f, v in zip(features, values)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
+    return small_frame(spark, rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )

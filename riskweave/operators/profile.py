@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from riskweave.functions.scalars import is_missing
+from riskweave.sources.local import small_frame
 
 
 def table_size(df: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def schema_diff(left: DataFrame, right: DataFrame, required: list[str] = ()) ->
     rows = "column_name string, data_type string"
 
     def listing(df: DataFrame) -> DataFrame:
-        return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema], rows)
+        return small_frame(spark, [(f.name, f.dataType.simpleString()) for f in df.schema], rows)
 
     a, b = listing(left).alias("a"), listing(right).alias("b")
     must = F.coalesce(F.col("a.column_name"), F.col("b.column_name")).isin(list(required))

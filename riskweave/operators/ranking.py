@@ -1,23 +1,22 @@
-"""Exact order statistics without a global sort and without an unbounded group.
-
-Ranks over a whole table are found in two refinement steps. A monotone logarithmic bucket
-splits the value axis first; each bucket is then cut into equal-width parts between its own
-minimum and maximum. Both bucketings are pure functions of the data, so a recomputed task gives
-the same answer. Only small histograms are ordered in one place.
-"""
+"""Exact order statistics without a global sort and without an unbounded group."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+from riskweave.sources.local import small_frame
+
 _PER_E_FOLD = 64
 _PARTS = 1024
+_MAX_REFINEMENTS = 4
+_MAX_SPLITTERS = 10_000
 
 
 def _coarse(value: Column) -> Column:
@@ -25,10 +24,10 @@ def _coarse(value: Column) -> Column:
     return F.floor(F.signum(value) * size * _PER_E_FOLD).cast("long")
 
 
-def _part(value: Column, low: Column, high: Column, parts: Column) -> Column:
+def _part(value: Column, low: Column, high: Column) -> Column:
     """Index of the equal-width part of [low, high] that holds the value."""
-    place = F.floor((value - low) / (high - low) * parts).cast("long")
-    return F.when(high > low, F.least(place, parts - 1)).otherwise(F.lit(0).cast("long"))
+    place = F.floor((value - low) / (high - low) * _PARTS).cast("long")
+    return F.when(high > low, F.least(place, F.lit(_PARTS - 1))).otherwise(F.lit(0).cast("long"))
 
 
 def _preceding(keys: Sequence[str], *order: str):
@@ -36,7 +35,7 @@ def _preceding(keys: Sequence[str], *order: str):
 
 
 class _Want(NamedTuple):
-    """A zero-based rank still to be resolved, and what is known about where it lies."""
+    """A zero-based rank still to be resolved, and the bucket known to hold it."""
 
     key: tuple
     prob: int
@@ -45,13 +44,16 @@ class _Want(NamedTuple):
     weight: float
     bucket: tuple
     before: int
+    rows: int
+    low: float
+    high: float
 
 
 def _local(spark: SparkSession, df: DataFrame, keys: Sequence[str], extra: str, rows) -> DataFrame:
     schema = StructType([df.schema[k] for k in keys])
     for field in StructType.fromDDL(extra):
         schema = schema.add(field)
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    return F.broadcast(small_frame(spark, rows, schema))
 
 
 def exact_quantiles(
@@ -69,9 +71,11 @@ def exact_quantiles(
     have few combinations (feature names, classes): per combination two ranks for each
     probability come back to the caller, whatever the number of rows.
 
-    At most three scans, each with partial aggregation: coarse buckets, parts of the buckets
-    that hold a wanted rank, and the distinct values of the parts that still hold several. The
-    second scan is left out when no such bucket has more than ``bucket_rows`` rows.
+    Every scan aggregates before it shuffles. The first counts logarithmic buckets. While a
+    bucket with a wanted rank has more than ``bucket_rows`` rows, a scan cuts it into equal parts
+    between its own minimum and maximum, so a crowded stretch of the axis is split again. The
+    last scan counts the distinct values of what is left. Buckets are pure functions of the
+    data: a recomputed task gives the same answer.
     """
     if method not in ("linear", "discrete"):
         raise ValueError(f"unknown quantile method {method}")
@@ -82,19 +86,6 @@ def exact_quantiles(
     numbers = [F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
     found: dict[tuple, float] = {}
 
-    def ranks(p: float, i: int) -> list[Column]:
-        total = F.col("_total")
-        if method == "discrete":
-            rank = F.greatest(F.ceil(F.lit(p) * total) - 1, F.lit(0)).cast("long")
-            return [F.struct(F.lit(i).alias("prob"), F.lit(0).alias("end"), rank.alias("rank"), F.lit(0.0).alias("w"))]
-        position = F.lit(p) * (total - 1)
-        low = F.floor(position).cast("long")
-        high = F.least(low + 1, total - 1)
-        return [
-            F.struct(F.lit(i).alias("prob"), F.lit(e).alias("end"), r.alias("rank"), (position - low).alias("w"))
-            for e, r in enumerate((low, high))
-        ]
-
     def holding(buckets: DataFrame, rank: Column, before: Column) -> DataFrame:
         return buckets.where((rank >= before) & (rank < before + F.col("_n")))
 
@@ -103,7 +94,10 @@ def exact_quantiles(
         open_wants = []
         for h in hits:
             key = tuple(h[k] for k in keys)
-            want = _Want(key, h["prob"], h["end"], h["rank"], h["w"], tuple(h[b] for b in bucket_names), h["before"])
+            bucket = tuple(h[b] for b in bucket_names)
+            want = _Want(
+                key, h["prob"], h["end"], h["rank"], h["w"], bucket, h["before"], h["_n"], h["_lo"], h["_hi"]
+            )
             weights[key, want.prob] = want.weight
             if h["_lo"] == h["_hi"]:
                 found[key, want.prob, want.end] = h["_lo"]
@@ -120,10 +114,20 @@ def exact_quantiles(
         F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
         F.coalesce(F.sum("_n").over(_preceding(keys, "_b")), F.lit(0)).alias("before"),
     )
-    wanted = F.explode(F.array(*[r for i, p in enumerate(probs) for r in ranks(p, i)])).alias("_w")
-    exploded = coarse.select(*keys, "_b", "_n", "_lo", "_hi", "before", wanted).select("*", "_w.*")
+    # Each probability asks for one rank, or for the two neighbours of its position.
+    listed = ", ".join(f"CAST({p!r} AS DOUBLE)" for p in probs)
+    exploded = coarse.select("*", F.posexplode(F.expr(f"array({listed})")).alias("prob", "p"))
+    last = F.col("_total") - 1
+    if method == "discrete":
+        rank = F.greatest(F.ceil(F.col("p") * F.col("_total")) - 1, F.lit(0)).cast("long")
+        exploded = exploded.withColumns({"end": F.lit(0), "rank": rank, "w": F.lit(0.0)})
+    else:
+        exploded = exploded.withColumns({"end": F.explode(F.expr("array(0, 1)")), "w": F.col("p") * last})
+        floor = F.floor("w").cast("long")
+        exploded = exploded.withColumns(
+            {"rank": F.least(floor + F.col("end"), last), "w": F.col("w") - floor}
+        )
     hits = holding(exploded, F.col("rank"), F.col("before")).collect()
-    spans = {(tuple(h[k] for k in keys), h["_b"]): (h["_lo"], h["_hi"]) for h in hits}
     left = settle(hits, ["_b"])
 
     near, place = rows, [*keys, "_b"]
@@ -142,14 +146,17 @@ def exact_quantiles(
         placed = placed.withColumn("before", F.col("_start") + F.col("_in"))
         return holding(placed, F.col("rank"), F.col("before")).collect()
 
-    if left and max(h["_n"] for h in hits) > bucket_rows:
-        cuts = {(*w.key, *w.bucket, *spans[w.key, w.bucket[0]]) for w in left}
-        cut = _local(spark, df, keys, "_b long, _lo double, _hi double", cuts)
-        part = _part(F.col("_v"), F.col("_lo"), F.col("_hi"), F.lit(_PARTS))
-        near = rows.join(cut, place).select(*place, part.alias("_p"), "_v")
-        parts = near.groupBy(*place, "_p").agg(*numbers)
-        left = settle(resolve(parts, "_p", left), ["_b", "_p"])
-        place = [*place, "_p"]
+    for level in range(_MAX_REFINEMENTS):
+        if not any(w.rows > bucket_rows for w in left):
+            break
+        name = f"_p{level}"
+        ddl = ", ".join([*(f"{b} long" for b in place[len(keys) :]), "_lo double, _hi double"])
+        cut = _local(spark, df, keys, ddl, {(*w.key, *w.bucket, w.low, w.high) for w in left})
+        part = _part(F.col("_v"), F.col("_lo"), F.col("_hi"))
+        near = near.join(cut, place).select(*place, part.alias(name), "_v")
+        parts = near.groupBy(*place, name).agg(*numbers)
+        left = settle(resolve(parts, name, left), [*place[len(keys) :], name])
+        place = [*place, name]
 
     if left:
         ddl = ", ".join(f"{b} long" for b in place[len(keys) :])
@@ -167,48 +174,52 @@ def exact_quantiles(
     return result
 
 
+def fit_splitters(df: DataFrame, value: str, rows_per_part: int = 250_000) -> list[float]:
+    """Cut points that divide the value axis into stretches of similar row counts.
+
+    One scan with a mergeable sketch; at most 10 000 numbers whatever the table size.
+    """
+    v = F.col(value).cast("double")
+    rows = df.agg(F.count(v).alias("n")).first()["n"]
+    parts = min(-(-rows // rows_per_part), _MAX_SPLITTERS)
+    if parts < 2:
+        return []
+    probs = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    cuts = df.agg(F.percentile_approx(v, probs, 10 * parts).alias("c")).first()["c"]
+    return sorted(set(cuts))
+
+
 def running_before(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    measures: list[str],
-    rows_per_part: int = 250_000,
+    df: DataFrame, keys: list[str], value: str, measures: list[str], splitters: list[float]
 ) -> DataFrame:
     """Add ``<measure>_before``: the sum over all rows of the group with a smaller value.
 
-    ``df`` holds one row per (keys, value): aggregate duplicates first. The number of parts of a
-    bucket grows with its row count, so a crowded stretch of the axis is spread over many tasks.
+    ``df`` holds one row per (keys, value): aggregate duplicates first, so that a value shared
+    by many rows is one row here. Stretches between the splitters are summed on their own; the
+    totals of the few thousand stretches give their offsets. Any splitters give the same result;
+    none means that the whole axis is one stretch.
     """
-    rows = df.withColumn("_b", _coarse(F.col(value).cast("double")))
-    coarse = rows.groupBy(*keys, "_b").agg(
-        F.count("*").alias("_n"),
-        F.min(F.col(value).cast("double")).alias("_lo"),
-        F.max(F.col(value).cast("double")).alias("_hi"),
-    )
-    coarse = coarse.select(
-        *keys, "_b", "_lo", "_hi", F.ceil(F.col("_n") / rows_per_part).cast("long").alias("_parts")
-    )
-    part = _part(F.col(value).cast("double"), F.col("_lo"), F.col("_hi"), F.col("_parts"))
-    placed = rows.join(coarse, [*keys, "_b"]).withColumn("_p", part).drop("_lo", "_hi", "_parts")
-    offsets = placed.groupBy(*keys, "_b", "_p").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
-    over_parts = _preceding(keys, "_b", "_p")
+    zero = F.lit(0)
+    if not splitters:
+        before = {f"{m}_before": F.coalesce(F.sum(m).over(_preceding(keys, value)), zero) for m in measures}
+        return df.select("*", *[c.alias(n) for n, c in before.items()])
+    bounds = [-float("inf"), *splitters, float("inf")]
+    stretch = Bucketizer(splits=bounds, inputCol="_number", outputCol="_p", handleInvalid="keep")
+    placed = stretch.transform(df.withColumn("_number", F.col(value).cast("double"))).drop("_number")
+    offsets = placed.groupBy(*keys, "_p").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
+    over_parts = _preceding(keys, "_p")
     offsets = offsets.select(
-        *keys, "_b", "_p", *[F.sum(f"_t_{m}").over(over_parts).alias(f"_o_{m}") for m in measures]
+        *keys, "_p", *[F.sum(f"_t_{m}").over(over_parts).alias(f"_o_{m}") for m in measures]
     )
-    inside = _preceding([*keys, "_b", "_p"], value)
+    inside = _preceding([*keys, "_p"], value)
     local = placed.select("*", *[F.sum(m).over(inside).alias(f"_i_{m}") for m in measures])
-    joined = local.join(offsets, [*keys, "_b", "_p"])
-    sums = {
-        f"{m}_before": F.coalesce(F.col(f"_o_{m}"), F.lit(0)) + F.coalesce(F.col(f"_i_{m}"), F.lit(0))
-        for m in measures
-    }
+    joined = local.join(offsets, [*keys, "_p"])
+    sums = {f"{m}_before": F.coalesce(f"_o_{m}", zero) + F.coalesce(f"_i_{m}", zero) for m in measures}
     return joined.select(*df.columns, *[c.alias(n) for n, c in sums.items()])
 
 
-def with_ordinal(df: DataFrame, order: str, name: str) -> DataFrame:
+def with_ordinal(df: DataFrame, order: str, name: str, rows_per_part: int = 250_000) -> DataFrame:
     """Zero-based position of each row in the order of a unique numeric column."""
-    ones = df.select(F.lit(0).alias("_g"), F.col(order), F.lit(1).cast("long").alias("_one"))
-    numbered = running_before(ones, ["_g"], order, ["_one"]).select(
-        order, F.col("_one_before").alias(name)
-    )
-    return df.join(numbered, order)
+    ones = df.select("*", F.lit(0).alias("_g"), F.lit(1).cast("long").alias("_one"))
+    numbered = running_before(ones, ["_g"], order, ["_one"], fit_splitters(df, order, rows_per_part))
+    return numbered.drop("_g", "_one").withColumnRenamed("_one_before", name)

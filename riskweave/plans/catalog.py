@@ -30,6 +30,7 @@ from riskweave.operators import (
 from riskweave.plans import fixtures as fx
 from riskweave.plans.fixtures import table
 from riskweave.sources import files, tables
+from riskweave.sources.local import small_frame
 from riskweave.sources.shared import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,7 +296,7 @@ def _line_sides(spark, sf_dir, shifted: bool = False):
 def drift_edges(spark, sf_dir):
     edges = drift.fit_edges(_line_sides(spark, sf_dir)[0], LINE_FEATURES)
     rows = [(f, i, round(e, 6)) for f, cuts in edges.items() for i, e in enumerate(cuts)]
-    return spark.createDataFrame(rows, "feature_name string, edge_no int, edge double")
+    return small_frame(spark, rows, "feature_name string, edge_no int, edge double")
 
 
 @query

@@ -24,11 +24,12 @@ def pair_auc(labels, scores):
     return ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
 
 
-def test_auc_equals_pair_counting(spark):
+@pytest.mark.parametrize("rows_per_part", [250_000, 40])
+def test_auc_equals_pair_counting(spark, rows_per_part):
     rng = np.random.default_rng(2)
     y, s = rng.integers(0, 2, 300), np.round(rng.random(300), 1)
     frame = pd.concat([pd.DataFrame({"model": m, "label": y, "score": v}) for m, v in (("plain", s), ("flipped", -s))])
-    got = {r["model"]: r["roc_auc"] for r in metrics.roc_auc(spark.createDataFrame(frame)).collect()}
+    got = {r["model"]: r["roc_auc"] for r in metrics.roc_auc(spark.createDataFrame(frame), rows_per_part=rows_per_part).collect()}
     assert got["plain"] == pytest.approx(pair_auc(y, s), abs=1e-6)
     assert got["flipped"] == pytest.approx(1 - got["plain"], abs=2e-6)
 

@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from riskweave.operators.ranking import exact_quantiles, running_before, with_ordinal
+from riskweave.operators.ranking import exact_quantiles, fit_splitters, running_before, with_ordinal
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
 
@@ -17,6 +17,7 @@ def samples():
         "pair": np.array([1.0, 4.0]),
         "single": np.array([-3.25]),
         "with_infinity": np.array([-np.inf, 1.0, 2.0, 3.0, np.inf]),
+        "narrow_clump": np.concatenate([1 + rng.random(2500) * 1e-9, [-1e6, 1e6]]),
         "big_ids": rng.integers(0, 2**52, 2000).astype(float),
     }
 
@@ -63,13 +64,17 @@ def test_running_before_equals_cumulative_sum(spark, rows_per_part):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"g": rng.choice(["a", "b"], 400), "v": np.round(rng.normal(0, 50, 400), 1)})
     pdf = pdf.drop_duplicates().assign(n=lambda d: rng.integers(1, 9, len(d)))
-    got = running_before(spark.createDataFrame(pdf).repartition(6), ["g"], "v", ["n"], rows_per_part)
+    df = spark.createDataFrame(pdf).repartition(6)
+    splitters = fit_splitters(df, "v", rows_per_part)
+    assert bool(splitters) == (rows_per_part == 3)
+    got = running_before(df, ["g"], "v", ["n"], splitters)
     expected = pdf.sort_values(["g", "v"]).assign(n_before=lambda d: d.groupby("g")["n"].cumsum() - d["n"])
     got = got.toPandas().sort_values(["g", "v"])
     assert got["n_before"].tolist() == expected["n_before"].tolist()
 
 
-def test_ordinal_counts_from_zero(spark):
+@pytest.mark.parametrize("rows_per_part", [250_000, 2])
+def test_ordinal_counts_from_zero(spark, rows_per_part):
     ids = [5, -3, 2**59, 2**59 + 1, 0]
-    df = with_ordinal(spark.createDataFrame([(i,) for i in ids], "id long"), "id", "n")
+    df = with_ordinal(spark.createDataFrame([(i,) for i in ids], "id long"), "id", "n", rows_per_part)
     assert {r["id"]: r["n"] for r in df.collect()} == {i: n for n, i in enumerate(sorted(ids))}
