@@ -29,6 +29,7 @@ from riskweave.operators import (
 )
 from riskweave.plans import fixtures as fx
 from riskweave.plans.fixtures import table
+from riskweave.plans.lifecycle import Lifecycle, batch_key
 from riskweave.sources import files, tables
 from riskweave.sources.local import small_frame
 from riskweave.sources.shared import fresh_path
@@ -482,6 +483,25 @@ def retrain_loop(spark, sf_dir):
     return kept.withColumn("active_version", version)
 
 
+@query
+def model_lifecycle(spark, sf_dir):
+    """All steps from raw loans to the audit table, through stored tables."""
+    steps = Lifecycle(
+        spark,
+        fresh_path(spark, "lifecycle"),
+        "run-1",
+        fx.RUN_AT.isoformat(),
+        {"logistic": {"maxIter": 50}, "forest": SMALL_FOREST, "boosting": SMALL_BOOSTING},
+    )
+    return steps.run(
+        fx.home_like(spark, sf_dir),
+        fx.batch_like(spark, sf_dir),
+        batch_key("row_key"),
+        table(spark, sf_dir, "benchmark"),
+        passage_id="item_id",
+    )
+
+
 # Explanation
 
 
