@@ -29,7 +29,7 @@ from riskweave.operators import (
 )
 from riskweave.plans import fixtures as fx
 from riskweave.plans.fixtures import table
-from riskweave.plans.lifecycle import Lifecycle, batch_key
+from riskweave.plans.lifecycle import Lifecycle
 from riskweave.sources import files, tables
 from riskweave.sources.local import small_frame
 from riskweave.sources.shared import fresh_path
@@ -496,7 +496,6 @@ def model_lifecycle(spark, sf_dir):
     return steps.run(
         fx.home_like(spark, sf_dir),
         fx.batch_like(spark, sf_dir),
-        batch_key("row_key"),
         table(spark, sf_dir, "benchmark"),
         passage_id="item_id",
     )

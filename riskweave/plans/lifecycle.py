@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions import fixed
-from riskweave.functions import scalars as sc
 from riskweave.operators import (
     attribution,
     audit,
@@ -65,8 +64,13 @@ class Lifecycle:
     def append(self, df: DataFrame, name: str) -> None:
         tables.append_history(df, self.path(name), self.run_id, self.run_at)
 
-    def align(self, home: DataFrame, batch: DataFrame, batch_id: Column) -> None:
-        """Both sources on the shared schema, imputed and filtered."""
+    def align(self, home: DataFrame, batch: DataFrame, batch_id: Column | None = None) -> None:
+        """Both sources on the shared schema, imputed and filtered.
+
+        ``batch_id`` must be unique per row; later steps join on it. Without one, rows get a
+        generated number, which is fixed from here on because the table is stored.
+        """
+        batch_id = F.monotonically_increasing_id() if batch_id is None else batch_id
         self.write(silver.silver_home(home), "projected_home")
         projected = self.read("projected_home")
         filled = impute.impute(projected, impute.fit_medians(projected, fixed.MEDIAN_FEATURES))
@@ -171,16 +175,19 @@ class Lifecycle:
         self.write(audited, "audit_table")
         return self.read("audit_table")
 
-    def run(self, home: DataFrame, batch: DataFrame, batch_id: Column, policy: DataFrame, **policy_columns) -> DataFrame:
+    def run(
+        self,
+        home: DataFrame,
+        batch: DataFrame,
+        policy: DataFrame,
+        batch_id: Column | None = None,
+        passage_id: str = "paragraph_id",
+        text: str = "text",
+    ) -> DataFrame:
         self.align(home, batch, batch_id)
         self.train()
         if self.monitor():
             self.retrain()
         self.explain()
-        self.ground(policy, **policy_columns)
+        self.ground(policy, passage_id, text)
         return self.assemble()
-
-
-def batch_key(*columns: str) -> Column:
-    """Stable applicant id from the natural key of a batch row."""
-    return sc.stable_id(*[F.col(c) for c in columns])

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from riskweave.plans import fixtures as fx
-from riskweave.plans.lifecycle import COMPARISON_SCHEMA, Lifecycle, batch_key
+from riskweave.plans.lifecycle import COMPARISON_SCHEMA, Lifecycle
 from riskweave.sources.shared import fresh_path
 from riskweave.sources.tables import latest_run
 
@@ -13,7 +13,7 @@ def test_steps_hand_over_through_tables(spark):
     steps = Lifecycle(spark, fresh_path(spark, "lifecycle"), "run-1", "2026-01-01", SMALL)
     batch = fx.batch_like(spark, SF_DIR)
     audit = steps.run(
-        fx.home_like(spark, SF_DIR), batch, batch_key("row_key"), fx.table(spark, SF_DIR, "benchmark"), passage_id="item_id"
+        fx.home_like(spark, SF_DIR), batch, fx.table(spark, SF_DIR, "benchmark"), passage_id="item_id"
     )
     assert audit.count() == batch.count() == audit.select("applicant_id").distinct().count()
     assert audit.where(F.col("shap_summary").contains("primarily driven UP")).count() == audit.count()
