@@ -1,6 +1,31 @@
 """DuckDB statements for those queries of this package that SQL can express at a bearable cost."""
 
 ORACLES: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        g AS (SELECT html, max(page_id) AS last FROM p GROUP BY html),
+        h AS (SELECT page_id, last, strlen(html) AS payload_bytes, sha1(html) || '0' AS hex FROM p JOIN g USING (html))
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((('0x' || substr(hex, (5 * i) // 4 + 1, 2))::INT >> (3 - (5 * i) % 4)) & 31) + 1, 1)), '') AS payload_digest,
+               CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> last THEN last END AS refers_to
+        FROM h""",
+    "op2_decontamination": r"""
+        WITH item_words AS (
+            SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\x{80}-\x{BF}\x{2000}-\x{206F}\x{3000}]+'), lambda w: w <> '') AS w FROM benchmark),
+        item AS (SELECT item_id, w, least(5, len(w)) AS k FROM item_words WHERE len(w) > 0),
+        item_shingle AS (SELECT DISTINCT item_id, k, s FROM (
+            SELECT item_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s FROM item)),
+        doc AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\x{80}-\x{BF}\x{2000}-\x{206F}\x{3000}]+'), lambda w: w <> '') AS w FROM documents),
+        doc_shingle AS (SELECT DISTINCT doc_id, k, s FROM (
+            SELECT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
+            FROM doc, (SELECT DISTINCT k FROM item))),
+        size AS (SELECT item_id, count(*) AS n_shingles FROM item_shingle GROUP BY item_id),
+        shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM item_shingle JOIN doc_shingle USING (k, s) GROUP BY doc_id, item_id)
+        SELECT doc_id, item_id, n_shingles, n_shared, n_shared::DOUBLE / n_shingles AS containment
+        FROM shared JOIN size USING (item_id) WHERE n_shared >= ceil(0.8 * n_shingles - 1e-9)""",
     "op10_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, pos, line, regexp_replace(regexp_replace(line, '^[\x09-\x0D\x20]+', ''), '[\x09-\x0D\x20]+$', '') AS bare

@@ -4,11 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import line_dedup, simhash
+from riskweave.llm import bpe, decontaminate, line_dedup, simhash, warc
 from riskweave.llm.common import table
+from riskweave.sources.shared import fresh_path
+
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_captures(spark, table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.benchmark_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +37,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op2_decontamination": op2_decontamination,
+    "op7_bpe": op7_bpe,
     "op8_simhash": op8_simhash,
     "op10_line_dedup": op10_line_dedup,
 }
