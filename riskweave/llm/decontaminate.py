@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import LAST_KEY, keyed, slices, stored, with_verdict
-from riskweave.llm.words import bit_set, in_set, plain_words
+from riskweave.llm.words import bit_set, in_set, lowered, plain_words
 
 WORDS, THRESHOLD = 5, 0.8
 _MOST_BITS = 26
@@ -20,7 +20,7 @@ _MOST_BITS = 26
 def _item_shingles(k_most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            words = plain_words(batch.column("text"))
+            words = plain_words(lowered(batch.column("text")))
             found = []
             for k in range(1, k_most + 1):
                 at, hashes = words.shingles(k)
@@ -56,7 +56,7 @@ def benchmark_index(items: DataFrame, words: int = WORDS, threshold: float = THR
 def _hits(lengths: list[int], sketch: np.ndarray, every: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            words = plain_words(batch.column("text"))
+            words = plain_words(lowered(batch.column("text")))
             rows, hashes, spans = [], [], []
             for k in lengths:
                 at, h = words.shingles(k)

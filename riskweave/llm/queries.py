@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, decontaminate, line_dedup, simhash, warc
+from riskweave.llm import bpe, decontaminate, line_dedup, quality, simhash, warc
 from riskweave.llm.common import table
 from riskweave.sources.shared import fresh_path
 
@@ -23,6 +23,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.benchmark_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
 
@@ -39,6 +44,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
+    "op3_quality": op3_quality,
     "op7_bpe": op7_bpe,
     "op8_simhash": op8_simhash,
     "op10_line_dedup": op10_line_dedup,

@@ -19,7 +19,8 @@ _ODD = np.random.default_rng(7).integers(0, 2**63, 64, np.uint64) * np.uint64(2)
 #: ASCII white space, and everything in ASCII but letters and digits.
 SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 PLAIN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
-_WIDE_MARKS = re.compile(rb"\xc2[\x80-\xbf]|\xe2(?:\x80[\x80-\xbf]|\x81[\x80-\xaf])|\xe3\x80\x80")
+_LATIN_MARKS = re.compile(rb"\xc2[\x80-\xbf]")
+_WIDE_MARKS = re.compile(rb"\xe2(?:\x80[\x80-\xbf]|\x81[\x80-\xaf])|\xe3\x80\x80")
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -94,14 +95,15 @@ def find_words(column: pa.Array, between: np.ndarray = SPACE, hashed: bool = Tru
     return words
 
 
-def plain(text: bytes) -> bytes:
-    """Lower case, with marks outside ASCII blanked; together with ``PLAIN`` only letters and digits remain in words."""
-    text = text.decode("utf-8", "replace").lower().encode()
-    return _WIDE_MARKS.sub(b" ", text) if not text.isascii() else text
+def lowered(column: pa.Array) -> list[bytes]:
+    return [t.decode("utf-8", "replace").lower().encode() for t in column.to_pylist()]
 
 
-def plain_words(column: pa.Array) -> Words:
-    return find_words(pa.array([plain(t) for t in column.to_pylist()], pa.binary()), PLAIN)
+def plain_words(texts: list[bytes]) -> Words:
+    """Words of lower-case texts: letters and digits only. Marks outside ASCII are blanked byte by byte, so that places
+    in the texts stay."""
+    blank = [t if t.isascii() else _WIDE_MARKS.sub(b"   ", _LATIN_MARKS.sub(b"  ", t)) for t in texts]
+    return find_words(pa.array(blank, pa.binary()), PLAIN)
 
 
 def bit_set(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
