@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, decontaminate, line_dedup, quality, simhash, warc
+from riskweave.llm import bpe, decontaminate, line_dedup, quality, simhash, toxicity, warc
 from riskweave.llm.common import table
 from riskweave.sources.shared import fresh_path
 
@@ -37,6 +37,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, *toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
@@ -47,5 +52,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op7_bpe": op7_bpe,
     "op8_simhash": op8_simhash,
+    "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
