@@ -26,6 +26,18 @@ ORACLES: dict[str, str] = {
         shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM item_shingle JOIN doc_shingle USING (k, s) GROUP BY doc_id, item_id)
         SELECT doc_id, item_id, n_shingles, n_shared, n_shared::DOUBLE / n_shingles AS containment
         FROM shared JOIN size USING (item_id) WHERE n_shared >= ceil(0.8 * n_shingles - 1e-9)""",
+    "op6_substring_dedup": r"""
+        WITH doc AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x09-\x0D\x20]+'), lambda w: w <> '') AS w FROM documents),
+        win AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS p, unnest(list_transform(range(1, len(w) - 18), lambda i: array_to_string(w[i:i + 19], ' '))) AS s FROM doc WHERE len(w) >= 20),
+        ranked AS (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1 AS again FROM win),
+        words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM doc WHERE len(w) > 0),
+        judged AS (
+            SELECT words.doc_id, words.p, word,
+                   coalesce(bool_or(again) OVER (PARTITION BY words.doc_id ORDER BY words.p ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone
+            FROM words LEFT JOIN ranked ON words.doc_id = ranked.doc_id AND words.p = ranked.p),
+        cut AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS kept FROM judged GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM doc LEFT JOIN cut USING (doc_id)""",
     "op10_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, pos, line, regexp_replace(regexp_replace(line, '^[\x09-\x0D\x20]+', ''), '[\x09-\x0D\x20]+$', '') AS bare
