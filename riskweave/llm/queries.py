@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, decontaminate, line_dedup, quality, simhash, substring_dedup, toxicity, warc
+from riskweave.llm import bpe, decontaminate, line_dedup, quality, simhash, substring_dedup, suffix_dedup, toxicity, warc
 from riskweave.llm.common import table
 from riskweave.sources.shared import fresh_path
 
@@ -28,6 +28,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.byte_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.word_digest(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_bpe": op7_bpe,
     "op8_simhash": op8_simhash,
