@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, decontaminate, line_dedup, quality, simhash, substring_dedup, suffix_dedup, toxicity, warc
+from riskweave.llm import bpe, decontaminate, lattice, line_dedup, quality, simhash, substring_dedup, suffix_dedup, toxicity, warc
 from riskweave.llm.common import table
 from riskweave.sources.shared import fresh_path
 
@@ -32,6 +32,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.byte_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.word_digest(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_lattice": op5_lattice,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_bpe": op7_bpe,
     "op8_simhash": op8_simhash,
