@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -184,10 +185,10 @@ def keep_good(docs: DataFrame, machine: Machine, cut: float = CUT) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Machine(bias, table[:, 0], table[:, 1:])
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).fill_null(b"")
-            chars = batch.column("n_chars").cast(pa.float64()).to_numpy(zero_copy_only=False) if "n_chars" in batch.schema.names else np.full(batch.num_rows, np.nan)
-            whole = pa.RecordBatch.from_arrays([texts, pa.array(chars)], ["text", "n_chars"])
-            good = np.concatenate([own.score(features(s.column("text"), _chars(s))) >= cut for s in slices([whole], limit=1 << 20)] or [np.zeros(0, bool)])
-            yield batch.filter(pa.array(good))
+            texts = pa.compute.fill_null(batch.column("text").cast(pa.binary()), b"")
+            chars = batch.column("n_chars").cast(pa.float64()) if "n_chars" in batch.schema.names else pa.nulls(batch.num_rows, pa.float64())
+            parts = slices([pa.RecordBatch.from_arrays([texts, chars], ["text", "n_chars"])], limit=1 << 20)
+            good = [own.score(features(p.column("text"), _chars(p))) >= cut for p in parts]
+            yield batch.filter(pa.array(np.concatenate([*good, np.zeros(0, bool)])))
 
     return docs.mapInArrow(run, docs.schema)
