@@ -3,12 +3,13 @@ from pyspark.sql import SparkSession
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check import connect, difference
+from riskweave.plans.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON_STAGES = {"cosine_topk", "context_blocks", "tree_shap"}
@@ -22,7 +23,7 @@ def test_every_oracle_belongs_to_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if n != "model_lifecycle"])  # see test_lifecycle
+@pytest.mark.parametrize("name", [n for n in QUERIES if n != "model_lifecycle"])  # see test_lifecycle
 def test_query(spark, duck, name):
     df = contract.queries()[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
