@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskweave.functions import fixed
-from riskweave.operators.ranking import fit_splitters, running_before
+from riskweave.operators.ranking import running_before
 
 
 def predicted_class(probability: Column, threshold: float = fixed.DECISION_THRESHOLD) -> Column:
@@ -23,9 +23,14 @@ def long_scores(df: DataFrame, label: str, models: Mapping[str, str]) -> DataFra
     return wide.unpivot(["label"], list(models), "model", "score")
 
 
+def judged(scores: DataFrame) -> DataFrame:
+    """Rows that have a label and a score; the others can be neither right nor wrong."""
+    return scores.where(F.col("label").isNotNull() & F.col("score").isNotNull() & ~F.isnan(F.col("score").cast("double")))
+
+
 def confusion(scores: DataFrame, threshold: float = fixed.DECISION_THRESHOLD) -> DataFrame:
-    """Rows per (model, label, predicted)."""
-    return scores.groupBy("model", "label", predicted_class(F.col("score"), threshold).alias("predicted")).agg(
+    """Rows per (model, label, predicted); rows without label or score are left out."""
+    return judged(scores).groupBy("model", "label", predicted_class(F.col("score"), threshold).alias("predicted")).agg(
         F.count("*").alias("row_count")
     )
 
@@ -33,23 +38,28 @@ def confusion(scores: DataFrame, threshold: float = fixed.DECISION_THRESHOLD) ->
 def classification_metrics(
     scores: DataFrame, threshold: float = fixed.DECISION_THRESHOLD, digits: int = 6
 ) -> DataFrame:
-    """Accuracy, precision, recall and F1 of the positive class; an empty denominator gives 0."""
+    """Accuracy, precision, recall and F1 of the positive class; an empty denominator gives 0.
+
+    Rows without label or score (NULL or NaN) are left out of every count.
+    """
     hit = F.col("score") > threshold
     positive = F.col("label") == 1
-    counts = scores.groupBy("model").agg(
+    counts = judged(scores).groupBy("model").agg(
         F.count("*").cast("double").alias("n"),
+        F.count_if(~positive & ~hit).cast("double").alias("tn"),
         F.count_if(positive & hit).cast("double").alias("tp"),
         F.count_if(~positive & hit).cast("double").alias("fp"),
         F.count_if(positive & ~hit).cast("double").alias("fn"),
     )
     tp, fp, fn, n = (F.col(c) for c in ("tp", "fp", "fn", "n"))
+    tn = F.col("tn")
 
     def safe(a: Column, b: Column) -> Column:
         return F.round(F.coalesce(F.try_divide(a, b), F.lit(0.0)), digits)
 
     return counts.select(
         "model",
-        safe(n - fp - fn, n).alias("accuracy"),
+        safe(tp + tn, n).alias("accuracy"),
         safe(tp, tp + fp).alias("precision"),
         safe(tp, tp + fn).alias("recall"),
         safe(tp * 2, tp * 2 + fp + fn).alias("f1"),
@@ -60,13 +70,13 @@ def roc_auc(scores: DataFrame, digits: int = 6, rows_per_part: int = 250_000) ->
     """Exact area under the curve per model; tied scores count half.
 
     Scores are first reduced to (positives, negatives) per distinct score. NULL when a model
-    has seen only one class. ``rows_per_part`` sets how finely the score axis is cut.
+    has seen only one class. Rows without label or score (NULL or NaN) are left out.
+    ``rows_per_part`` sets how finely the score axis is cut, not the result.
     """
-    splitters = fit_splitters(scores, "score", rows_per_part)
-    counts = scores.groupBy("model", "score").agg(
+    counts = judged(scores).groupBy("model", "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
-    ranked = running_before(counts, ["model"], "score", ["neg"], splitters)
+    ranked = running_before(counts, ["model"], "score", ["neg"], rows_per_part)
     wins = F.col("pos") * (F.col("neg_before") + F.col("neg") / 2)
     sums = ranked.groupBy("model").agg(
         F.sum(wins).alias("w"), F.sum("pos").cast("double").alias("p"), F.sum("neg").cast("double").alias("n")

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,8 +15,6 @@ from riskweave.sources.local import small_frame
 
 _PER_E_FOLD = 64
 _PARTS = 1024
-_MAX_REFINEMENTS = 4
-_MAX_SPLITTERS = 10_000
 
 
 def _coarse(value: Column) -> Column:
@@ -75,7 +73,8 @@ def exact_quantiles(
     bucket with a wanted rank has more than ``bucket_rows`` rows, a scan cuts it into equal parts
     between its own minimum and maximum, so a crowded stretch of the axis is split again. The
     last scan counts the distinct values of what is left. Buckets are pure functions of the
-    data: a recomputed task gives the same answer.
+    data: a recomputed task gives the same answer. Cutting goes on until every bucket is small
+    enough or holds one value.
     """
     if method not in ("linear", "discrete"):
         raise ValueError(f"unknown quantile method {method}")
@@ -146,9 +145,8 @@ def exact_quantiles(
         placed = placed.withColumn("before", F.col("_start") + F.col("_in"))
         return holding(placed, F.col("rank"), F.col("before")).collect()
 
-    for level in range(_MAX_REFINEMENTS):
-        if not any(w.rows > bucket_rows for w in left):
-            break
+    level = 0
+    while any(w.rows > bucket_rows for w in left):  # a round parts the smallest value of a place from the largest
         name = f"_p{level}"
         ddl = ", ".join([*(f"{b} long" for b in place[len(keys) :]), "_lo double, _hi double"])
         cut = _local(spark, df, keys, ddl, {(*w.key, *w.bucket, w.low, w.high) for w in left})
@@ -157,6 +155,7 @@ def exact_quantiles(
         parts = near.groupBy(*place, name).agg(*numbers)
         left = settle(resolve(parts, name, left), [*place[len(keys) :], name])
         place = [*place, name]
+        level += 1
 
     if left:
         ddl = ", ".join(f"{b} long" for b in place[len(keys) :])
@@ -174,52 +173,68 @@ def exact_quantiles(
     return result
 
 
-def fit_splitters(df: DataFrame, value: str, rows_per_part: int = 250_000) -> list[float]:
-    """Cut points that divide the value axis into stretches of similar row counts.
-
-    One scan with a mergeable sketch; at most 10 000 numbers whatever the table size.
-    """
-    v = F.col(value).cast("double")
-    rows = df.agg(F.count(v).alias("n")).first()["n"]
-    parts = min(-(-rows // rows_per_part), _MAX_SPLITTERS)
-    if parts < 2:
-        return []
-    probs = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    cuts = df.agg(F.percentile_approx(v, probs, 10 * parts).alias("c")).first()["c"]
-    return sorted(set(cuts))
-
-
 def running_before(
-    df: DataFrame, keys: list[str], value: str, measures: list[str], splitters: list[float]
+    df: DataFrame, keys: list[str], value: str, measures: list[str], rows_per_part: int = 250_000
 ) -> DataFrame:
     """Add ``<measure>_before``: the sum over all rows of the group with a smaller value.
 
     ``df`` holds one row per (keys, value): aggregate duplicates first, so that a value shared
-    by many rows is one row here. Stretches between the splitters are summed on their own; the
-    totals of the few thousand stretches give their offsets. Any splitters give the same result;
-    none means that the whole axis is one stretch.
+    by many rows is one row here. Rows whose value is NULL or NaN have no place and are left out;
+    NULL keys form a group. Pass a stored or cheap frame: it is scanned once per level and once more.
+
+    Values are put into logarithmic buckets, and a bucket with more than ``rows_per_part`` rows is
+    cut into equal parts between its own minimum and maximum, level by level, until all are small
+    or hold one number. A row's sum is that of the earlier buckets of each level, and of the
+    earlier rows of its own. So no window sees more than the buckets of one level or the rows of
+    one part, at any table size and for any ``rows_per_part``, which does not change the result.
     """
-    zero = F.lit(0)
-    if not splitters:
-        before = {f"{m}_before": F.coalesce(F.sum(m).over(_preceding(keys, value)), zero) for m in measures}
-        return df.select("*", *[c.alias(n) for n, c in before.items()])
-    bounds = [-float("inf"), *splitters, float("inf")]
-    stretch = Bucketizer(splits=bounds, inputCol="_number", outputCol="_p", handleInvalid="keep")
-    placed = stretch.transform(df.withColumn("_number", F.col(value).cast("double"))).drop("_number")
-    offsets = placed.groupBy(*keys, "_p").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
-    over_parts = _preceding(keys, "_p")
-    offsets = offsets.select(
-        *keys, "_p", *[F.sum(f"_t_{m}").over(over_parts).alias(f"_o_{m}") for m in measures]
-    )
-    inside = _preceding([*keys, "_p"], value)
-    local = placed.select("*", *[F.sum(m).over(inside).alias(f"_i_{m}") for m in measures])
-    joined = local.join(offsets, [*keys, "_p"])
-    sums = {f"{m}_before": F.coalesce(f"_o_{m}", zero) + F.coalesce(f"_i_{m}", zero) for m in measures}
-    return joined.select(*df.columns, *[c.alias(n) for n, c in sums.items()])
+    number = F.col(value).cast("double")
+    placed = df.where(number.isNotNull() & ~F.isnan(number)).withColumn("_at0", _coarse(number))
+    path = ["_at0"]
+    while True:
+        sums = [F.sum(m).alias(f"_t_{m}") for m in measures]
+        bounds = [F.count("*").alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi")]
+        buckets = placed.groupBy(*keys, *path).agg(*bounds, *sums)
+        crowded = (F.col("_n") > rows_per_part) & (F.col("_lo") < F.col("_hi"))
+        if not buckets.agg(F.coalesce(F.bool_or(crowded), F.lit(False))).first()[0]:
+            break
+        finer = buckets.select(*keys, *path, "_lo", "_hi", crowded.alias("_cut"))
+        part = F.when(F.col("_cut"), _part(number, F.col("_lo"), F.col("_hi"))).otherwise(F.lit(0).cast("long"))
+        name = f"_at{len(path)}"
+        placed = _same(placed, finer, [*keys, *path]).withColumn(name, part).drop("_lo", "_hi", "_cut")
+        path.append(name)
+    offsets = buckets.select(*keys, *path, *[F.col(f"_t_{m}") for m in measures], *[F.lit(0).alias(f"_o_{m}") for m in measures])
+    for level in range(len(path)):
+        upper = [*keys, *path[:level]]
+        own = offsets.groupBy(*upper, path[level]).agg(*[F.sum(f"_t_{m}").alias(f"_s_{m}") for m in measures])
+        before = [F.coalesce(F.sum(f"_s_{m}").over(_preceding(upper, path[level])), F.lit(0)).alias(f"_b_{m}") for m in measures]
+        own = own.select(*upper, path[level], *before)
+        offsets = _same(offsets, own, [*upper, path[level]])
+        offsets = offsets.withColumns({f"_o_{m}": F.col(f"_o_{m}") + F.col(f"_b_{m}") for m in measures})
+        offsets = offsets.drop(*[f"_b_{m}" for m in measures])
+    offsets = offsets.drop(*[f"_t_{m}" for m in measures])
+    inside = _preceding([*keys, *path], value)
+    local = placed.select("*", *[F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"_i_{m}") for m in measures])
+    joined = _same(local, offsets, [*keys, *path])
+    totals = {f"{m}_before": F.col(f"_o_{m}") + F.col(f"_i_{m}") for m in measures}
+    return joined.select(*df.columns, *[c.alias(n) for n, c in totals.items()])
+
+
+def _same(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join on columns that may be NULL."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    test = reduce(lambda a, b: a & b, [left[c].eqNullSafe(renamed[f"_r_{c}"]) for c in on])
+    return left.join(renamed, test).drop(*[f"_r_{c}" for c in on])
 
 
 def with_ordinal(df: DataFrame, order: str, name: str, rows_per_part: int = 250_000) -> DataFrame:
-    """Zero-based position of each row in the order of a unique numeric column."""
+    """Zero-based position of each row in the order of a unique numeric column.
+
+    Rows without a number have no position and are left out. A number that comes twice raises.
+    """
     ones = df.select("*", F.lit(0).alias("_g"), F.lit(1).cast("long").alias("_one"))
-    numbered = running_before(ones, ["_g"], order, ["_one"], fit_splitters(df, order, rows_per_part))
+    counts = df.where(F.col(order).isNotNull()).groupBy(order).agg(F.count("*").alias("_n")).where("_n > 1")
+    if not counts.isEmpty():
+        raise ValueError(f"{order} is not unique")
+    numbered = running_before(ones, ["_g"], order, ["_one"], rows_per_part)
     return numbered.drop("_g", "_one").withColumnRenamed("_one_before", name)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from riskweave.functions import fixed
@@ -16,7 +14,6 @@ from riskweave.functions import scalars as sc
 from riskweave.functions import text as tx
 
 _DIGITS = 9  # similarities equal to this many digits are ties, ordered by passage id
-_BATCH = 2048
 
 
 def corpus_passages(df: DataFrame, passage_id: str = "paragraph_id", text: str = "text") -> DataFrame:
@@ -31,23 +28,27 @@ def _unit(vectors: pd.Series) -> np.ndarray:
 
 
 def _best(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, passages: np.ndarray, k: int, skip_same: bool
+    queries: pd.DataFrame, units: np.ndarray, ids: np.ndarray, passages: np.ndarray, k: int, skip_same: bool
 ) -> pd.DataFrame:
-    """Top k of one block of queries against passages sorted by id."""
-    sims = np.round(queries @ passages.T, _DIGITS)
+    """Top k of one block of queries against one block of passages; ties by passage id."""
+    sims = np.round(units @ passages.T, _DIGITS)
+    own = queries["query_id"].to_numpy()
     if skip_same:
-        sims[query_ids[:, None] == ids[None, :]] = -np.inf
+        sims[own[:, None] == ids[None, :]] = -np.inf
     keep = min(k, len(ids))
-    order = np.argsort(-sims, axis=1, kind="stable")[:, :keep]
-    found = np.take_along_axis(sims, order, axis=1)
-    frame = pd.DataFrame(
+    least = np.partition(sims, len(ids) - keep, axis=1)[:, len(ids) - keep]
+    row, column = np.nonzero((sims >= least[:, None]) & np.isfinite(sims))
+    found = pd.DataFrame(
         {
-            "query_id": np.repeat(query_ids, keep),
-            "passage_id": ids[order].ravel(),
-            "similarity": found.ravel(),
+            "query_id": own[row],
+            "query_no": queries["query_no"].to_numpy()[row],
+            "passage_id": ids[column],
+            "similarity": sims[row, column],
+            "row": row,
         }
     )
-    return frame[np.isfinite(frame["similarity"])]
+    found = found.sort_values(["row", "similarity", "passage_id"], ascending=[True, False, True])
+    return found.groupby("row", sort=False).head(keep).drop(columns="row")
 
 
 def cosine_topk(
@@ -55,70 +56,47 @@ def cosine_topk(
     corpus: DataFrame,
     k: int = 2,
     skip_same_id: bool = False,
-    max_broadcast_values: int = 8_000_000,
     block_rows: int = 20_000,
+    tile_bytes: int = 64 << 20,
 ) -> DataFrame:
     """Best k passages per query: (query_id, passage_id, similarity, rank).
 
     Both inputs are (id, vector) under the names ``query_id``/``passage_id`` and ``embedding``.
-    The search is exact. A corpus whose measured size stays under ``max_broadcast_values``
-    numbers travels to every task and the query table is not shuffled at all. A larger one is
-    cut into hash blocks; each pair of blocks is multiplied in its own task and yields k rows
-    per query, which a window merges.
+    The search is exact. Both sides are cut into hash blocks of about ``block_rows`` rows; each
+    pair of blocks is multiplied in its own task, in tiles of at most ``tile_bytes``, and yields k
+    rows per query, which a window merges. Block and tile size do not change the result. NULL
+    vectors and vectors with NULL entries are neither queries nor passages. A query that repeats
+    an id and a vector is answered once; an id with several vectors gets k ranks for each.
     """
-    spark = queries.sparkSession
-    shape = corpus.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d")).first()
-    size, width = shape["n"], shape["d"] or 1
-    found = [queries.schema["query_id"], corpus.schema["passage_id"], StructField("similarity", DoubleType())]
-    out, ranked = StructType(found), StructType([*found, StructField("rank", IntegerType())])
-
-    if size * width <= max_broadcast_values:
-        rows = corpus.select("passage_id", "embedding").toPandas().sort_values("passage_id")
-        if rows.empty:
-            return spark.createDataFrame([], ranked)
-        shared = spark.sparkContext.broadcast((rows["passage_id"].to_numpy(), _unit(rows["embedding"])))
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            ids, passages = shared.value
-            for batch in batches:
-                for start in range(0, len(batch), _BATCH):
-                    block = batch.iloc[start : start + _BATCH]
-                    best = _best(block["query_id"].to_numpy(), _unit(block["embedding"]), ids, passages, k, skip_same_id)
-                    rank = best.groupby("query_id", sort=False).cumcount() + 1
-                    yield best.assign(rank=rank.astype("int32"))
-
-        return queries.select("query_id", "embedding").mapInPandas(scan, ranked)
-
-    corpus_blocks = -(-size // block_rows)
-    query_blocks = max(1, -(-queries.count() // block_rows))
-
-    def block(column: str, count: int) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(count))
+    usable = F.col("embedding").isNotNull() & ~F.exists("embedding", lambda x: x.isNull())
+    found = [queries.schema["query_id"], StructField("query_no", LongType()), corpus.schema["passage_id"]]
+    out = StructType([*found, StructField("similarity", DoubleType())])
+    number = F.xxhash64("query_id", "embedding")
+    asked = queries.where(usable).select("query_id", number.alias("query_no"), "embedding").distinct()
+    held = corpus.where(usable).select("passage_id", "embedding")
+    corpus_blocks = max(1, -(-held.count() // block_rows))
+    query_blocks = max(1, -(-asked.count() // block_rows))
+
+    def block(hashed: Column, count: int) -> Column:
+        return F.pmod(hashed, F.lit(count))
 
     def spread(count: int) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
 
-    left = queries.select("query_id", "embedding", block("query_id", query_blocks).alias("qb")).withColumn(
-        "cb", spread(corpus_blocks)
-    )
-    right = corpus.select("passage_id", "embedding", block("passage_id", corpus_blocks).alias("cb")).withColumn(
-        "qb", spread(query_blocks)
-    )
+    left = asked.withColumn("qb", block(F.xxhash64("query_no"), query_blocks)).withColumn("cb", spread(corpus_blocks))
+    right = held.withColumn("cb", block(F.xxhash64("passage_id", "embedding"), corpus_blocks)).withColumn("qb", spread(query_blocks))
 
     def multiply(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({f.name: [] for f in out})
-        c = c.sort_values("passage_id")
         ids, passages = c["passage_id"].to_numpy(), _unit(c["embedding"])
-        parts = []
-        for start in range(0, len(q), _BATCH):
-            part = q.iloc[start : start + _BATCH]
-            parts.append(_best(part["query_id"].to_numpy(), _unit(part["embedding"]), ids, passages, k, skip_same_id))
-        return pd.concat(parts)
+        step = max(1, tile_bytes // (8 * len(ids)))
+        tiles = [q.iloc[start : start + step] for start in range(0, len(q), step)]
+        return pd.concat([_best(t, _unit(t["embedding"]), ids, passages, k, skip_same_id) for t in tiles])
 
     partial = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(multiply, out)
-    order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), F.asc("passage_id"))
-    return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    order = Window.partitionBy("query_id", "query_no").orderBy(F.desc("similarity"), F.asc("passage_id"))
+    return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("query_no")
 
 
 def context_blocks(hits: DataFrame, passages: DataFrame) -> DataFrame:

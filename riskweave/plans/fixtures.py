@@ -11,7 +11,6 @@ from riskweave.functions import fixed
 from riskweave.functions import scalars as sc
 from riskweave.operators import attribution, grounding, impute, silver
 from riskweave.sources import tables
-from riskweave.sources.files import widen
 from riskweave.sources.shared import fresh_path
 
 RUN_AT = datetime(2026, 1, 1)
@@ -39,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return widen(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def home_like(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,12 +103,6 @@ def projected_home(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_home(home_like(spark, sf_dir))
 
 
-def complete_home(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Projected loans with all monitored features present."""
-    kept = silver.keep_labelled_known_gender(projected_home(spark, sf_dir))
-    return silver.drop_incomplete(kept, fixed.PROXY_FEATURES)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once, read many times: later passes scan columns instead of repeating joins."""
     path = fresh_path(df.sparkSession, name)
@@ -131,10 +124,9 @@ def silver_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_home(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Complete loans with one score column per scorecard."""
-    return complete_home(spark, sf_dir).withColumns(
-        {name: attribution.logistic_score(w, b) for name, (b, w) in SCORECARDS.items()}
-    )
+    """Imputed loans with one score column per scorecard, stored as several passes read them."""
+    scores = {name: attribution.logistic_score(w, b) for name, (b, w) in SCORECARDS.items()}
+    return stored(silver_home(spark, sf_dir).withColumns(scores), "scored_home")
 
 
 def policy_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -179,24 +179,22 @@ CTES: dict[str, str] = {
     + each("coalesce(@, CAST(0.5 AS DOUBLE)) AS @", fixed.EXTERNAL_SCORES)
     + ") FROM aligned_batch WHERE "
     + each("@ IS NOT NULL", [*FEATURES, "target"], " AND "),
-    "complete_home": "SELECT * FROM projected_home WHERE gender <> 'Other' AND "
-    + each("@ IS NOT NULL", FEATURES, " AND "),
     "scored_home": "SELECT *, "
     + ", ".join(f"1 / (1 + exp(-({margin(m)}))) AS {m}" for m in fx.SCORECARDS)
-    + " FROM complete_home",
+    + " FROM silver_home",
     "long_scores": " UNION ALL ".join(
         f"SELECT {text(m)} AS model, target AS label, {m} AS score FROM scored_home" for m in fx.SCORECARDS
     ),
     "class_metrics": """
-      SELECT model, round((n - fp - fn) / n, 6) AS accuracy,
+      SELECT model, round(accuracy, 6) AS accuracy,
              round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision,
              round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
              round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1
-      FROM (SELECT model, CAST(count(*) AS DOUBLE) AS n,
+      FROM (SELECT model, avg(CASE WHEN (label = 1) = (score > 0.4) THEN 1.0 ELSE 0.0 END) AS accuracy,
                    CAST(count(*) FILTER (WHERE label = 1 AND score > 0.4) AS DOUBLE) AS tp,
                    CAST(count(*) FILTER (WHERE label = 0 AND score > 0.4) AS DOUBLE) AS fp,
                    CAST(count(*) FILTER (WHERE label = 1 AND score <= 0.4) AS DOUBLE) AS fn
-            FROM long_scores GROUP BY model) c""",
+            FROM long_scores WHERE label IS NOT NULL AND score IS NOT NULL GROUP BY model) c""",
     "auc": labelled_auc("long_scores"),
     "board": "SELECT c.*, roc_auc FROM class_metrics c JOIN auc USING (model)",
     "gate": f"""
@@ -218,7 +216,7 @@ CTES: dict[str, str] = {
     + ", ".join(f"{double(w)} * (s.{f} - m.m_{f}) AS shap_{f}" for f, w in fx.SCORECARDS["scorecard_a"][1].items())
     + " FROM scored_home s CROSS JOIN (SELECT "
     + each("avg(@) AS m_@", FEATURES)
-    + " FROM complete_home) m",
+    + " FROM silver_home) m",
     "shap_long": " UNION ALL ".join(
         f"SELECT applicant_id, scorecard_a AS score, {i} AS pos, {text(f)} AS feature, shap_{f} AS shap FROM shap"
         for i, f in enumerate(FEATURES)

@@ -58,13 +58,3 @@ def split_paragraphs(
     if ingested_at is not None:
         out = out.withColumn("ingestion_timestamp", F.lit(ingested_at))
     return out
-
-
-def widen(df: DataFrame, key: str) -> DataFrame:
-    """Spread an input that is split into fewer pieces than there are cores.
-
-    Meant in front of heavy per-row work on a few files. A large table has more splits than
-    cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -67,15 +67,15 @@ def vectors(spark, array, key):
     return spark.createDataFrame(rows, f"{key} long, embedding array<double>")
 
 
-@pytest.mark.parametrize("limit", [10_000_000, 0])
+@pytest.mark.parametrize("tile", [64 << 20, 1])
 @pytest.mark.parametrize("skip", [False, True])
-def test_cosine_search_equals_brute_force(spark, limit, skip):
+def test_cosine_search_equals_brute_force(spark, tile, skip):
     rng = np.random.default_rng(4)
     q, c = rng.normal(size=(37, 6)), rng.normal(size=(53, 6))
     c[5] = c[9] = q[3]
     c[7] = 0
     got = retrieval.cosine_topk(
-        vectors(spark, q, "query_id"), vectors(spark, c, "passage_id"), 3, skip, max_broadcast_values=limit, block_rows=11
+        vectors(spark, q, "query_id"), vectors(spark, c, "passage_id"), 3, skip, block_rows=11, tile_bytes=tile
     ).collect()
     length = np.linalg.norm(c, axis=1)
     sims = np.round((q @ c.T) / (np.linalg.norm(q, axis=1)[:, None] * np.where(length == 0, 1, length)), 9)
@@ -86,6 +86,14 @@ def test_cosine_search_equals_brute_force(spark, limit, skip):
     assert {(r["query_id"], r["passage_id"], r["rank"]) for r in got} == expected
 
 
+@pytest.mark.parametrize("block_rows", [20_000, 2])
+def test_cosine_search_with_repeated_ids_and_missing_vectors(spark, block_rows):
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, None), (3, [None, 1.0])], "query_id long, embedding array<double>")
+    c = spark.createDataFrame([(7, [1.0, 0.1]), (8, [0.1, 1.0]), (9, None), (8, [1.0, 1.0])], "passage_id long, embedding array<double>")
+    got = retrieval.cosine_topk(q, c, 2, block_rows=block_rows).collect()
+    assert sorted((r["query_id"], r["passage_id"], r["rank"]) for r in got) == [(1, 7, 1), (1, 8, 1), (1, 8, 2), (1, 8, 2)]
+
+
 def test_empty_corpus_gives_no_hits(spark):
     q = vectors(spark, [[1.0, 2.0]], "query_id")
     assert retrieval.cosine_topk(q, vectors(spark, [[1.0]], "passage_id").where("false")).count() == 0

@@ -34,6 +34,19 @@ def test_auc_equals_pair_counting(spark, rows_per_part):
     assert got["flipped"] == pytest.approx(1 - got["plain"], abs=2e-6)
 
 
+@pytest.mark.parametrize("rows_per_part", [250_000, 3])
+def test_missing_scores_and_labels_are_left_out(spark, rows_per_part):
+    rng = np.random.default_rng(3)
+    y, s = rng.integers(0, 2, 100), np.round(rng.random(100), 2)
+    whole = [("m", int(a), float(b)) for a, b in zip(y, s)]
+    holes = [("m", 1, None)] * 20 + [("m", 0, float("nan"))] * 7 + [("m", None, 0.9)] * 5
+    frame = spark.createDataFrame(whole + holes, "model string, label int, score double")
+    assert metrics.roc_auc(frame, rows_per_part=rows_per_part).first()["roc_auc"] == pytest.approx(pair_auc(y, s), abs=1e-6)
+    row = metrics.classification_metrics(frame, 0.5).first()
+    assert row["accuracy"] == pytest.approx(((s > 0.5) == (y == 1)).mean(), abs=1e-6)
+    assert metrics.confusion(frame, 0.5).agg(F.sum("row_count")).first()[0] == 100
+
+
 def test_single_class_and_zero_denominators(spark):
     frame = spark.createDataFrame([("m", 0, 0.5), ("m", 0, 0.1)], "model string, label int, score double")
     row = metrics.evaluate(frame).first()

@@ -10,8 +10,8 @@ from riskweave.plans.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON_STAGES = {"cosine_topk", "context_blocks", "tree_shap"}
-# One row per model, or one group with fewer rows than a stretch of the axis may hold.
-SMALL_WINDOW = {"leaderboard", "roc_auc_ties", "applicant_ordinal"}
+# One row per model.
+SMALL_WINDOW = {"leaderboard"}
 
 
 @pytest.fixture(scope="module")

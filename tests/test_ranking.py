@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from riskweave.operators.ranking import exact_quantiles, fit_splitters, running_before, with_ordinal
+from riskweave.operators.ranking import exact_quantiles, running_before, with_ordinal
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
 
@@ -64,10 +64,9 @@ def test_running_before_equals_cumulative_sum(spark, rows_per_part):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"g": rng.choice(["a", "b"], 400), "v": np.round(rng.normal(0, 50, 400), 1)})
     pdf = pdf.drop_duplicates().assign(n=lambda d: rng.integers(1, 9, len(d)))
-    df = spark.createDataFrame(pdf).repartition(6)
-    splitters = fit_splitters(df, "v", rows_per_part)
-    assert bool(splitters) == (rows_per_part == 3)
-    got = running_before(df, ["g"], "v", ["n"], splitters)
+    holes = pd.DataFrame({"g": ["a", "b", None], "v": [None, float("nan"), 1.5], "n": [5, 6, 7]})
+    df = spark.createDataFrame(pdf).union(spark.createDataFrame(holes)).repartition(6)
+    got = running_before(df, ["g"], "v", ["n"], rows_per_part).where("g is not null")
     expected = pdf.sort_values(["g", "v"]).assign(n_before=lambda d: d.groupby("g")["n"].cumsum() - d["n"])
     got = got.toPandas().sort_values(["g", "v"])
     assert got["n_before"].tolist() == expected["n_before"].tolist()
@@ -76,5 +75,16 @@ def test_running_before_equals_cumulative_sum(spark, rows_per_part):
 @pytest.mark.parametrize("rows_per_part", [250_000, 2])
 def test_ordinal_counts_from_zero(spark, rows_per_part):
     ids = [5, -3, 2**59, 2**59 + 1, 0]
-    df = with_ordinal(spark.createDataFrame([(i,) for i in ids], "id long"), "id", "n", rows_per_part)
+    df = with_ordinal(spark.createDataFrame([(i,) for i in [*ids, None]], "id long"), "id", "n", rows_per_part)
     assert {r["id"]: r["n"] for r in df.collect()} == {i: n for n, i in enumerate(sorted(ids))}
+
+
+def test_ordinal_needs_unique_numbers(spark):
+    with pytest.raises(ValueError, match="not unique"):
+        with_ordinal(spark.createDataFrame([(1,), (1,)], "id long"), "id", "n")
+
+
+def test_quantiles_of_a_crowded_axis_are_cut_until_small(spark):
+    values = [1.0 + i * 2**-40 for i in range(3000)] + [5.0] * 3000
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert exact_quantiles(df, [], "v", [0.25, 0.75], "discrete", bucket_rows=2)[()] == [values[1499], 5.0]

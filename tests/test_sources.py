@@ -70,9 +70,3 @@ def test_chunk_lengths(spark, size, expected):
     parts = spark.createDataFrame([(text,)], "t string").select(tx.chunks(F.col("t"))).first()[0]
     assert [len(p) for p in parts] == expected
     assert parts[0] + "".join(p[50:] for p in parts[1:]) == text
-
-
-def test_widen_leaves_wide_inputs_alone(spark):
-    narrow, wide = spark.range(0, 10, 1, 1), spark.range(0, 10, 1, 16)
-    assert files.widen(narrow, "id").rdd.getNumPartitions() == 4
-    assert files.widen(wide, "id") is wide
