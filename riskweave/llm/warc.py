@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.llm.common import stored
+
 _MARK = b"WARC/1."
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _RECORD = (
@@ -20,10 +22,14 @@ _RECORD = (
 
 
 def base32_sha1(data: Column) -> Column:
-    """Upper-case base32 of the SHA-1: five hexadecimal digits are four letters."""
-    value = lambda i: F.conv(F.substring(F.sha1(data), 5 * i + 1, 5), 16, 10).cast("int")
-    letter = lambda v, shift: F.substring(F.lit(_ALPHABET), F.shiftright(v, shift).bitwiseAND(31) + 1, F.lit(1))
-    return F.concat(*[letter(value(i), shift) for i in range(8) for shift in (15, 10, 5, 0)])
+    """Upper-case base32 of the SHA-1: five hexadecimal digits are four letters. The hash is taken once per row."""
+
+    def letters(digits: Column) -> Column:
+        value = lambda i: F.conv(F.substring(digits, 5 * i + 1, 5), 16, 10).cast("int")
+        letter = lambda v, shift: F.substring(F.lit(_ALPHABET), F.shiftright(v, shift).bitwiseAND(31) + 1, F.lit(1))
+        return F.concat(*[letter(value(i), shift) for i in range(8) for shift in (15, 10, 5, 0)])
+
+    return F.transform(F.array(F.sha1(data)), letters)[0]
 
 
 def _one_line(text: Column) -> Column:
@@ -221,7 +227,8 @@ def page_captures(spark: SparkSession, pages: DataFrame, path: str) -> DataFrame
     Rows that repeat page_id and html are one capture and returned once.
     """
     write_archives(pages, path)
-    captures = assemble(read_archives(spark, path, keep_payload=False))
+    # without payloads the records are narrow; stored, the archives are parsed once for all joins
+    captures = assemble(stored(read_archives(spark, path, keep_payload=False), "records"))
     page_of = lambda text, before: F.when(F.regexp_extract(text, f"{before}(-?[0-9]+)", 1) != "", F.regexp_extract(text, f"{before}(-?[0-9]+)", 1)).cast("long")
     return captures.select(
         page_of(F.col("metadata")[0]["payload"].cast("string"), "^page-id: ").alias("page_id"),
