@@ -36,7 +36,7 @@ def assemble_audit(
     """
     avg_psi = drift.agg(F.round(F.coalesce(F.avg("psi_score"), F.lit(0.0)), 4).alias("a")).scalar()
     action = comparisons.agg(
-        F.coalesce(F.max_by("promotion_action", "timestamp"), F.lit(fixed.NO_RETRAINING)).alias("a")
+        F.coalesce(F.max_by("promotion_action", F.struct("timestamp", *(["run_id"] if "run_id" in comparisons.columns else []))), F.lit(fixed.NO_RETRAINING)).alias("a")
     ).scalar()
     own_text = explanations.select("applicant_id", "explanation_summary")
     own_cost = costs.select("applicant_id", "impact_band", "review_flag")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 from pyspark.sql.window import Window
 
 from riskweave.functions import fixed
@@ -39,31 +40,38 @@ def tfidf_weights(
 
 
 def write_index(corpus: DataFrame, row_id: str, text: str, path: str, **options) -> DataFrame:
-    """Fit the corpus once and store it as a table (passage_id, term, idf, weight).
+    """Fit the corpus once and store it as a table (passage_id, term, idf, weight), replacing an earlier one.
 
     Reading it back gives the planner its true file size: a small index is broadcast under
     ``spark.sql.autoBroadcastJoinThreshold``, a large one is shuffled by term.
-    A row with NULL passage per term carries the idf alone.
+    A row with NULL passage per term carries the idf alone, and a row with NULL term stands for
+    each passage, also for one without any term.
     """
     spark = corpus.sparkSession
     weights = tfidf_weights(corpus, row_id, text, **options).withColumnRenamed(row_id, "passage_id")
-    weights.select("passage_id", "term", "idf", "weight").write.parquet(f"{path}/weights")
+    weights.select("passage_id", "term", "idf", "weight").write.mode("overwrite").parquet(f"{path}/weights")
     stored = spark.read.parquet(f"{path}/weights")
     terms = stored.groupBy("term").agg(F.first("idf").alias("idf"))
-    terms.select(F.lit(None).cast(stored.schema["passage_id"].dataType).alias("passage_id"), "term", "idf",
-                 F.lit(None).cast("double").alias("weight")).write.parquet(f"{path}/terms")
+    nothing = F.lit(None)
+    alone = terms.select(nothing.cast(stored.schema["passage_id"].dataType).alias("passage_id"), "term", "idf", nothing.cast("double").alias("weight"))
+    alone.write.mode("overwrite").parquet(f"{path}/terms")
+    passages = corpus.where(F.col(text).isNotNull()).select(F.col(row_id).alias("passage_id"), nothing.cast("string").alias("term"), nothing.cast("double").alias("idf"), nothing.cast("double").alias("weight"))
+    passages.write.mode("overwrite").parquet(f"{path}/passages")
     return read_index(spark, path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/weights", f"{path}/terms")
+    return spark.read.parquet(f"{path}/weights", f"{path}/terms", f"{path}/passages")
 
 
 def similarities(
-    queries: DataFrame, row_id: str, text: str, index: DataFrame, pattern: str = fixed.TOKEN_PATTERN
+    queries: DataFrame, row_id: str, text: str, index: DataFrame, pattern: str = fixed.TOKEN_PATTERN, fill: int = 0
 ) -> DataFrame:
     """Rows (id, passage_id, dot) plus one row per query with NULL passage holding |q|^2.
 
+    The ``fill`` passages with the smallest ids have a row for every query, with 0 where they
+    share no term: enough to complete a ranking of half as many hits.
+
     One join on term; partial sums are combined before the shuffle. The NULL row exists for
     every query, also for one that shares no term with the corpus.
     """
@@ -75,6 +83,9 @@ def similarities(
         F.lit(None).cast(index.schema["passage_id"].dataType).alias("passage_id"),
         F.lit(0.0).alias("_c"),
     )
+    first = index.where(F.col("term").isNull()).select("passage_id").distinct().orderBy("passage_id").limit(fill).collect()
+    listed = F.array(*[F.lit(r["passage_id"]) for r in first]).cast(ArrayType(index.schema["passage_id"].dataType))
+    everyone = everyone.unionByName(queries.select(row_id, F.explode(listed).alias("passage_id"), F.lit(0.0).alias("_c")))
     parts = hits.select(row_id, "passage_id", value.alias("_c")).unionByName(everyone)
     return parts.groupBy(row_id, "passage_id").agg(F.sum("_c").alias("dot"))
 
@@ -89,13 +100,14 @@ def top_passages(
 ) -> DataFrame:
     """Best k passages per query by cosine: (id, passage_id, similarity, rank).
 
-    A query that shares no term with the corpus has no row.
+    A query always has k rows, or as many as there are passages: those without a common term have
+    similarity 0 and come in the order of their ids.
     """
     is_norm = F.col("passage_id").isNull()
     order = [F.desc(is_norm), F.desc(F.round("dot", 9)), F.asc("passage_id")]
     per_query = Window.partitionBy(row_id)
     best = (
-        similarities(queries, row_id, text, index, pattern)
+        similarities(queries, row_id, text, index, pattern, 2 * k)
         .withColumn("_r", F.row_number().over(per_query.orderBy(*order)))
         .where(F.col("_r") <= k + 1)
     )
@@ -106,7 +118,7 @@ def top_passages(
         .select(
             row_id,
             "passage_id",
-            F.try_divide(F.col("dot"), F.col("_len")).alias("similarity"),
+            F.coalesce(F.try_divide(F.col("dot"), F.col("_len")), F.lit(0.0)).alias("similarity"),
             (F.col("_r") - 1).alias("rank"),
         )
     )
@@ -122,7 +134,7 @@ def grounding_scores(
 ) -> DataFrame:
     """Rows (id, grounding): mean of the best k similarities, absent pairs counting as zero.
 
-    A corpus with fewer than k passages averages over what it has.
+    A corpus with fewer than k passages averages over what it has; passages without any term count.
     """
     is_norm = F.col("passage_id").isNull()
     order = [F.desc(is_norm), F.desc("dot"), F.asc("passage_id")]
@@ -131,8 +143,7 @@ def grounding_scores(
         .withColumn("_r", F.row_number().over(Window.partitionBy(row_id).orderBy(*order)))
         .where(F.col("_r") <= k + 1)
     )
-    corpus = index.where(F.col("passage_id").isNotNull()).select("passage_id").distinct()
-    slots = corpus.agg(F.least(F.count("*"), F.lit(k)).alias("n")).scalar()
+    slots = index.where(F.col("term").isNull()).agg(F.least(F.count("*"), F.lit(k)).alias("n")).scalar()
     sums = best.groupBy(row_id).agg(
         F.sum(F.when(~is_norm, F.col("dot"))).alias("_top"), F.max(F.when(is_norm, F.col("dot"))).alias("_norm")
     )

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.sources.tables import read_or_empty, save_table
+from riskweave.sources.tables import read_or_empty, read_table, save_table
 
-REGISTRY_SCHEMA = "name string, version int, path string, alias string, metrics map<string,double>, registered_at string"
-RUN_LOG_SCHEMA = "run_id string, kind string, key string, value string"
+REGISTRY_SCHEMA = "name string, version int, path string, alias string, metrics map<string,double>, registered_at string, set_no int"
+RUN_LOG_SCHEMA = "run_id string, model string, kind string, key string, value string"
 
 
 def latest_version(registry: DataFrame, name: str) -> int:
@@ -29,21 +30,41 @@ def register(
     metrics: Mapping[str, float],
     at: str,
 ) -> int:
-    """Save the model, append its registry row and return the new version."""
+    """Save the model, append its registry row and return the new version.
+
+    The model's folder has a name of its own, so two writers never overwrite each other; if both
+    took one version, the row is there twice and the later check raises.
+    """
     version = latest_version(read_or_empty(spark, registry_path, REGISTRY_SCHEMA), name) + 1
-    path = f"{model_path}/{name}/v{version}"
+    path = f"{model_path}/{name}/v{version}-{uuid.uuid4().hex[:12]}"
     model.write().save(path)
-    row = spark.createDataFrame([(name, version, path, alias, dict(metrics), at)], REGISTRY_SCHEMA)
-    save_table(row, registry_path, mode="append")
+    _append(spark, registry_path, (name, version, path, alias, dict(metrics), at))
+    paths = read_table(spark, registry_path).where((F.col("name") == name) & (F.col("version") == version)).select("path").distinct().count()
+    if paths > 1:
+        raise RuntimeError(f"{name} version {version} was registered by another writer at the same time")
     return version
 
 
+def _append(spark: SparkSession, registry_path: str, row: tuple) -> None:
+    last = read_or_empty(spark, registry_path, REGISTRY_SCHEMA).agg(F.coalesce(F.max("set_no"), F.lit(0))).first()[0]
+    save_table(spark.createDataFrame([(*row, last + 1)], REGISTRY_SCHEMA), registry_path, mode="append")
+
+
+def set_alias(spark: SparkSession, registry_path: str, name: str, alias: str, version: int, at: str) -> None:
+    """Point an alias at a registered version, older ones included; a version may have several aliases."""
+    known = read_table(spark, registry_path).where((F.col("name") == name) & (F.col("version") == version))
+    row = known.select("path", "metrics").first()
+    if row is None:
+        raise LookupError(f"{name} has no version {version}")
+    _append(spark, registry_path, (name, version, row["path"], alias, row["metrics"], at))
+
+
 def resolve_alias(registry: DataFrame, name: str, alias: str, fallback: int = 1) -> DataFrame:
-    """One row (name, version, path): newest version under the alias, else the fallback version."""
+    """One row (name, version, path): the version the alias was set to last, else the fallback version."""
     mine = registry.where(F.col("name") == name)
-    aliased = F.when(F.col("alias") == alias, F.col("version"))
-    chosen = mine.agg(F.coalesce(F.max(aliased), F.lit(fallback)).alias("v")).scalar()
-    return mine.where(F.col("version") == chosen).select("name", "version", "path")
+    aliased = F.when(F.col("alias") == alias, F.col("set_no"))
+    chosen = mine.agg(F.coalesce(F.max_by("version", aliased), F.lit(fallback)).alias("v")).scalar()
+    return mine.where(F.col("version") == chosen).select("name", "version", "path").distinct()
 
 
 def load_by_alias(registry: DataFrame, name: str, alias: str) -> tuple[PipelineModel, int]:
@@ -54,9 +75,19 @@ def load_by_alias(registry: DataFrame, name: str, alias: str) -> tuple[PipelineM
 
 
 def run_log(
-    spark: SparkSession, run_id: str, params: Mapping[str, object], metrics: Mapping[str, float]
+    spark: SparkSession,
+    run_id: str,
+    params: Mapping[str, object],
+    metrics: Mapping[str, float],
+    importances: Mapping[str, float] | None = None,
+    model: str | None = None,
 ) -> DataFrame:
-    """Long table of a run's parameters and metrics."""
-    rows = [(run_id, "param", k, str(v)) for k, v in params.items()]
-    rows += [(run_id, "metric", k, str(v)) for k, v in metrics.items()]
+    """Long table of one fit's effective parameters, metrics and importances."""
+    kinds = {"param": params, "metric": metrics, "importance": importances or {}}
+    rows = [(run_id, model, kind, k, str(v)) for kind, values in kinds.items() for k, v in values.items()]
     return spark.createDataFrame(rows, RUN_LOG_SCHEMA)
+
+
+def effective_params(model: PipelineModel) -> dict[str, object]:
+    """All parameters the fitted estimator ran with, defaults included."""
+    return {p.name: v for p, v in model.stages[-1].extractParamMap().items()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,8 +80,8 @@ def csv_roundtrip(spark, sf_dir):
 @query
 def json_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "events_json")
-    source = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
-    source.write.json(path)
+    source = table(spark, sf_dir, "events")
+    source.write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
     return files.scan_json_lines(spark, path, source.schema)
 
 
@@ -92,17 +94,29 @@ def table_roundtrip(spark, sf_dir):
 
 @query
 def append_history(spark, sf_dir):
-    """Two appended runs; readers take the latest one."""
+    """Two runs, the second written twice; readers take the latest one."""
     path = fresh_path(spark, "status_history")
     orders = table(spark, sf_dir, "orders")
     counted = orders.groupBy("o_orderstatus").agg(F.count("*").alias("order_count"))
     early = orders.where(F.col("o_orderdate") < F.lit(fx.SPLIT_AT).cast("timestamp_ntz"))
     first = early.groupBy("o_orderstatus").agg(F.count("*").alias("order_count"))
     tables.append_history(first, path, "run-1", "2026-01-01")
+    tables.append_history(first, path, "run-2", "2026-02-01")
     tables.append_history(counted, path, "run-2", "2026-02-01")
     return tables.latest_run(tables.read_table(spark, path))
 
 
+@query
+def rerun_history(spark, sf_dir):
+    """Rows per run of a history whose runs were each written twice."""
+    path = fresh_path(spark, "rerun_history")
+    counted = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("order_count"))
+    for run, at in (("1", "2026-01-01"), ("1", "2026-01-01"), ("2", "2026-02-01"), ("1", "2026-01-01"), ("2", "2026-02-01")):
+        tables.append_history(counted, path, run, at)
+    history = tables.read_table(spark, path)
+    return history.groupBy("run_id", "run_at").agg(F.count("*").alias("row_count"), F.sum("order_count").alias("order_count"))
+
+
 @query
 def optional_table(spark, sf_dir):
     """Left join onto a table that was never written."""
@@ -314,6 +328,12 @@ def drift_psi(spark, sf_dir):
 
 @query
 def drift_psi_lines(spark, sf_dir):
+    return drift.drift_psi(*_line_sides(spark, sf_dir), LINE_FEATURES)
+
+
+@query
+def drift_psi_injected(spark, sf_dir):
+    """Drift put in on purpose: incoming lines of small quantity are left out."""
     return drift.drift_psi(*_line_sides(spark, sf_dir, shifted=True), LINE_FEATURES)
 
 
@@ -376,6 +396,25 @@ def roc_auc(spark, sf_dir):
     return metrics.roc_auc(_long_scores(spark, sf_dir))
 
 
+def _missing_scores(spark, sf_dir):
+    """Projected, unimputed loans: a score is NULL where a feature is, and some labels are NULL."""
+    b, w = fx.SCORECARDS["scorecard_a"]
+    rows = fx.projected_home(spark, sf_dir).withColumn("score", attribution.logistic_score(w, b))
+    label = F.when(F.col("applicant_id") % 11 != 0, F.col("target"))
+    return rows.select(F.lit("scorecard_a").alias("model"), label.alias("label"), "score")
+
+
+@query
+def roc_auc_missing(spark, sf_dir):
+    """Rows without score or label have no part in the area."""
+    return metrics.roc_auc(_missing_scores(spark, sf_dir))
+
+
+@query
+def metrics_missing(spark, sf_dir):
+    return metrics.classification_metrics(_missing_scores(spark, sf_dir), 0.4)
+
+
 @query
 def roc_auc_ties(spark, sf_dir):
     """A score with few distinct values: ties count half."""
@@ -444,8 +483,59 @@ def feature_importance(spark, sf_dir):
 
 @query
 def tree_shap(spark, sf_dir):
-    model, parts = _trained(spark, sf_dir, "boosting", SMALL_BOOSTING)
-    return attribution.tree_shap(parts.where("is_test").select("applicant_id", *FEATURES), model, FEATURES)
+    model, _ = _trained(spark, sf_dir, "boosting", SMALL_BOOSTING)
+    return attribution.tree_shap(fx.silver_batch(spark, sf_dir).select("applicant_id", *FEATURES), model, FEATURES)
+
+
+@query
+def tree_shap_additive(spark, sf_dir):
+    """Whether attributions and base add up to the margin that the model itself gives, per applicant."""
+    model, _ = _trained(spark, sf_dir, "boosting", SMALL_BOOSTING)
+    rows = models.score(model, fx.silver_batch(spark, sf_dir).select("applicant_id", *FEATURES))
+    explained = attribution.tree_shap(rows, model, FEATURES)
+    total = sum((F.col(attribution.shap_name(f)) for f in FEATURES), F.col("shap_base"))
+    margin = F.log(F.col("score") / (1 - F.col("score"))) / 2  # boosted trees are on half of the log-odds
+    return explained.select("applicant_id", (F.abs(total - margin) < 1e-9).alias("additive"))
+
+
+@query
+def registry_alias(spark, sf_dir):
+    """An alias set forward, back, and beside another one, read after each step."""
+    model, _ = _trained(spark, sf_dir, "logistic", {"maxIter": 5})
+    store, where, seen = fresh_path(spark, "registry"), fresh_path(spark, "models"), []
+    for step, (alias, version) in enumerate([("Champion", None), ("Champion", None), ("Champion", 1), ("Shadow", 1), ("Champion", 2)]):
+        if version is None:
+            registry.register(spark, store, "credit_risk", model, where, alias, {}, "2026-01-01")
+        else:
+            registry.set_alias(spark, store, "credit_risk", alias, version, "2026-01-01")
+        held = tables.read_table(spark, store)
+        seen += [(step, a, registry.resolve_alias(held, "credit_risk", a).first()["version"]) for a in ("Champion", "Shadow")]
+    return small_frame(spark, seen, "step int, alias string, version int")
+
+
+@query
+def managed_table(spark, sf_dir):
+    """A catalog table, written twice and read by name."""
+    name = f"riskweave_{uuid.uuid4().hex}"
+    source = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    for _ in range(2):
+        tables.save_table(source, name)
+    kept = fx.stored(tables.read_table(spark, name), "managed")
+    spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
+@query
+def sketch_rank_error(spark, sf_dir):
+    """Whether the sketched median of each feature is within one thousandth of the ranks from the middle."""
+    rows = fx.stored(fx.projected_home(spark, sf_dir), "projected_home")
+    medians = impute.fit_medians(rows, fixed.MEDIAN_FEATURES)
+    shares = [
+        (F.abs(F.avg(F.when(F.col(f).isNotNull(), (F.col(f) < m).cast("double") + (F.col(f) == m).cast("double") / 2)) - 0.5)
+         <= 0.001 + F.avg(F.when(F.col(f).isNotNull(), (F.col(f) == m).cast("double"))) / 2 + 1 / F.count(f)).alias(f)
+        for f, m in medians.items()
+    ]
+    return rows.agg(*shares).unpivot([], list(medians), "feature", "close")
 
 
 @query
@@ -504,8 +594,13 @@ def model_lifecycle(spark, sf_dir):
 # Explanation
 
 
+def _rounded(name):
+    """To six digits, without a negative zero."""
+    return (F.round(name, 6) + F.lit(0.0)).alias(name)
+
+
 def _shap(spark, sf_dir):
-    scored = fx.scored_home(spark, sf_dir)
+    scored = fx.scored_batch(spark, sf_dir)
     means = attribution.background_means(scored, FEATURES)
     return attribution.linear_shap(scored, fx.SCORECARDS["scorecard_a"][1], means)
 
@@ -513,7 +608,7 @@ def _shap(spark, sf_dir):
 @query
 def linear_shap(spark, sf_dir):
     return _shap(spark, sf_dir).select(
-        "applicant_id", *[F.round(attribution.shap_name(f), 6).alias(attribution.shap_name(f)) for f in FEATURES]
+        "applicant_id", *[_rounded(attribution.shap_name(f)) for f in FEATURES]
     )
 
 
@@ -537,7 +632,7 @@ def _explanations(spark, sf_dir):
 @query
 def explanations(spark, sf_dir):
     return _explanations(spark, sf_dir).withColumns(
-        {c: F.round(c, 6) for c in ("total_risk_score", "top_positive_shap", "top_negative_shap")}
+        {c: _rounded(c) for c in ("total_risk_score", "top_positive_shap", "top_negative_shap")}
     )
 
 
@@ -655,7 +750,7 @@ def metric_eval(spark, sf_dir):
 
 @query
 def chunk_overlap(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where(tx.long_enough(F.col("text")))
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.posexplode(tx.chunks(F.col("text"))).alias("chunk_no", "chunk"))
 
 
@@ -663,13 +758,17 @@ def chunk_overlap(spark, sf_dir):
 
 
 def _audit(spark, sf_dir):
-    scored = fx.scored_home(spark, sf_dir)
-    scores = scored.select("applicant_id", F.col("scorecard_a").alias("model_prediction"))
-    explained = _explanations(spark, sf_dir).where(F.col("total_risk_score") > 0.5)
+    """The whole batch. Documents stand for the explanations of the applicants of their number, so most have none."""
+    shap = _shap(spark, sf_dir)
+    drivers = attribution.local_drivers(shap, FEATURES)
+    scores = shap.select("applicant_id", F.col("scorecard_a").alias("model_prediction"))
+    numbered = ranking.with_ordinal(scores.select(F.col("applicant_id").alias("own_id")), "own_id", "ordinal")
+    costs = _costs(spark, sf_dir).join(numbered, F.col("applicant_id") == F.col("ordinal"))
+    costs = costs.withColumn("applicant_id", F.col("own_id")).drop("own_id", "ordinal")
     return audit.assemble_audit(
         scores,
-        fx.stored(explained, "explanations"),
-        fx.stored(_costs(spark, sf_dir), "costs"),
+        fx.stored(attribution.explanation_records(drivers, "scorecard_a", fx.MODEL_VERSION, run_at()), "explanations"),
+        fx.stored(costs, "costs"),
         fx.stored(drift_psi_lines(spark, sf_dir), "drift_metrics"),
         fx.stored(promotion_gate(spark, sf_dir), "model_comparison"),
         fx.MODEL_VERSION,

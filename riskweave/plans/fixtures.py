@@ -83,11 +83,12 @@ def batch_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incoming batch: one loan per order line shipped from the split date on."""
     c = F.col
     names = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    parts = [*(c(n).cast("string") for n in names), c("l_quantity").cast("int").cast("string")]
     return (
         table(spark, sf_dir, "lineitem")
         .where(c("l_shipdate") >= F.lit(SPLIT_AT).cast("timestamp_ntz"))
         .select(
-            F.md5(F.concat_ws("|", *[c(n).cast("string") for n in names])).alias("row_key"),
+            F.md5(F.concat_ws("|", *parts)).alias("row_key"),
             (c("l_quantity").cast("int") + 18).alias("Age"),
             sc.recode(c("l_returnflag"), {"A": "male", "R": "female"}, "unknown").alias("Sex"),
             (c("l_linenumber") % 5).alias("Job"),
@@ -129,6 +130,12 @@ def scored_home(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(silver_home(spark, sf_dir).withColumns(scores), "scored_home")
 
 
+def scored_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incoming batch with one score column per scorecard, stored."""
+    scores = {name: attribution.logistic_score(w, b) for name, (b, w) in SCORECARDS.items()}
+    return stored(silver_batch(spark, sf_dir).withColumns(scores), "scored_batch")
+
+
 def policy_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "policy_index")
     return grounding.write_index(table(spark, sf_dir, "benchmark"), "item_id", "text", path)

@@ -1,16 +1,19 @@
 """The whole model lifecycle as steps that read and write tables under one root.
 
-Each step reads its inputs from tables and appends or overwrites its own, so any step can be run
-again alone after a failure. ``run_id`` and ``run_at`` tell runs apart; readers take the latest.
+Each step reads its inputs from tables and overwrites its own, or its run's part of a history, so
+any step can be run again alone after a failure. ``run_id`` and ``run_at`` tell runs apart; readers
+take the latest.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskweave.functions import fixed
 from riskweave.operators import (
@@ -23,7 +26,6 @@ from riskweave.operators import (
     metrics,
     models,
     registry,
-    retrieval,
     silver,
     split,
 )
@@ -38,10 +40,24 @@ COMPARISON_SCHEMA = (
     "timestamp string, champion_auc double, champion_f1 double, challenger_auc double, challenger_f1 double, "
     "better_model string, promotion_action string, run_id string, run_at string"
 )
-EXPLANATION_SCHEMA = "applicant_id long, explanation_summary string, total_risk_score double"
+EXPLANATION_SCHEMA = "applicant_id long, explanation_summary string, total_risk_score double, run_id string, run_at string"
 COST_SCHEMA = "applicant_id long, impact_band string, review_flag string"
 
 
+def numbered_rows(df: DataFrame) -> tuple[DataFrame, Column]:
+    """``df`` with a number per row that depends on values only, and the column that holds it.
+
+    Equal rows are numbered among themselves. Two different rows sharing the 60-bit number would be
+    found by the check, which raises.
+    """
+    own = F.xxhash64(*[F.col(c).cast("string") for c in sorted(df.columns)], *[F.col(c).isNull() for c in sorted(df.columns)])
+    place = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
+    out = df.withColumn("_row", own).withColumn("_row_id", F.xxhash64("_row", place).bitwiseAND((1 << 60) - 1)).drop("_row")
+    if not out.groupBy("_row_id").count().where("count > 1").isEmpty():
+        raise ValueError("two rows have one number; pass batch_id")
+    return out, F.col("_row_id")
+
+
 @dataclass(frozen=True)
 class Lifecycle:
     spark: SparkSession
@@ -49,6 +65,7 @@ class Lifecycle:
     run_id: str
     run_at: str
     params: Mapping[str, Mapping] = field(default_factory=dict)
+    score_mode: str = "probability"  # or "class": the champion's side of the comparison is its predicted class
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -68,9 +85,11 @@ class Lifecycle:
         """Both sources on the shared schema, imputed and filtered.
 
         ``batch_id`` must be unique per row; later steps join on it. Without one, rows get a
-        generated number, which is fixed from here on because the table is stored.
+        number made from their values, and from their count among equal rows, so that running the
+        step again gives the same numbers.
         """
-        batch_id = F.monotonically_increasing_id() if batch_id is None else batch_id
+        if batch_id is None:
+            batch, batch_id = numbered_rows(batch)
         self.write(silver.silver_home(home), "projected_home")
         projected = self.read("projected_home")
         filled = impute.impute(projected, impute.fit_medians(projected, fixed.MEDIAN_FEATURES))
@@ -92,17 +111,28 @@ class Lifecycle:
                 kind, parts.where(~F.col("is_test")), FEATURES, "target", self.params.get(kind)
             )
             test = models.score(fitted[kind], test, kind)
-        measured = metrics.evaluate(metrics.long_scores(test, "target", {k: k for k in fitted}))
+        self.write(test.select("applicant_id", "target", *fitted), "test_scores")
+        measured = metrics.evaluate(metrics.long_scores(self.read("test_scores"), "target", {k: k for k in fitted}))
         self.append(metrics.leaderboard(measured), "leaderboard")
-        best = tables.latest_run(self.read("leaderboard")).where("is_champion").first()
+        board = tables.latest_run(self.read("leaderboard")).collect()  # one row per model
+        self._log(fitted, {r["model"]: r for r in board}, "run_log")
+        best = next(r for r in board if r["is_champion"])
         self._register(fitted[best["model"]], {"roc_auc": best["roc_auc"], "f1": best["f1"]})
 
+    def _log(self, fitted: Mapping, measured: Mapping, name: str) -> None:
+        """Parameters, metrics and importances of every fit of the step."""
+        logs = []
+        for kind, model in fitted.items():
+            numbers = {m: measured[kind][m] for m in ("accuracy", "precision", "recall", "f1", "roc_auc")}
+            weights = {r["feature"]: r["importance"] for r in models.importances(model, FEATURES, self.spark).collect()}
+            logs.append(registry.run_log(self.spark, self.run_id, registry.effective_params(model), numbers, weights, kind))
+        self.append(reduce(DataFrame.unionByName, logs).drop("run_id"), name)
+
     def _register(self, model, measured: Mapping[str, float]) -> None:
+        """Register once per run and step; a repeated step finds its version by the time of the run."""
         registry.register(
             self.spark, self.path("registry"), MODEL, model, self.path("models"), CHAMPION, measured, self.run_at
         )
-        log = registry.run_log(self.spark, self.run_id, dict(self.params), measured)
-        tables.save_table(log, self.path("run_log"), mode="append")
 
     def champion(self):
         return registry.load_by_alias(self.read("registry"), MODEL, CHAMPION)
@@ -125,7 +155,11 @@ class Lifecycle:
         )
         incumbent, _ = self.champion()
         scored = models.score(challenger, models.score(incumbent, parts.where("is_test"), "old"), "new")
-        measured = metrics.evaluate(metrics.long_scores(scored, "target", {"old": "old", "new": "new"}))
+        if self.score_mode == "class":
+            scored = scored.withColumn("old", metrics.predicted_class(F.col("old"), 0.5).cast("double"))
+        self.write(scored.select("applicant_id", "target", "old", "new"), "challenger_scores")
+        measured = metrics.evaluate(metrics.long_scores(self.read("challenger_scores"), "target", {"old": "old", "new": "new"}))
+        self._log({"challenger": challenger}, {"challenger": measured.where("model = 'new'").first()}, "challenger_log")
         self.append(metrics.promotion_gate(measured, "old", "new", F.lit(self.run_at)), "model_comparison")
         outcome = tables.latest_run(self.read("model_comparison")).first()
         if outcome["promotion_action"] == fixed.PROMOTED:
@@ -144,13 +178,13 @@ class Lifecycle:
             attributed = attribution.tree_shap(scored, model, FEATURES)
         drivers = attribution.local_drivers(attributed, FEATURES)
         records = attribution.explanation_records(drivers, "score", f"{MODEL}/{version}", F.lit(self.run_at))
-        self.write(records, "explanations")
+        self.append(records, "explanations")
 
     def ground(self, policy: DataFrame, passage_id: str = "paragraph_id", text: str = "text") -> None:
         """Support of each explanation in the policy corpus, and its cost record."""
-        passages = retrieval.corpus_passages(policy, passage_id, text)
+        passages = policy.select(F.col(passage_id).alias("passage_id"), F.col(text).alias("text"))
         index = grounding.write_index(passages, "passage_id", "text", self.path(f"policy_index/{self.run_id}"))
-        said = self.read("explanations").select("applicant_id", "explanation_summary", "total_risk_score")
+        said = tables.latest_run(self.read("explanations")).select("applicant_id", "explanation_summary", "total_risk_score")
         scores = grounding.grounding_scores(said, "applicant_id", "explanation_summary", index)
         costs = governance.cost_records(
             said.join(scores, "applicant_id"), "grounding", "explanation_summary", "total_risk_score", F.lit(self.run_at)
@@ -165,7 +199,7 @@ class Lifecycle:
         drifted = tables.latest_run(self.read("drift_metrics", DRIFT_SCHEMA))
         audited = audit.assemble_audit(
             scores,
-            self.read("explanations", EXPLANATION_SCHEMA),
+            tables.latest_run(self.read("explanations", EXPLANATION_SCHEMA)),
             self.read("hallucination_cost", COST_SCHEMA),
             drifted,
             self.read("model_comparison", COMPARISON_SCHEMA),

@@ -131,7 +131,7 @@ CTES: dict[str, str] = {
                  FROM lineitem GROUP BY l_orderkey) li ON li.l_orderkey = o.o_orderkey""",
     "batch_like": """
       SELECT md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
-                           CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR))) AS row_key,
+                           CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), CAST(CAST(l_quantity AS INT) AS VARCHAR))) AS row_key,
         18 + CAST(l_quantity AS INT) AS Age,
         CASE l_returnflag WHEN 'A' THEN 'male' WHEN 'R' THEN 'female' ELSE 'unknown' END AS Sex,
         CAST(l_linenumber % 5 AS INT) AS Job, l_linestatus AS Housing, l_extendedprice / 10 AS Credit_amount,
@@ -182,6 +182,12 @@ CTES: dict[str, str] = {
     "scored_home": "SELECT *, "
     + ", ".join(f"1 / (1 + exp(-({margin(m)}))) AS {m}" for m in fx.SCORECARDS)
     + " FROM silver_home",
+    "scored_batch": "SELECT *, "
+    + ", ".join(f"1 / (1 + exp(-({margin(m)}))) AS {m}" for m in fx.SCORECARDS)
+    + " FROM silver_batch",
+    "missing_scores": f"""
+      SELECT 'scorecard_a' AS model, target AS label, 1 / (1 + exp(-({margin('scorecard_a')}))) AS score
+      FROM projected_home WHERE applicant_id % 11 <> 0 AND {margin('scorecard_a')} IS NOT NULL""",
     "long_scores": " UNION ALL ".join(
         f"SELECT {text(m)} AS model, target AS label, {m} AS score FROM scored_home" for m in fx.SCORECARDS
     ),
@@ -214,9 +220,9 @@ CTES: dict[str, str] = {
     **drift_ctes("event_drift", "event_base", "event_incoming", ["value"]),
     "shap": "SELECT s.*, "
     + ", ".join(f"{double(w)} * (s.{f} - m.m_{f}) AS shap_{f}" for f, w in fx.SCORECARDS["scorecard_a"][1].items())
-    + " FROM scored_home s CROSS JOIN (SELECT "
+    + " FROM scored_batch s CROSS JOIN (SELECT "
     + each("avg(@) AS m_@", FEATURES)
-    + " FROM silver_home) m",
+    + " FROM silver_batch) m",
     "shap_long": " UNION ALL ".join(
         f"SELECT applicant_id, scorecard_a AS score, {i} AS pos, {text(f)} AS feature, shap_{f} AS shap FROM shap"
         for i, f in enumerate(FEATURES)
@@ -249,10 +255,12 @@ CTES: dict[str, str] = {
       FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{fixed.TOKEN_PATTERN}')) AS term FROM documents) t
       JOIN policy_idf USING (term) GROUP BY 1, 2""",
     "doc_sim": """
-      SELECT d.doc_id, w.item_id, sum(d.x * w.weight) / any_value(n.len) AS sim, sum(d.x * w.weight) AS dot
-      FROM doc_x d JOIN policy_weight w USING (term)
-      JOIN (SELECT doc_id, sqrt(sum(x * x)) AS len FROM doc_x GROUP BY 1) n ON n.doc_id = d.doc_id
-      GROUP BY 1, 2""",
+      SELECT d.doc_id, b.item_id, coalesce(s.sim, 0) AS sim, coalesce(s.dot, 0) AS dot
+      FROM documents d CROSS JOIN benchmark b LEFT JOIN (
+        SELECT d.doc_id, w.item_id, sum(d.x * w.weight) / any_value(n.len) AS sim, sum(d.x * w.weight) AS dot
+        FROM doc_x d JOIN policy_weight w USING (term)
+        JOIN (SELECT doc_id, sqrt(sum(x * x)) AS len FROM doc_x GROUP BY 1) n ON n.doc_id = d.doc_id
+        GROUP BY 1, 2) s ON s.doc_id = d.doc_id AND s.item_id = b.item_id""",
     "doc_top": """
       SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(dot, 9) DESC, item_id) AS rank
                      FROM doc_sim) r WHERE rank <= 2""",
@@ -275,19 +283,21 @@ CTES: dict[str, str] = {
                          ({hexed('CAST(applicant_id AS VARCHAR)', 13)} % 1000000) / CAST(1000000 AS DOUBLE) AS ml_risk_score
                   FROM grounded) h) b""",
     "audit": f"""
-      WITH texts AS (SELECT * FROM explained WHERE total_risk_score > 0.5),
+      WITH texts AS (SELECT * FROM explained),
+      numbered AS (SELECT applicant_id AS own_id, row_number() OVER (ORDER BY applicant_id) - 1 AS ordinal FROM scored_batch),
+      costs AS (SELECT cost.* REPLACE (own_id AS applicant_id) FROM cost JOIN numbered ON cost.applicant_id = ordinal),
       first_text AS (SELECT arg_min(explanation_summary, applicant_id) AS t FROM texts),
-      first_cost AS (SELECT arg_min(review_flag, applicant_id) AS r, arg_min(impact_band, applicant_id) AS b FROM cost)
+      first_cost AS (SELECT arg_min(review_flag, applicant_id) AS r, arg_min(impact_band, applicant_id) AS b FROM costs)
       SELECT s.applicant_id, round(scorecard_a, 4) AS model_prediction,
              CASE WHEN scorecard_a > 0.5 THEN {text(fixed.RISK_HIGH)} WHEN scorecard_a > 0.3 THEN {text(fixed.RISK_MEDIUM)}
                   ELSE {text(fixed.RISK_LOW)} END AS risk_classification,
              coalesce(e.explanation_summary, ft.t || {text(fixed.TEMPLATE_SUFFIX)}, {text(fixed.NO_EXPLANATION)}) AS shap_summary,
-             (SELECT round(avg(psi_score), 4) FROM shift_drift_psi) AS drift_score_avg_psi,
+             (SELECT round(avg(psi_score), 4) FROM line_drift_psi) AS drift_score_avg_psi,
              (SELECT promotion_action FROM gate) AS retraining_status,
              coalesce(c.review_flag, fc.r, {text(fixed.NOT_EVALUATED)}) AS explanation_label,
              coalesce(c.impact_band, fc.b, {text(fixed.NOT_SCORED)}) AS hallucination_cost_band,
              {text(fx.MODEL_VERSION)} AS model_version, {text(AT)} AS timestamp
-      FROM scored_home s LEFT JOIN texts e USING (applicant_id) LEFT JOIN cost c USING (applicant_id)
+      FROM scored_batch s LEFT JOIN texts e USING (applicant_id) LEFT JOIN costs c USING (applicant_id)
       CROSS JOIN first_text ft CROSS JOIN first_cost fc""",
     "neighbours": """
       SELECT * FROM (
@@ -380,7 +390,7 @@ BODIES: dict[str, str] = {
     "paragraph_words": """SELECT CAST(sum(word_count) AS BIGINT) AS sum_word_count, CAST(sum(char_count) AS BIGINT) AS sum_char_count,
       max(paragraph_id) AS max_paragraph_id FROM paragraphs""",
     "csv_roundtrip": "SELECT c_custkey, c_name AS customer_name, c_nationkey, c_acctbal AS account_balance, c_mktsegment FROM customer",
-    "json_roundtrip": "SELECT event_id, user_id, event_type, value, props FROM events",
+    "json_roundtrip": "SELECT * FROM events",
     "table_roundtrip": "SELECT * FROM supplier",
     "append_history": "SELECT o_orderstatus, count(*) AS order_count, 'run-2' AS run_id, '2026-02-01' AS run_at FROM orders GROUP BY 1",
     "optional_table": "SELECT lang, count(*) AS documents, CAST(0 AS BIGINT) AS reviewed FROM documents GROUP BY 1",
@@ -446,7 +456,8 @@ BODIES: dict[str, str] = {
     "drift_hist": """SELECT feature_name, bin, expected_rows, actual_rows, round(expected_share, 6) AS expected_share,
       round(actual_share, 6) AS actual_share FROM line_drift_hist""",
     "drift_psi": "SELECT * FROM silver_drift_psi",
-    "drift_psi_lines": "SELECT * FROM shift_drift_psi",
+    "drift_psi_lines": "SELECT * FROM line_drift_psi",
+    "drift_psi_injected": "SELECT * FROM shift_drift_psi",
     "drift_psi_events": "SELECT * FROM event_drift_psi",
     "drift_trigger": """SELECT round(avg(psi_score), 4) AS avg_psi, arg_max(feature_name, psi_score) AS max_feature,
       bool_or(drift_status = 'Retraining Trigger') AS retraining_trigger FROM silver_drift_psi""",
@@ -463,6 +474,21 @@ BODIES: dict[str, str] = {
       FROM long_scores GROUP BY 1, 2, 3""",
     "classification_metrics": "SELECT * FROM class_metrics",
     "roc_auc": "SELECT * FROM auc",
+    "roc_auc_missing": labelled_auc("missing_scores"),
+    "metrics_missing": """
+      SELECT model, round(avg(CASE WHEN hit = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+             round(coalesce(avg(CASE WHEN hit = 1 THEN label END), 0), 6) AS precision,
+             round(coalesce(avg(CASE WHEN label = 1 THEN hit END), 0), 6) AS recall,
+             round(coalesce(2.0 * sum(hit * label) / nullif(sum(hit) + sum(label), 0), 0), 6) AS f1
+      FROM (SELECT model, label, CASE WHEN score > 0.4 THEN 1 ELSE 0 END AS hit FROM missing_scores) m GROUP BY model""",
+    "tree_shap_additive": "SELECT applicant_id, true AS additive FROM silver_batch",
+    "rerun_history": """SELECT r AS run_id, a AS run_at, count(DISTINCT o_orderpriority) AS row_count, count(*) AS order_count
+      FROM orders, (VALUES ('1', '2026-01-01'), ('2', '2026-02-01')) v(r, a) GROUP BY 1, 2""",
+    "registry_alias": """SELECT CAST(s AS INT) AS step, a AS alias, CAST(v AS INT) AS version FROM (VALUES
+      (0, 'Champion', 1), (0, 'Shadow', 1), (1, 'Champion', 2), (1, 'Shadow', 1), (2, 'Champion', 1), (2, 'Shadow', 1),
+      (3, 'Champion', 1), (3, 'Shadow', 1), (4, 'Champion', 2), (4, 'Shadow', 1)) t(s, a, v)""",
+    "managed_table": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
+    "sketch_rank_error": f"SELECT unnest([{listed(fixed.MEDIAN_FEATURES)}]) AS feature, true AS close",
     "roc_auc_ties": labelled_auc(
         "(SELECT 'discount' AS model, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, l_discount AS score FROM lineitem) s"
     ),
@@ -475,14 +501,15 @@ BODIES: dict[str, str] = {
               greatest(0, least(1, credit_amount / (income_proxy + 1) * 0.1 - age * 0.005 + 0.3)) AS p,
               ({hexed("concat_ws('|', CAST(applicant_id AS VARCHAR), '42')", 13)} % 1000000) / CAST(1000000 AS DOUBLE) AS u
             FROM silver_batch) s""",
-    "linear_shap": f"SELECT applicant_id, {each('round(shap_@, 6) AS shap_@', FEATURES)} FROM shap",
+    "linear_shap": f"SELECT applicant_id, {', '.join(no_minus_zero(f'round(shap_{f}, 6)') + f' AS shap_{f}' for f in FEATURES)} FROM shap",
     "global_importance": "SELECT feature, round(avg(abs(shap)), 6) AS importance FROM shap_long GROUP BY 1",
     "local_drivers": """
       SELECT applicant_id, string_agg(CASE WHEN down_from <= 3 THEN feature END, ',' ORDER BY down_from) AS drivers_up,
              string_agg(CASE WHEN up_from <= 3 THEN feature END, ',' ORDER BY up_from) AS drivers_down
       FROM shap_ranked GROUP BY 1""",
-    "explanations": """SELECT * REPLACE (round(total_risk_score, 6) AS total_risk_score, round(top_positive_shap, 6) AS top_positive_shap,
-      round(top_negative_shap, 6) AS top_negative_shap) FROM explained""",
+    "explanations": "SELECT * REPLACE ("
+    + ", ".join(f"{no_minus_zero(f'round({c}, 6)')} AS {c}" for c in ("total_risk_score", "top_positive_shap", "top_negative_shap"))
+    + ") FROM explained",
     "cosine_topk": "SELECT query_id, passage_id, round(similarity, 4) AS similarity, CAST(rank AS INT) AS rank FROM neighbours",
     "corpus_passages": f"SELECT doc_id AS passage_id, CAST(length(text) AS INT) AS char_count FROM documents WHERE length(trim(text, {WS})) >= 10",
     "context_blocks": contexts(
@@ -511,7 +538,7 @@ BODIES: dict[str, str] = {
     "chunk_overlap": f"""
       SELECT doc_id, CAST(start / 450 AS INT) AS chunk_no, substr(text, start + 1, 500) AS chunk
       FROM (SELECT doc_id, text, CAST(unnest(range(0, greatest(length(text) - 50, 1), 450)) AS INT) AS start
-            FROM documents WHERE length(trim(text, {WS})) >= 10) c""",
+            FROM documents) c""",
     "audit_table": "SELECT * FROM audit",
     "latest_audit": "SELECT * FROM audit ORDER BY timestamp DESC, applicant_id LIMIT 50",
     "dashboard_kpis": """

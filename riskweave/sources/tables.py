@@ -49,17 +49,37 @@ def read_or_empty(spark: SparkSession, target: str, schema: StructType | str) ->
         return spark.createDataFrame([], schema)
 
 
+_RUN_PART = "run_part"
+
+
 def append_history(df: DataFrame, target: str, run_id: str, run_at) -> None:
-    """Append one run's rows under its id and time, so readers can tell runs apart."""
-    save_table(
-        df.withColumns({"run_id": F.lit(run_id), "run_at": F.lit(run_at)}), target, mode="append"
-    )
+    """Add one run's rows under its id and time, so readers can tell runs apart.
+
+    A run is a partition: writing it again, after a failure or on purpose, replaces its own rows
+    and leaves other runs alone. The partition name is prefixed so that it is read back as text.
+    """
+    part = f"run {run_id}"
+    rows = df.withColumns({"run_id": F.lit(run_id), "run_at": F.lit(run_at), _RUN_PART: F.lit(part)})
+    fmt = table_format(df.sparkSession)
+    writer = rows.write.mode("overwrite").format(fmt).partitionBy(_RUN_PART)
+    if fmt == "delta":
+        writer = writer.option("replaceWhere", f"{_RUN_PART} = '{part}'").option("mergeSchema", True)
+    else:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    if _is_path(target):
+        writer.save(target)
+    elif df.sparkSession.catalog.tableExists(target):
+        rows.select(df.sparkSession.read.table(target).columns).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).insertInto(target)
+    else:
+        writer.saveAsTable(target)
 
 
 def latest_run(history: DataFrame) -> DataFrame:
     """Rows of the latest run only: one scalar subquery, then a filter."""
     newest = history.agg(F.max_by("run_id", F.struct("run_at", "run_id")).alias("r")).scalar()
-    return history.where(F.col("run_id") == newest)
+    return history.where(F.col("run_id") == newest).drop(_RUN_PART)
 
 
 def evolve(older: DataFrame, newer: DataFrame) -> DataFrame:

@@ -133,3 +133,19 @@ def test_cost_records(spark):
     assert rows[0]["hallucination_risk"] == 0.9
     unknown = spark.createDataFrame(pd.DataFrame({"b": ["?"]})).select(governance.exposure(F.col("b"))).first()[0]
     assert unknown == "Unknown"
+
+
+def test_a_passage_of_stop_words_counts_and_every_query_gets_k(spark):
+    from riskweave.functions import fixed
+
+    policy = {1: "income limits apply", 2: " ".join(fixed.STOP_WORDS[:3] if isinstance(fixed.STOP_WORDS, (list, tuple)) else sorted(fixed.STOP_WORDS)[:3]), 3: None}
+    path = fresh_path(spark, "index")
+    for _ in range(2):  # writing again replaces
+        index = grounding.write_index(frame(spark, policy, "pid"), "pid", "text", path)
+    queries = frame(spark, {10: "income limits apply", 11: "nothing known", 12: None}, "tid")
+    scores = {r["tid"]: r["grounding"] for r in grounding.grounding_scores(queries, "tid", "text", index).collect()}
+    assert scores == {10: pytest.approx(0.5), 11: 0.0, 12: 0.0}
+    hits = grounding.top_passages(queries, "tid", "text", index).collect()
+    assert sorted((h["tid"], h["rank"], h["passage_id"], round(h["similarity"], 6)) for h in hits) == [
+        (t, r, p, 1.0 if (t, p) == (10, 1) else 0.0) for t in (10, 11, 12) for r, p in ((1, 1), (2, 2))
+    ]

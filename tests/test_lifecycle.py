@@ -9,6 +9,13 @@ SF_DIR = "/root/testdata/sf0.001"
 SMALL = {"logistic": {"maxIter": 5}, "forest": {"numTrees": 3, "maxDepth": 3}, "boosting": {"maxIter": 2, "maxDepth": 3}}
 
 
+def rows_of(steps, name):
+    """Rows but for the model version, which counts registrations, and for ids of fits."""
+    schema = COMPARISON_SCHEMA if name == "model_comparison" else None
+    df = steps.read(name, schema)
+    return sorted(map(repr, df.drop("model_version").collect()))
+
+
 def test_steps_hand_over_through_tables(spark):
     steps = Lifecycle(spark, fresh_path(spark, "lifecycle"), "run-1", "2026-01-01", SMALL)
     batch = fx.batch_like(spark, SF_DIR)
@@ -21,6 +28,15 @@ def test_steps_hand_over_through_tables(spark):
     assert drifted.count() == 5
     compared = steps.read("model_comparison", COMPARISON_SCHEMA).count()
     assert compared == int(drifted.where("psi_score >= 0.2").count() > 0)
+    # Every step again under the same run: the tables hold the same rows.
+    names = ["silver_home", "silver_batch", "leaderboard", "drift_metrics", "model_comparison", "explanations", "hallucination_cost", "audit_table"]
+    held = {n: rows_of(steps, n) for n in names}
+    steps.run(fx.home_like(spark, SF_DIR), batch, fx.table(spark, SF_DIR, "benchmark"), passage_id="item_id")
+    for n in names:
+        assert rows_of(steps, n) == held[n], n
+    log = steps.read("run_log")
+    assert {r["model"] for r in log.select("model").distinct().collect()} == {"logistic", "forest", "boosting"}
+    assert log.where("kind = 'param' and key = 'maxDepth'").count() == 2 and log.where("kind = 'importance'").count() == 15
     # A second run appends to the histories; readers see the new run only.
     again = Lifecycle(spark, steps.root, "run-2", "2026-02-01", SMALL)
     again.monitor()

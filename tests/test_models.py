@@ -150,8 +150,17 @@ def test_registry_versions_alias_and_fallback(spark, rows):
     with pytest.raises(LookupError):
         registry.load_by_alias(table, "other", "Champion")
     log = fresh_path(spark, "runs")
-    save_table(registry.run_log(spark, "r1", {"depth": 3}, {"auc": 0.6}), log, mode="append")
-    assert {tuple(r) for r in read_table(spark, log).collect()} == {("r1", "param", "depth", "3"), ("r1", "metric", "auc", "0.6")}
+    save_table(registry.run_log(spark, "r1", {"depth": 3}, {"auc": 0.6}, {"a": 0.5}, "forest"), log, mode="append")
+    assert {tuple(r) for r in read_table(spark, log).collect()} == {
+        ("r1", "forest", "param", "depth", "3"), ("r1", "forest", "metric", "auc", "0.6"), ("r1", "forest", "importance", "a", "0.5")
+    }
+    registry.set_alias(spark, store, "risk", "Champion", 2, "t3")
+    registry.set_alias(spark, store, "risk", "Champion", 1, "t3")
+    registry.set_alias(spark, store, "risk", "Shadow", 1, "t3")
+    table = read_table(spark, store)
+    assert [registry.resolve_alias(table, "risk", a).first()["version"] for a in ("Champion", "Challenger", "Shadow")] == [1, 2, 1]
+    with pytest.raises(LookupError):
+        registry.set_alias(spark, store, "risk", "Champion", 9, "t4")
 
 
 def test_synthetic_labels_follow_probability(spark):

@@ -9,7 +9,7 @@ from check import connect, difference
 from riskweave.plans.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-PYTHON_STAGES = {"cosine_topk", "context_blocks", "tree_shap"}
+PYTHON_STAGES = {"cosine_topk", "context_blocks", "tree_shap", "tree_shap_additive"}
 # One row per model.
 SMALL_WINDOW = {"leaderboard"}
 
@@ -45,7 +45,7 @@ def test_entry_is_stable(spark):
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
-    plan = contract.queries()["drift_psi_lines"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = contract.queries()["drift_psi_injected"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_shipdate), IsNotNull(l_quantity)" in plan
     assert "l_partkey" not in plan and "l_orderkey" not in plan
 
