@@ -48,20 +48,26 @@ def class_ratio(df: DataFrame, label: str) -> DataFrame:
     )
 
 
+def column_stats(df: DataFrame, columns: list[str], name: str, stats: dict) -> DataFrame:
+    """One row per column with its statistics; rows are not multiplied before they are aggregated."""
+    wide = df.agg(*[F.struct(*[f(F.col(c)).alias(s) for s, f in stats.items()]).alias(c) for c in columns])
+    rows = [F.struct(F.lit(c).alias(name), *[F.col(c).getField(s).alias(s) for s in stats]) for c in columns]
+    return wide.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+
+
 def distribution(df: DataFrame, columns: list[str], exact_median: bool = False) -> DataFrame:
-    """Mean, sample deviation, median, min and max per column from one unpivoted pass."""
-    long = df.select([F.col(c).cast("double") for c in columns]).unpivot(
-        [], columns, "feature", "value"
-    )
-    stats = long.groupBy("feature").agg(
-        F.mean("value").alias("mean"),
-        F.stddev("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        *([] if exact_median else [F.percentile_approx("value", 0.5).alias("median")]),
+    """Mean, sample deviation, median, min and max per column: one wide aggregate, turned to rows."""
+    numbers = df.select([F.col(c).cast("double") for c in columns])
+    stats = column_stats(
+        numbers,
+        columns,
+        "feature",
+        {"mean": F.mean, "std": F.stddev, "min": F.min, "max": F.max}
+        | ({} if exact_median else {"median": lambda c: F.percentile_approx(c, 0.5)}),
     )
     if not exact_median:
         return stats
+    long = numbers.unpivot([], columns, "feature", "value")
     mids = exact_quantiles(long, ["feature"], "value", [0.5], method="discrete")
     return stats.withColumn("median", sc.recode(F.col("feature"), {f: v[0] for (f,), v in mids.items()}, None))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from riskweave.functions.scalars import is_missing
+from riskweave.operators.aggregates import column_stats
 from riskweave.sources.local import small_frame
 
 
@@ -44,15 +45,17 @@ def describe_stats(df: DataFrame, columns: list[str], digits: int = 4) -> DataFr
     for c in columns:
         if not isinstance(df.schema[c].dataType, NumericType):
             raise TypeError(f"{c} is not numeric")
-    long = df.select([F.col(c).cast("double") for c in columns]).unpivot(
-        [], columns, "column_name", "value"
-    )
-    return long.groupBy("column_name").agg(
-        F.count("value").alias("value_count"),
-        F.round(F.mean("value"), digits).alias("mean"),
-        F.round(F.stddev("value"), digits).alias("stddev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    return column_stats(
+        df.select([F.col(c).cast("double") for c in columns]),
+        columns,
+        "column_name",
+        {
+            "value_count": F.count,
+            "mean": lambda c: F.round(F.mean(c), digits),
+            "stddev": lambda c: F.round(F.stddev(c), digits),
+            "min": F.min,
+            "max": F.max,
+        },
     )
 
 

@@ -210,7 +210,7 @@ def silver_contract(spark, sf_dir):
 
 @query
 def dist_compare(spark, sf_dir):
-    home, batch = fx.silver_home(spark, sf_dir), fx.stored(fx.silver_batch(spark, sf_dir), "silver_batch")
+    home, batch = fx.stored(fx.silver_home(spark, sf_dir), "silver_home"), fx.stored(fx.silver_batch(spark, sf_dir), "silver_batch")
     return aggregates.compare_distributions(home, batch, FEATURES, exact_median=True, digits=3)
 
 
