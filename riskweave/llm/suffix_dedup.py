@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from riskweave.llm.superwindows import Bucket, Spans, byte_units, covered, spans
 from riskweave.llm.words import mix, powers, running
 
 SIZE, GRAM = 200, 32
-_SHARD = 4 << 20
+_SHARD = 3 << 20
 
 
 def suffix_types(text: np.ndarray) -> np.ndarray:
@@ -39,9 +40,9 @@ def _deal(suffixes: np.ndarray, text: np.ndarray, into: list[list[np.ndarray]],
     if len(rest):
         order = np.argsort(symbol, kind="stable")
         rest, symbol = rest[order], symbol[order]
-        cuts = np.flatnonzero(symbol[1:] != symbol[:-1]) + 1
-        for part, first in zip(np.split(rest, cuts), symbol[np.concatenate(([0], cuts))].tolist(), strict=True):
-            into[first].append(part)
+        cuts = [0, *(np.flatnonzero(symbol[1:] != symbol[:-1]) + 1).tolist(), len(rest)]
+        for begin, end in pairwise(cuts):
+            into[symbol[begin]].append(rest[begin:end])
     return suffixes[same]
 
 
@@ -88,14 +89,33 @@ def induce(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray, symbols: int)
 
 
 def _order(names: np.ndarray, depth: int) -> np.ndarray:
-    """Ranks of the suffixes of a string of names by their first ``depth`` names or more; each level sorts pairs of the last."""
-    width = 1
-    while width < depth and len(names) and int(names.max()) + 1 < len(names):
-        second = np.zeros(len(names), np.int64)
-        second[:-width] = names[width:] + 1
-        names = np.unique(names * (len(names) + 1) + second, return_inverse=True)[1]
+    """Ranks of the suffixes of a string of names by their first ``depth`` names or more.
+
+    Each level sorts pairs of the last level's ranks, and only where ranks are still shared.
+    """
+    order = np.argsort(names, kind="stable")
+    sorted_names = names[order]
+    place = np.arange(len(names))
+    heads = np.maximum.accumulate(np.where(np.append(True, sorted_names[1:] != sorted_names[:-1]), place, 0))
+    rank = np.empty(len(names), np.int64)
+    rank[order] = heads
+    width, shared = 1, place
+    while width < depth:
+        new = np.append(heads[1:] != heads[:-1], True)  # the last of its group
+        shared = shared[~(new & np.append(True, new[:-1]))]  # groups of one are settled
+        if not len(shared):
+            break
+        at = order[shared]
+        behind = at + width
+        second = np.where(behind < len(rank), rank[np.minimum(behind, len(rank) - 1)] + 1, 0)
+        key = rank[at] * (len(rank) + 1) + second
+        by = np.argsort(key)
+        at, key = at[by], key[by]
+        order[shared] = at
+        heads = shared[np.maximum.accumulate(np.where(np.append(True, key[1:] != key[:-1]), np.arange(len(key)), 0))]
+        rank[at] = heads
         width *= 2
-    return names
+    return rank
 
 
 def suffix_array(text: np.ndarray, symbols: int = 258, depth: int = SIZE) -> np.ndarray:
@@ -138,9 +158,9 @@ def permuted_prefixes(raw: bytes, order: np.ndarray, window: np.ndarray, size: i
     for step in [*range(0, size - 7, 8), size - 8]:
         same = eights[here + step] == eights[there + step]
         here, there = here[same], there[same]
-        out[here] = step + 8
         if not len(here):
             break
+        out[here] = step + 8
     return out
 
 
@@ -159,8 +179,7 @@ def repeated_places(chunks: list[bytes], size: int = SIZE) -> list[np.ndarray]:
     np.add.at(edge, np.maximum(ends - size + 1, begins), -1)
     window[:] = np.cumsum(edge[:-1]) > 0
     order = suffix_array(text, depth=size)
-    shared = permuted_prefixes(raw, order, window, size)
-    hit = shared[order[1:]] >= size
+    hit = permuted_prefixes(raw, order, window, size)[order[1:]] >= size
     again = np.zeros(len(raw), bool)
     again[order[1:][hit]] = True
     again[order[:-1][hit]] = True
@@ -176,7 +195,7 @@ def _anywhere(size: int):
         kind = np.array([kinds.setdefault(c, len(kinds)) for c in bucket.chunks], np.int64)
         strings = list(kinds)
         rows = np.bincount(kind, minlength=len(strings))
-        repeated = (rows > 1) | (np.bincount(kind, bucket.multi, len(strings)) > 0)
+        repeated = rows > 1
         first_row = np.full(len(strings), -1)
         first_row[kind[::-1]] = np.arange(len(kind))[::-1]
         m = bucket.m[first_row]

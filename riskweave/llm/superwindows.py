@@ -1,7 +1,8 @@
 """Windows of a text, packed by their minimiser: runs of consecutive windows with one minimiser travel as one string.
 
-A window is ``size`` units long (words or bytes). Its minimiser is the smallest hash of the ``gram``-unit runs inside it,
-so equal windows have equal minimisers wherever they stand, and can only meet in the bucket of that minimiser.
+A window is ``size`` units long (words or bytes). Its minimiser is the smallest hash of the ``gram``-unit runs inside it.
+Equal windows have equal minimisers wherever they stand, and can only meet in the
+bucket of that minimiser.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +23,9 @@ from riskweave.llm.words import bit_set, find_words, in_set, mix, powers, runnin
 
 #: Windows in one packed string, strings of one minimiser that may meet in one bucket, bits of the lookup tables.
 MOST_WINDOWS, CROWD, MOST_BITS = 256, 20_000, 26
-_CHUNK = "m long, chunk binary, key long, digest long, first int, n int, multi boolean, sure boolean"
-_NAMES = ["m", "chunk", "key", "digest", "first", "n", "multi", "sure"]
+_CHUNK = "m long, chunk binary, key long, digest long, first int, n int, sure boolean"
+#: Bytes of text that numpy arrays are built over at once.
+SLICE = 1 << 19
 
 
 @dataclass
@@ -103,7 +106,7 @@ def runs(units: Units, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np
 
 def _tally(units_of: Callable, size: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             units = units_of(batch.column("text"), gram)
             _, at, n, m, places = runs(units, size, gram)
             _, once = np.unique(mix(m + np.uint64(1)) ^ units.content(at, n + size - 1), return_index=True)
@@ -118,10 +121,8 @@ def _tally(units_of: Callable, size: int, gram: int):
 def _packed(units_of: Callable, size: int, gram: int, repeated: np.ndarray, crowded: np.ndarray, both_ways: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[bytes, tuple[int, int]] = {}
-            again: set[bytes] = set()
-            waiting: dict[bytes, tuple] = {}
-            for part in slices([batch]):
+            seen: dict[bytes, tuple[int, int] | bool] = {}
+            for part in slices([batch], limit=SLICE):
                 units = units_of(part.column("text"), gram)
                 row, at, n, m, _ = runs(units, size, gram)
                 hit = np.flatnonzero(in_set(repeated, m)) if len(m) else np.zeros(0, np.int64)
@@ -134,41 +135,41 @@ def _packed(units_of: Callable, size: int, gram: int, repeated: np.ndarray, crow
                     m = np.concatenate((m[~crowd], units.content(one, np.full(len(one), size))))
                     n = np.concatenate((n[~crowd], np.ones(len(one), np.int64)))
                 key, digest = part.column("key").to_numpy(), part.column("digest").to_numpy()
-                sure = []
+                sure, sent = [], []
                 for r, a, windows, value in zip(row.tolist(), at.tolist(), n.tolist(), m.view(np.int64).tolist(), strict=True):
                     chunk = units.pack(a, windows + size - 1)
+                    name = xxhash.xxh3_128_digest(chunk)
                     own = (int(key[r]), a - int(units.begin[r]))
-                    had = seen.get(chunk)
+                    had = seen.get(name)
+                    place = (own[0], int(digest[r]), own[1], windows)
                     if had is None:
-                        seen[chunk] = own
-                        waiting[chunk] = (value, chunk, own[0], int(digest[r]), own[1], windows)
-                    elif both_ways:  # every place of a repeated string goes; one of them stays to meet other strings
-                        again.add(chunk)
-                        sure.append((own[0], int(digest[r]), own[1], windows))
-                    elif own > had:
-                        sure.append((own[0], int(digest[r]), own[1], windows))
-                    else:
-                        yield _rows([(value, chunk, own[0], int(digest[r]), own[1], windows)], set())
+                        seen[name] = own
+                    elif both_ways and had is True or not both_ways and own > had:
+                        sure.append(place)
+                        continue
+                    elif both_ways:  # the second of a string tells its bucket that it comes again; further ones need not
+                        seen[name] = True
+                    sent.append((value, chunk, *place))
+                if sent:
+                    yield _rows(sent)
                 if sure:
                     yield _sure(sure)
-            if waiting:
-                yield _rows(list(waiting.values()), again)
 
     return run
 
 
-_SCHEMA = pa.schema([("m", pa.int64()), ("chunk", pa.binary()), ("key", pa.int64()), ("digest", pa.int64()), ("first", pa.int32()), ("n", pa.int32()), ("multi", pa.bool_()), ("sure", pa.bool_())])
+_SCHEMA = pa.schema([("m", pa.int64()), ("chunk", pa.binary()), ("key", pa.int64()), ("digest", pa.int64()), ("first", pa.int32()), ("n", pa.int32()), ("sure", pa.bool_())])
 
 
-def _rows(found: list[tuple], again: set[bytes]) -> pa.RecordBatch:
-    columns = [*zip(*found, strict=True), [f[1] in again for f in found], [False] * len(found)]
+def _rows(found: list[tuple]) -> pa.RecordBatch:
+    columns = [*zip(*found, strict=True), [False] * len(found)]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA, strict=True)], schema=_SCHEMA)
 
 
 def _sure(found: list[tuple]) -> pa.RecordBatch:
     key, digest, first, n = zip(*found, strict=True)
     spread = [hash((k, f)) for k, f in zip(key, first, strict=True)]
-    columns = [spread, [None] * len(found), key, digest, first, n, [False] * len(found), [True] * len(found)]
+    columns = [spread, [None] * len(found), key, digest, first, n, [True] * len(found)]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA, strict=True)], schema=_SCHEMA)
 
 
@@ -182,19 +183,18 @@ class Bucket:
     digest: np.ndarray
     first: np.ndarray
     n: np.ndarray
-    multi: np.ndarray
 
 
 Spans = tuple[np.ndarray, np.ndarray, np.ndarray]  # row of the bucket, first window, windows
 
 
-def _in_buckets(judge: Callable[[Bucket], Spans], most_bytes: int = 4 << 20):
+def _in_buckets(judge: Callable[[Bucket], Spans], most_bytes: int = 3 << 20):
     names = ["key", "digest", "first", "n"]
 
     def judged(tables: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(tables).combine_chunks()
         get = lambda c: t.column(c).to_numpy()
-        bucket = Bucket(t.column("chunk").to_pylist(), *(get(c) for c in ("m", "key", "digest", "first", "n", "multi")))
+        bucket = Bucket(t.column("chunk").to_pylist(), *(get(c) for c in ("m", "key", "digest", "first", "n")))
         row, first, n = judge(bucket)
         columns = [bucket.key[row], bucket.digest[row], (bucket.first[row] + first).astype(np.int32), n.astype(np.int32)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
@@ -230,7 +230,7 @@ def spans(docs: DataFrame, size: int, gram: int, units_of: Callable, judge: Call
     Pass 1 counts minimisers, summed per slice before the shuffle. Those that occur once cannot hold a repeated window;
     the others are set in a table of at most 2**26 bits, whatever the corpus: at sizes where it fills up, more strings
     travel, and none is missed. Pass 2 sends packed strings to buckets. A string that comes again in its Arrow batch is
-    decided there, so a passage that a third of all documents share leaves one string per batch. A minimiser with more
+    decided there, so a passage that a third of all documents share leaves one or two strings per batch. A minimiser with more
     than ``CROWD`` strings is crowded: its windows travel singly, by their own hashes.
     """
     texts = keyed(docs).select("key", "digest", "text")

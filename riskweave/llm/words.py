@@ -38,7 +38,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2**64, at least ``n`` of each."""
-    n = 1 << max(n, 1 << 20).bit_length()
+    n = 1 << max(n, 1 << 19).bit_length()
     return _powers(_BASE, n), _powers(_INVERSE, n)
 
 
