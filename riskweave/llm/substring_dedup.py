@@ -76,7 +76,7 @@ def _later(size: int):
 
 def repeated_windows(docs: DataFrame, size: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(key, digest, spans): runs of word windows whose sequence starts earlier in the corpus, per document with any."""
-    return spans(docs, size, gram, word_units, _later(size), both_ways=False)
+    return spans(docs, size, gram, word_units, _later(size), both_ways=False, orders=1)
 
 
 def cut_words(text: bytes, found: list | None, size: int = WINDOW) -> tuple[bytes, int, int]:

@@ -225,7 +225,7 @@ def _anywhere(size: int):
 
 def repeated_bytes(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     """(key, digest, spans): runs of byte windows that also start anywhere else in the corpus, per document with any."""
-    return spans(docs, size, gram, byte_units, _anywhere(size), both_ways=True)
+    return spans(docs, size, gram, byte_units, _anywhere(size), both_ways=True, orders=2)
 
 
 def cut_bytes(text: bytes, found: list | None, size: int = SIZE) -> tuple[bytes, int, int]:

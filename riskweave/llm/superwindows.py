@@ -1,7 +1,7 @@
 """Windows of a text, packed by their minimiser: runs of consecutive windows with one minimiser travel as one string.
 
-A window is ``size`` units long (words or bytes). Its minimiser is the smallest hash of the ``gram``-unit runs inside it.
-Equal windows have equal minimisers wherever they stand, and can only meet in the
+A window is ``size`` units long (words or bytes). Its minimiser is the smallest hash of the ``gram``-unit runs inside it,
+or those in two orders, taken together. Equal windows have equal minimisers wherever they stand, and can only meet in the
 bucket of that minimiser.
 """
 
@@ -77,23 +77,29 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(out[:-rest], out[rest:]) if len(out) > rest else out[:0]) if rest else out
 
 
+#: Orders of grams. Windows that repeat have the minimisers of both in common, windows at the edge of a shared passage do
+#: not; a second order halves the runs, so it pays where many windows would travel for one gram.
+_ORDERS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344], np.uint64)
 _PLACE = np.uint64(31)  # bits for a gram's place, enough for any text that fits in a row
 
 
-def runs(units: Units, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def runs(units: Units, size: int, gram: int, orders: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first unit, windows, minimiser, places of the minimiser) of each packed run of the slice.
 
     The smallest upper hash bits, leftmost at ties, choose a window's minimiser, so its choice depends on the window only.
     """
-    places = np.arange(len(units.grams), dtype=np.uint64)
-    smallest = sliding_min((units.grams >> _PLACE) << _PLACE | places, size - gram + 1)
     counts = np.maximum(np.diff(units.begin) - size + 1, 0)  # windows per text
     row = np.repeat(np.arange(len(counts)), counts)
     at = np.repeat(units.begin[:-1] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(len(row))
     if not len(at):
         return row, at, at, np.zeros(0, np.uint64), at
-    place = (smallest[at] & ((np.uint64(1) << _PLACE) - np.uint64(1))).astype(np.int64)
-    m = units.grams[place]
+    places = np.arange(len(units.grams), dtype=np.uint64)
+    m, place = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64)
+    for salt in _ORDERS[:orders]:
+        smallest = sliding_min((mix(units.grams ^ salt) >> _PLACE) << _PLACE | places, size - gram + 1)[at]
+        here = (smallest & ((np.uint64(1) << _PLACE) - np.uint64(1))).astype(np.int64)
+        m = mix(m + units.grams[here])
+        place = place * 3 + here
     new = np.ones(len(at), bool)
     new[1:] = (m[1:] != m[:-1]) | (row[1:] != row[:-1])
     i = np.arange(len(at))
@@ -104,11 +110,11 @@ def runs(units: Units, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np
     return row[first], at[first], last - first + 1, m[first], 1 + moved[last] - moved[first]
 
 
-def _tally(units_of: Callable, size: int, gram: int):
+def _tally(units_of: Callable, size: int, gram: int, orders: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SLICE):
             units = units_of(batch.column("text"), gram)
-            _, at, n, m, places = runs(units, size, gram)
+            _, at, n, m, places = runs(units, size, gram, orders)
             _, once = np.unique(mix(m + np.uint64(1)) ^ units.content(at, n + size - 1), return_index=True)
             values, into = np.unique(m, return_inverse=True)
             total = np.bincount(into, places, len(values)).astype(np.int64)
@@ -118,13 +124,13 @@ def _tally(units_of: Callable, size: int, gram: int):
     return run
 
 
-def _packed(units_of: Callable, size: int, gram: int, repeated: np.ndarray, crowded: np.ndarray, both_ways: bool):
+def _packed(units_of: Callable, size: int, gram: int, orders: int, repeated: np.ndarray, crowded: np.ndarray, both_ways: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: dict[bytes, tuple[int, int] | bool] = {}
             for part in slices([batch], limit=SLICE):
                 units = units_of(part.column("text"), gram)
-                row, at, n, m, _ = runs(units, size, gram)
+                row, at, n, m, _ = runs(units, size, gram, orders)
                 hit = np.flatnonzero(in_set(repeated, m)) if len(m) else np.zeros(0, np.int64)
                 row, at, n, m = row[hit], at[hit], n[hit], m[hit]
                 crowd = in_set(crowded, m) if len(m) else np.zeros(0, bool)
@@ -224,7 +230,7 @@ def _in_buckets(judge: Callable[[Bucket], Spans], most_bytes: int = 3 << 20):
     return run
 
 
-def spans(docs: DataFrame, size: int, gram: int, units_of: Callable, judge: Callable[[Bucket], Spans], both_ways: bool) -> DataFrame:
+def spans(docs: DataFrame, size: int, gram: int, units_of: Callable, judge: Callable[[Bucket], Spans], both_ways: bool, orders: int) -> DataFrame:
     """(key, digest, spans array of (first, n)): runs of windows to cut, per document.
 
     Pass 1 counts minimisers, summed per slice before the shuffle. Those that occur once cannot hold a repeated window;
@@ -234,11 +240,11 @@ def spans(docs: DataFrame, size: int, gram: int, units_of: Callable, judge: Call
     than ``CROWD`` strings is crowded: its windows travel singly, by their own hashes.
     """
     texts = keyed(docs).select("key", "digest", "text")
-    tally = texts.mapInArrow(_tally(units_of, size, gram), "m long, n long, chunks long")
+    tally = texts.mapInArrow(_tally(units_of, size, gram, orders), "m long, n long, chunks long")
     many = stored(tally.groupBy("m").agg(F.sum("n").alias("n"), F.sum("chunks").alias("chunks")).where("n > 1").select("m", "chunks"), "minimisers")
     bits = min(MOST_BITS, max(12, math.ceil(math.log2(1 + many.count())) + 4))
     repeated, crowded = bit_set(many, "m", bits), bit_set(many.where(F.col("chunks") > CROWD), "m", min(bits, 22))
-    packed = texts.mapInArrow(_packed(units_of, size, gram, repeated, crowded, both_ways), _CHUNK)
+    packed = texts.mapInArrow(_packed(units_of, size, gram, orders, repeated, crowded, both_ways), _CHUNK)
     buckets = packed.repartition(partitions(docs.sparkSession), "m").sortWithinPartitions("sure", "m")
     cut = buckets.mapInArrow(_in_buckets(judge), "key long, digest long, first int, n int")
     return cut.groupBy("key", "digest").agg(F.collect_set(F.struct("first", "n")).alias("spans"))
