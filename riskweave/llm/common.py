@@ -55,9 +55,14 @@ def with_verdict(docs: DataFrame, verdicts: DataFrame, how: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage in a way that survives lost executors."""
+    return stored_at(df, name)[0]
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``stored``, with the path, for an owner that removes the table when nothing reads it any more."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def partitions(spark: SparkSession) -> int:
