@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from riskweave.llm.common import slices
 from riskweave.llm.folds import in_fold, training_rows
@@ -140,8 +141,9 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_chars(rows: DataFrame) -> DataFrame:
-    """``n_chars`` as a double that may be null, also where the table has no such column."""
-    return rows.withColumn("n_chars", F.expr("try_cast(n_chars AS double)") if "n_chars" in rows.columns else F.lit(None).cast("double"))
+    """``n_chars`` as a double that may be null, also where the table has no such column or one that is no number."""
+    numeric = "n_chars" in rows.columns and isinstance(rows.schema["n_chars"].dataType, NumericType)
+    return rows.withColumn("n_chars", F.col("n_chars").cast("double") if numeric else F.lit(None).cast("double"))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = FOLDS, held_out: int = HELD_OUT, most: int = FIT_ROWS) -> Machine:
@@ -178,7 +180,9 @@ def score(docs: DataFrame, machine: Machine, cut: float = CUT, folds: int = FOLD
 
 
 def keep_good(docs: DataFrame, machine: Machine, cut: float = CUT) -> DataFrame:
-    """The rows of ``docs`` that the machine accepts, with all columns, in one pass."""
+    """The rows of ``docs`` that the machine accepts, with all columns, in one pass. An ``n_chars`` that is no number is
+    not looked at."""
+    numeric = "n_chars" in docs.columns and isinstance(docs.schema["n_chars"].dataType, NumericType)
     table = np.concatenate((machine.weight[:, None], machine.factor), 1)
     bias = machine.bias
 
@@ -186,7 +190,7 @@ def keep_good(docs: DataFrame, machine: Machine, cut: float = CUT) -> DataFrame:
         own = Machine(bias, table[:, 0], table[:, 1:])
         for batch in batches:
             texts = pa.compute.fill_null(batch.column("text").cast(pa.binary()), b"")
-            chars = batch.column("n_chars").cast(pa.float64()) if "n_chars" in batch.schema.names else pa.nulls(batch.num_rows, pa.float64())
+            chars = batch.column("n_chars").cast(pa.float64()) if numeric else pa.nulls(batch.num_rows, pa.float64())
             parts = slices([pa.RecordBatch.from_arrays([texts, chars], ["text", "n_chars"])], limit=1 << 20)
             good = [own.score(features(p.column("text"), _chars(p))) >= cut for p in parts]
             yield batch.filter(pa.array(np.concatenate([*good, np.zeros(0, bool)])))
