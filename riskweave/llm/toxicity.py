@@ -20,7 +20,7 @@ FOLDS, HELD_OUT, CUT = 3, 1, 0.7
 #: Most labelled rows that a fit reads, and most terms of a lexicon, over any corpus.
 FIT_ROWS, TERMS = 24_000, 2_000
 _WINDOW = 48  # bytes on either side of a hit
-_KNOWN = 300_000  # words whose verdict a worker remembers
+_KNOWN = 200_000  # words whose verdict a worker remembers
 _QUOTES = re.compile("[\"“”„«»‘’]|(?<![^\\W_])'|'(?![^\\W_])")
 #: Words that announce a quotation or a mention, fixed values.
 _REPORTS = re.compile(r"\b(?:said|says|quote[ds]?|quoting|called|calls|word|words|term|terms|wrote|writes|phrase|slur|insult|report(?:ed|s)?|sagte|wort|zitat|nannte|dit|mot|cite|dijo|palabra|cita)\b")
@@ -149,7 +149,7 @@ class Finder:
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, toxic texts, other texts, hashes of the words before it in toxic texts), summed within a batch."""
-    for batch in slices(batches, limit=8 << 20):
+    for batch in slices(batches, limit=1 << 20):
         label = batch.column("label").to_numpy()
         words = plain_words(lowered(batch.column("text")))
         row = words.rows
@@ -199,7 +199,7 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
 def _hits(lexicon: dict[str, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(lexicon)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=1 << 20):
             x = finder.features(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *(pa.array(x[:, k]) for k in range(N_FEATURES))], ["doc_id", "label", *(f"x{k}" for k in range(N_FEATURES))])
 
@@ -224,7 +224,7 @@ def score(docs: DataFrame, lexicon: dict[str, float], weights: np.ndarray, cut:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(lexicon)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=1 << 20):
             margin = finder.features(batch.column("text")) @ weights[:-1] + weights[-1]
             scores = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
