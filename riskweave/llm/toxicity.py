@@ -6,6 +6,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ FOLDS, HELD_OUT, CUT = 3, 1, 0.7
 #: Most labelled rows that a fit reads, and most terms of a lexicon, over any corpus.
 FIT_ROWS, TERMS = 24_000, 2_000
 _WINDOW = 48  # bytes on either side of a hit
-_KNOWN = 200_000  # words whose verdict a worker remembers
+_KNOWN = 400_000  # words whose verdict a worker remembers
 _QUOTES = re.compile("[\"“”„«»‘’]|(?<![^\\W_])'|'(?![^\\W_])")
 #: Words that announce a quotation or a mention, fixed values.
 _REPORTS = re.compile(r"\b(?:said|says|quote[ds]?|quoting|called|calls|word|words|term|terms|wrote|writes|phrase|slur|insult|report(?:ed|s)?|sagte|wort|zitat|nannte|dit|mot|cite|dijo|palabra|cita)\b")
@@ -32,7 +33,11 @@ def allowed_edits(length: int) -> int:
 
 
 class Trie:
-    """Lexicon as a trie; every node knows the shortest and longest rest below it, so that hopeless branches are cut."""
+    """Lexicon as a trie; every node knows the shortest and longest rest below it, so that hopeless branches are cut.
+
+    A word within k edits of a term holds one of any k + 1 pieces of the term unchanged; words without a piece of any term
+    need no walk.
+    """
 
     def __init__(self, terms: dict[str, float]):
         self.children: list[dict[str, int]] = [{}]
@@ -46,6 +51,12 @@ class Trie:
                     self.term.append(None)
                 node = self.children[node][char]
             self.term[node] = term
+        self.pieces: dict[int, set[str]] = {}
+        for term in terms:
+            parts = allowed_edits(len(term)) + 1
+            cuts = [len(term) * i // parts for i in range(parts + 1)]
+            for begin, end in pairwise(cuts):
+                self.pieces.setdefault(end - begin, set()).add(term[begin:end])
         self.shortest, self.longest, self.most = ([0] * len(self.term) for _ in range(3))
         for node in range(len(self.term) - 1, -1, -1):  # children come after their parents
             below = list(self.children[node].values())
@@ -63,6 +74,8 @@ class Trie:
         size = len(word)
         if not self.shortest[0] - 2 <= size <= self.longest[0] + 2:
             return None
+        if not any(word[i : i + n] in held for n, held in self.pieces.items() for i in range(size - n + 1)):
+            return None
         places: dict[str, int] = {}
         for i, char in enumerate(word):
             places[char] = places.get(char, 0) | 1 << i
@@ -224,7 +237,7 @@ def score(docs: DataFrame, lexicon: dict[str, float], weights: np.ndarray, cut:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(lexicon)
-        for batch in slices(batches, limit=1 << 20):
+        for batch in slices(batches):
             margin = finder.features(batch.column("text")) @ weights[:-1] + weights[-1]
             scores = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
