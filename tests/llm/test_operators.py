@@ -12,7 +12,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, decontaminate, lattice, line_dedup, quality, simhash, substring_dedup, suffix_dedup, superwindows, toxicity, warc
+from riskweave.llm import bpe, decontaminate, lattice, line_dedup, near_text, quality, simhash, substring_dedup, suffix_dedup, superwindows, toxicity, warc
 from riskweave.llm.common import LAST_KEY, stored
 from riskweave.llm.components import components
 
@@ -422,6 +422,46 @@ def test_ball_links_miss_nothing(spark):
                 assert find(signed(a)) == find(signed(b))
 
 
+def brute_near(rows):
+    """Kept (key, text) of (doc_id, text) pairs, links of five-word Jaccard of 0.8 or more."""
+    words = [(t or "").lower().encode().split() for _, t in rows]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in words]
+    low = [(LAST_KEY if d is None else d, i) for i, (d, _) in enumerate(rows)]
+    fits = lambda s, t: min(len(s), len(t)) >= 0.8 * max(len(s), len(t)) and len(s & t) >= 0.8 * len(s | t) - 1e-9
+    near = [[j for j, t in enumerate(sets) if fits(s, t)] for s in sets]
+    while (next_low := [min(low[j] for j in js) for js in near]) != low:
+        low = next_low
+    return sets, {k for k, _ in low}
+
+
+def test_near_texts(spark, none):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(400)]
+    say = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    rows = [(None, None), (900, ""), (901, "two Words"), (902, "two words"), (903, "one two three four five"), (904, "one two three four six")]
+    for k in range(25):  # edits of one text from well over to well under the threshold, with links only through others
+        text = say(rng.choice([40, 120, 400]))
+        for j in range(8):
+            rows.append((1000 - 10 * k - j, " ".join(text)))
+            text = list(text)
+            for _ in range(max(1, len(text) // rng.choice([40, 60, 90, 200]))):
+                text[rng.randrange(len(text))] = rng.choice(vocabulary)
+    shared = say(60)
+    rows += [(2000 + k, " ".join(say(50) + shared)) for k in range(20)]
+    hub = say(300)
+    rows += [(3000 + k, " ".join(hub[: 11 * k] + say(30) + hub[11 * k :])) for k in range(25)] + [(3100, " ".join(hub))]
+    sets, want = brute_near(rows)
+    got = corpus_pipeline.keep_distinct(spark, frame(spark, rows), "")
+    assert {LAST_KEY if r.doc_id is None else r.doc_id for r in got.collect()} == want
+    assert 30 < len(want) < len(rows) - 100 and got.columns == frame(spark, rows).columns
+    assert near_text.representatives(none).count() == 0
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sets, want = brute_near([(r.doc_id, r.text) for r in documents.collect()])
+    assert {r.doc_id for r in near_text.representatives(documents).select("doc_id").collect()} == want
+
+
 # -- 10 -----------------------------------------------------------------------------------------------------------------
 
 
