@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -82,6 +83,7 @@ class Machine:
     bias: float
     weight: np.ndarray
     factor: np.ndarray
+    learnt: bool = True  # false where there was no row to learn from
 
     def parts(self, x: Features) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(margin, sum of v x per row, v x per entry); every row has entries."""
@@ -96,10 +98,13 @@ class Machine:
 
 
 def fit(x: Features, label: np.ndarray, passes: int = 12, batch: int = 128, rate: float = 0.02, decay: float = 1e-4, seed: int = 11) -> Machine:
-    """Logistic loss by Adam over small batches in a seeded order; the same rows in the same order give the same machine."""
+    """Logistic loss by Adam over small batches in a seeded order; the same rows in the same order give the same machine.
+
+    Without rows the machine is zero and marked as not learnt.
+    """
     rng = np.random.default_rng(seed)
     if not len(label):
-        return Machine(0.0, np.zeros(SIZE, np.float32), np.zeros((SIZE, FACTORS), np.float32))
+        return Machine(0.0, np.zeros(SIZE, np.float32), np.zeros((SIZE, FACTORS), np.float32), learnt=False)
     share = np.clip(label.mean(), 1e-3, 1 - 1e-3)
     table = np.concatenate((np.zeros((SIZE, 1)), rng.normal(0, 0.02, (SIZE, FACTORS))), 1).astype(np.float32)
     machine = Machine(float(np.log(share / (1 - share))), table[:, 0], table[:, 1:])
@@ -147,7 +152,10 @@ def _with_chars(rows: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = FOLDS, held_out: int = HELD_OUT, most: int = FIT_ROWS) -> Machine:
-    """Fit on at most ``most`` labelled rows outside the held-out fold; features are made in place by Spark."""
+    """Fit on at most ``most`` labelled rows outside the held-out fold; features are made in place by Spark.
+
+    No such row (no labels, only null ones, or none of these documents) gives a machine that is marked as not learnt.
+    """
     rows = _with_chars(training_rows(docs, labels, label, folds, held_out, most))
     # one row repeated many times must not outgrow the bound
     made = rows.mapInArrow(_featurise, "doc_id long, label int, index array<int>, value array<float>").dropDuplicates(["doc_id"]).orderBy("doc_id").limit(most).toArrow()
@@ -162,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
 def score(docs: DataFrame, machine: Machine, cut: float = CUT, folds: int = FOLDS, held_out: int = HELD_OUT) -> DataFrame:
     """(doc_id, held_out, score, predicted) per row, in one pass without a shuffle.
 
-    The machine has a fixed size. Null texts count as empty. A null id is not held out. Only text and ``n_chars`` are read.
+    A machine that has not learnt scores every row 0.5. The machine has a fixed size. Null texts count as empty. A null id is not held out. Only text and ``n_chars`` are read.
     """
     table = np.concatenate((machine.weight[:, None], machine.factor), 1)
     bias = machine.bias
@@ -181,7 +189,10 @@ def score(docs: DataFrame, machine: Machine, cut: float = CUT, folds: int = FOLD
 
 def keep_good(docs: DataFrame, machine: Machine, cut: float = CUT) -> DataFrame:
     """The rows of ``docs`` that the machine accepts, with all columns, in one pass. An ``n_chars`` that is no number is
-    not looked at."""
+    not looked at. A machine that has not learnt knows nothing against any row: all are kept, with a warning."""
+    if not machine.learnt:
+        warnings.warn("no labelled row to learn quality from: all rows are kept", stacklevel=2)
+        return docs
     numeric = "n_chars" in docs.columns and isinstance(docs.schema["n_chars"].dataType, NumericType)
     table = np.concatenate((machine.weight[:, None], machine.factor), 1)
     bias = machine.bias

@@ -206,6 +206,16 @@ def test_classifiers_take_any_row(spark, docs, none, module):
         assert rows_of(kept, "doc_id", "text").total() == got.where("predicted = 1").count()
 
 
+def test_nothing_learnt_keeps_all(spark, docs):
+    labels = spark.createDataFrame([(80, None), (None, 1), (-5, 0), (-6, 1), (-7, 1), (-8, 0)], "doc_id long, quality int")
+    for some in (labels, labels.where("false")):
+        fitted = quality.train(docs, some)
+        with pytest.warns(UserWarning, match="all rows are kept"):
+            kept = quality.keep_good(docs, fitted)
+        assert kept.schema == docs.schema and rows_of(kept, "doc_id", "text") == rows_of(docs, "doc_id", "text")
+        assert quality.score(docs, fitted).where("score <> 0.5 or predicted <> 0").count() == 0
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
