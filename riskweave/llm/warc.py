@@ -195,16 +195,16 @@ def read_archives(spark: SparkSession, path: str, keep_payload: bool = True) ->
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: (capture_id, response, request, metadata array).
+    """One nested row per capture: (capture_id, response, request, requests array, metadata array).
 
-    A response or revisit is a capture. Requests and metadata belong to the capture that their concurrent-to names, or
+    A response, revisit, resource or conversion is a capture, and stands under ``response`` with its type. Requests and metadata belong to the capture that their concurrent-to names, or
     that names them, or to that of a record they name. Records of a capture whose response is missing share a row without
-    response, under the identifier they name. Several requests leave the smallest identifier; a record identifier that
-    comes twice is one record. Records without identifier are left out, as nothing can refer to them. Identifiers only
+    response, under the identifier they name. ``requests`` holds all requests, sorted by identifier, and ``request`` its
+    first or null. A capture identifier that comes twice is one capture. Records without identifier are left out, as nothing can refer to them. Identifiers only
     are joined to find owners; payloads move once, to their capture.
     """
     known = records.where("record_id is not null")
-    main = F.col("type").isin("response", "revisit")
+    main = F.col("type").isin("response", "revisit", "resource", "conversion")
     fields = F.struct(*[c for c in records.columns if c not in ("concurrent_to",)])
     anchors = known.where(main).groupBy("record_id").agg(F.first(fields).alias("response")).withColumnRenamed("record_id", "capture_id")
     others = known.where(~main).where(F.col("type").isin("request", "metadata"))
@@ -217,8 +217,8 @@ def assemble(records: DataFrame) -> DataFrame:
     placed = others.join(owners, others.record_id == owners.child, "left")
     placed = placed.withColumn("capture_id", F.coalesce("anchor", F.get("concurrent_to", F.lit(0)), "record_id"))
     of = lambda kind: F.when(F.col("type") == kind, fields)
-    rest = placed.groupBy("capture_id").agg(F.min_by(of("request"), F.when(F.col("type") == "request", F.col("record_id"))).alias("request"), F.array_sort(F.collect_set(of("metadata"))).alias("metadata"))
-    return anchors.join(rest, "capture_id", "full").select("capture_id", "response", "request", "metadata")
+    rest = placed.groupBy("capture_id").agg(F.min_by(of("request"), F.when(F.col("type") == "request", F.col("record_id"))).alias("request"), *[F.array_sort(F.collect_set(of(kind))).alias(name) for kind, name in (("request", "requests"), ("metadata", "metadata"))])
+    return anchors.join(rest, "capture_id", "full").select("capture_id", "response", "request", "requests", "metadata")
 
 
 def page_captures(spark: SparkSession, pages: DataFrame, path: str) -> DataFrame:

@@ -130,6 +130,20 @@ def test_warc_assembly_and_foreign_archive(spark, tmp_path):
         warc.read_archives(spark, str(tmp_path / "cut.warc")).collect()
 
 
+def test_warc_keeps_all_requests_and_captures(spark, tmp_path):
+    def record(kind, uri, near, block):
+        head = [f"WARC-Type: {kind}", f"WARC-Record-ID: <{uri}>", *(f"WARC-Concurrent-To: <{n}>" for n in near), f"Content-Length: {len(block)}"]
+        return b"WARC/1.0\r\n" + "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    raw = record("request", "q2", ["r1"], b"two") + record("response", "r1", [], b"page") + record("request", "q1", ["r1"], b"one")
+    raw += record("resource", "s1", [], b"file") + record("conversion", "c1", [], b"text") + record("metadata", "m1", ["s1"], b"a: b")
+    (tmp_path / "all.warc").write_bytes(raw)
+    got = {r.capture_id: r for r in warc.assemble(warc.read_archives(spark, str(tmp_path / "all.warc"))).collect()}
+    assert {i: r.response.type for i, r in got.items()} == {"r1": "response", "s1": "resource", "c1": "conversion"}
+    assert [(q.record_id, bytes(q.payload)) for q in got["r1"].requests] == [("q1", b"one"), ("q2", b"two")] and got["r1"].request.record_id == "q1"
+    assert bytes(got["s1"].response.payload) == b"file" and [m.record_id for m in got["s1"].metadata] == ["m1"]
+
+
 # -- 2 ------------------------------------------------------------------------------------------------------------------
 
 
