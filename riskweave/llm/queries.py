@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, decontaminate, lattice, line_dedup, quality, simhash, substring_dedup, suffix_dedup, toxicity, warc
+from riskweave.llm import bpe, decontaminate, lattice, line_dedup, merkle, quality, rules, simhash, spelling, substring_dedup, suffix_dedup, toxicity, warc
 from riskweave.llm.common import table
 from riskweave.sources.shared import fresh_path
 
@@ -58,6 +58,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
@@ -69,4 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_spelling": op11_spelling,
+    "op12_rules": op12_rules,
+    "op13_merkle": op13_merkle,
 }
