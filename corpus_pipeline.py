@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import bpe, decontaminate, line_dedup, near_text, quality
+from riskweave.llm import bpe, decontaminate, line_dedup, quality, simhash
 from riskweave.llm.common import stored_at, table
 from riskweave.sources.shared import remove
 
@@ -23,8 +23,8 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word Jaccard of 0.8 or more), the one with the smallest id."""
-    return near_text.representatives(docs)
+    """One document of each group that links at two or fewer differing SimHash bits, the one with the smallest id."""
+    return simhash.representatives(docs)
 
 
 def keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
