@@ -21,13 +21,13 @@ def corpus_passages(df: DataFrame, passage_id: str = "paragraph_id", text: str =
     return df.where(tx.long_enough(F.col(text))).select(F.col(passage_id).alias("passage_id"), F.col(text).alias("text"))
 
 
-def _unit(vectors: pd.Series) -> np.ndarray:
+def unit_rows(vectors: pd.Series) -> np.ndarray:
     m = np.array(vectors.to_list(), dtype=np.float64)
     length = np.sqrt((m * m).sum(axis=1, keepdims=True))
     return np.divide(m, length, out=np.zeros_like(m), where=length > 0)
 
 
-def _best(
+def block_best(
     queries: pd.DataFrame, units: np.ndarray, ids: np.ndarray, passages: np.ndarray, k: int, skip_same: bool
 ) -> pd.DataFrame:
     """Top k of one block of queries against one block of passages; ties by passage id."""
@@ -89,10 +89,10 @@ def cosine_topk(
     def multiply(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({f.name: [] for f in out})
-        ids, passages = c["passage_id"].to_numpy(), _unit(c["embedding"])
+        ids, passages = c["passage_id"].to_numpy(), unit_rows(c["embedding"])
         step = max(1, tile_bytes // (8 * len(ids)))
         tiles = [q.iloc[start : start + step] for start in range(0, len(q), step)]
-        return pd.concat([_best(t, _unit(t["embedding"]), ids, passages, k, skip_same_id) for t in tiles])
+        return pd.concat([block_best(t, unit_rows(t["embedding"]), ids, passages, k, skip_same_id) for t in tiles])
 
     partial = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(multiply, out)
     order = Window.partitionBy("query_id", "query_no").orderBy(F.desc("similarity"), F.asc("passage_id"))

@@ -28,6 +28,7 @@ from riskweave.operators import (
     retrieval,
     silver,
     split,
+    vector_index,
 )
 from riskweave.plans import fixtures as fx
 from riskweave.plans.fixtures import table
@@ -655,6 +656,31 @@ def cosine_topk(spark, sf_dir):
     return _neighbours(spark, sf_dir).withColumn("similarity", F.round("similarity", 4))
 
 
+def _indexed(spark, sf_dir):
+    """All embeddings as queries and as an index, and the probes that a sample of the queries asks for."""
+    vectors = table(spark, sf_dir, "embeddings")
+    index = vector_index.build_index(vectors.select(F.col("vec_id").alias("passage_id"), "embedding"), fresh_path(spark, "vector_index"))
+    asked = vectors.select(F.col("vec_id").alias("query_id"), "embedding")
+    return asked, index, vector_index.choose_probes(asked, index, 10, skip_same_id=True)
+
+
+@query
+def ann_topk(spark, sf_dir):
+    """For every vector, ten other vectors that are nearest, by probing an index."""
+    asked, index, probes = _indexed(spark, sf_dir)
+    return vector_index.ann_topk(asked, index, 10, probes, True).withColumn("similarity", F.round("similarity", 4))
+
+
+@query
+def ann_recall(spark, sf_dir):
+    """Whether probing finds at least 0.95 of the ten nearest vectors of the exact search, over all vectors as queries."""
+    asked, index, probes = _indexed(spark, sf_dir)
+    corpus = asked.withColumnRenamed("query_id", "passage_id")
+    exact = fx.stored(retrieval.cosine_topk(asked, corpus, 10, True), "exact_topk")
+    measured = vector_index.recall_of(vector_index.ann_topk(asked, index, 10, probes, True), exact)
+    return measured.select("queries", "wanted", (F.col("recall") >= 0.95).alias("recalled"))
+
+
 def _passages(spark, sf_dir):
     return retrieval.corpus_passages(table(spark, sf_dir, "documents"), "doc_id")
 

