@@ -23,6 +23,7 @@ from riskweave.operators import (
     metrics,
     models,
     profile,
+    pruned,
     ranking,
     registry,
     retrieval,
@@ -713,6 +714,28 @@ def top_passages(spark, sf_dir):
     return hits.withColumn("similarity", F.round("similarity", 4))
 
 
+def _pruned_index(spark, sf_dir):
+    return pruned.write_index(table(spark, sf_dir, "benchmark"), "item_id", "text", fresh_path(spark, "pruned_index"))
+
+
+@query
+def pruned_top_passages(spark, sf_dir):
+    """The rows of ``top_passages``, from postings above the cutoffs only."""
+    hits = pruned.top_passages(fx.documents(spark, sf_dir), "doc_id", "text", _pruned_index(spark, sf_dir))
+    return hits.withColumn("similarity", F.round("similarity", 4))
+
+
+@query
+def pruned_grounding(spark, sf_dir):
+    """The scores of ``grounding_score``, from postings above the cutoffs only."""
+    docs = fx.documents(spark, sf_dir)
+    scores = pruned.grounding_scores(docs, "doc_id", "text", _pruned_index(spark, sf_dir))
+    return scores.select(
+        F.col("doc_id").alias("applicant_id"), F.round("grounding", 4).alias("grounding_score"),
+        grounding.hallucination_risk(F.col("grounding")).alias("hallucination_risk"),
+    )
+
+
 @query
 def verdicts(spark, sf_dir):
     graded = fx.grounded_documents(spark, sf_dir)

@@ -520,6 +520,9 @@ BODIES: dict[str, str] = {
     "prompt_rows": f"""SELECT d.doc_id, {prompt(PROMPT_TEMPLATE)} AS prompt
       FROM documents d LEFT JOIN ({contexts('doc_top', 'doc_id', 'benchmark', 'item_id')}) c ON c.query_id = d.doc_id""",
     "top_passages": "SELECT doc_id, item_id AS passage_id, round(sim, 4) AS similarity, CAST(rank AS INT) AS rank FROM doc_top",
+    "pruned_top_passages": "SELECT doc_id, item_id AS passage_id, round(sim, 4) AS similarity, CAST(rank AS INT) AS rank FROM doc_top",
+    "pruned_grounding": """SELECT applicant_id, round(grounding, 4) AS grounding_score, round(1 - grounding, 4) AS hallucination_risk
+      FROM grounded""",
     "verdicts": f"""
       SELECT applicant_id, CASE WHEN grounding < 0.3 THEN '[UNSUPPORTED]' WHEN grounding < 0.5 THEN '[PARTIALLY GROUNDED]'
                ELSE '[GROUNDED]' END AS verdict, 'rule' AS source,
