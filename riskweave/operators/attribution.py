@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from functools import reduce
-from typing import NamedTuple
+from typing import TYPE_CHECKING, NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -16,6 +16,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from riskweave.functions import scalars as sc
 from riskweave.sources.shared import fresh_path
 
+if TYPE_CHECKING:
+    from riskweave.operators.boosting import BoostedTrees
+
 
 def logistic_margin(coefficients: Mapping[str, float], intercept: float) -> Column:
     terms = [F.lit(w) * F.col(f) for f, w in coefficients.items()]
@@ -96,7 +99,10 @@ def explanation_records(df: DataFrame, score: str, model_version: str, at: Colum
 
 
 class TreeNodes(NamedTuple):
-    """One tree of a fitted ensemble as flat arrays; ``feature`` is -1 at a leaf."""
+    """One tree of a fitted ensemble as flat arrays; ``feature`` is -1 at a leaf.
+
+    A value at or below the threshold goes left. Missing values go right, or where ``missing_left`` sends them.
+    """
 
     feature: np.ndarray
     threshold: np.ndarray
@@ -104,6 +110,7 @@ class TreeNodes(NamedTuple):
     right: np.ndarray
     cover: np.ndarray
     value: np.ndarray
+    missing_left: np.ndarray | None = None
 
 
 def ensemble_nodes(model: PipelineModel, spark: SparkSession) -> list[TreeNodes]:
@@ -145,6 +152,7 @@ class LeafPaths(NamedTuple):
     above: np.ndarray  # the row's value must not be at or below this
     upto: np.ndarray  # and must be at or below this, infinite if no split asks for it
     share: np.ndarray  # of the training cover that takes the path where the feature is unknown
+    missing: np.ndarray  # one if a row without a value takes the path, else zero
     value: np.ndarray
 
 
@@ -160,10 +168,12 @@ def leaf_paths(tree: TreeNodes) -> tuple[list[LeafPaths], float]:
             groups.setdefault(len(path), []).append((path, tree.value[node]))
             base += tree.value[node] * np.prod([p[2] for p in path.values()])
             continue
-        above, upto, share = path.get(f, (-np.inf, np.inf, 1.0))
+        above, upto, share, absent = path.get(f, (-np.inf, np.inf, 1.0, 1.0))
+        to_left = float(tree.missing_left is not None and tree.missing_left[node])
         cut, total = tree.threshold[node], tree.cover[tree.left[node]] + tree.cover[tree.right[node]]
-        for child, bounds in ((tree.left[node], (above, min(upto, cut))), (tree.right[node], (max(above, cut), upto))):
-            stack.append((int(child), {**path, f: (*bounds, share * tree.cover[child] / total)}))
+        sides = ((tree.left[node], above, min(upto, cut), to_left), (tree.right[node], max(above, cut), upto, 1 - to_left))
+        for child, low, high, takes in sides:
+            stack.append((int(child), {**path, f: (low, high, share * tree.cover[child] / total, absent * takes)}))
     out = []
     for size, leaves in groups.items():
         if size:
@@ -183,7 +193,7 @@ def _add_paths(x: np.ndarray, paths: LeafPaths, out: np.ndarray) -> None:
     """
     size = paths.feature.shape[1]
     values = x[:, paths.feature]
-    agrees = (((values <= paths.upto) | np.isinf(paths.upto)) & ~(values <= paths.above)).astype(float)
+    agrees = np.where(np.isnan(values), paths.missing, (values <= paths.upto) & ((values > paths.above) | np.isneginf(paths.above)))
     nodes, weights = np.polynomial.legendre.leggauss(size // 2 + 1)
     integral = np.zeros_like(agrees)
     ones = np.ones((*agrees.shape[:2], 1))
@@ -197,16 +207,17 @@ def _add_paths(x: np.ndarray, paths: LeafPaths, out: np.ndarray) -> None:
         out[:, f] += (gain * (paths.feature == f)).sum(axis=(1, 2))
 
 
-def tree_shap(df: DataFrame, model: PipelineModel, features: list[str], block_values: int = 1 << 20) -> DataFrame:
+def tree_shap(df: DataFrame, model: PipelineModel | BoostedTrees, features: list[str], block_values: int = 1 << 20) -> DataFrame:
     """Add exact path-dependent attributions of a tree ensemble, and their base value.
 
     A map-only Arrow stage: no row is replicated and nothing is shuffled. Work per row is leaves
     times the square of the path length, for any number of features; ``block_values`` bounds the
-    numbers held at once.
+    numbers held at once. A model with trees of its own brings them and its base along.
     """
-    fitted = [leaf_paths(tree) for tree in ensemble_nodes(model, df.sparkSession)]
+    trees = model.trees if hasattr(model, "trees") else ensemble_nodes(model, df.sparkSession)
+    fitted = [leaf_paths(tree) for tree in trees]
     groups = [g for paths, _ in fitted for g in paths]
-    base = float(sum(b for _, b in fitted))
+    base = float(sum(b for _, b in fitted)) + getattr(model, "base", 0.0)
     widest = max([g.feature.size for g in groups], default=1)
     names = [shap_name(f) for f in features] + ["shap_base"]
 

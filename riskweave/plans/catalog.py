@@ -16,6 +16,7 @@ from riskweave.operators import (
     aggregates,
     attribution,
     audit,
+    boosting,
     drift,
     governance,
     grounding,
@@ -500,6 +501,42 @@ def tree_shap_additive(spark, sf_dir):
     return explained.select("applicant_id", (F.abs(total - margin) < 1e-9).alias("additive"))
 
 
+SECOND_ORDER = {"rounds": 6, "depth": 4, "bins": 16}
+GAPPED_FEATURES = [*FEATURES, *fixed.EXTERNAL_SCORES]
+
+
+def _second_order(spark, sf_dir):
+    """A model of loans whose missing values were not imputed, and all loans with their part."""
+    rows = fx.projected_home(spark, sf_dir).select("applicant_id", *GAPPED_FEATURES, "target")
+    parts = fx.stored(split.stratified_split(rows, "applicant_id", "target"), "split")
+    return boosting.fit(parts.where("not is_test"), GAPPED_FEATURES, "target", SECOND_ORDER), parts
+
+
+@query
+def train_second_order(spark, sf_dir):
+    model, parts = _second_order(spark, sf_dir)
+    scored = boosting.score(model, parts.where("is_test"))
+    return metrics.evaluate(metrics.long_scores(scored, "target", {"second_order": "score"}))
+
+
+@query
+def second_order_splits(spark, sf_dir):
+    """Gain of every split of the first root, with missing values on either side."""
+    rows = fx.stored(fx.projected_home(spark, sf_dir).select(*GAPPED_FEATURES, "target"), "projected_home")
+    gains = boosting.root_gains(rows, GAPPED_FEATURES, "target", SECOND_ORDER)
+    return gains.withColumns({"edge": F.round("edge", 6), "gain": F.round("gain", 4)})
+
+
+@query
+def second_order_additive(spark, sf_dir):
+    """Whether attributions and base add up to the margin, per applicant, missing values included."""
+    model, parts = _second_order(spark, sf_dir)
+    scored = boosting.score(model, parts.select("applicant_id", *GAPPED_FEATURES), "score", "margin")
+    explained = attribution.tree_shap(scored, model, GAPPED_FEATURES)
+    total = sum((F.col(attribution.shap_name(f)) for f in GAPPED_FEATURES), F.col("shap_base"))
+    return explained.select("applicant_id", (F.abs(total - F.col("margin")) < 1e-9).alias("additive"))
+
+
 @query
 def registry_alias(spark, sf_dir):
     """An alias set forward, back, and beside another one, read after each step."""

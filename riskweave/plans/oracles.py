@@ -379,6 +379,21 @@ def contexts(hits: str, key: str, passages: str, passage_key: str) -> str:
       GROUP BY 1"""
 
 
+GAPPED = [*FEATURES, "ext_source_1", "ext_source_2", "ext_source_3"]
+CTES |= {
+    "boost_rows": " UNION ALL ".join(f"SELECT {text(f)} AS feature, CAST({f} AS DOUBLE) AS v, target AS y FROM projected_home WHERE target IS NOT NULL" for f in GAPPED),
+    "boost_edges": """SELECT DISTINCT feature, v AS edge FROM (
+        SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY v) AS r, count(*) OVER (PARTITION BY feature) AS n, max(v) OVER (PARTITION BY feature) AS top
+        FROM boost_rows WHERE v IS NOT NULL) o, range(1, 17) s(k) WHERE r = ceil(k * n / 16.0) AND v < top""",
+    "boost_sums": """SELECT c.feature, edge, missing_left, g, h, coalesce(CASE WHEN v IS NOT NULL THEN edge IS NULL OR v <= edge END, missing_left) AS is_left
+        FROM (SELECT feature, edge FROM boost_edges UNION ALL SELECT DISTINCT feature, CAST(NULL AS DOUBLE) FROM boost_rows) c,
+             (VALUES (true), (false)) d(missing_left),
+             (SELECT feature, v, CASE WHEN y = 1 THEN lift ELSE 1 END * (0.5 - y) AS g, CASE WHEN y = 1 THEN lift ELSE 1 END * 0.25 AS h
+              FROM boost_rows, (SELECT round(CAST(count(*) FILTER (WHERE target = 0) AS DOUBLE) / count(*) FILTER (WHERE target = 1), 2) AS lift FROM projected_home) w) b
+        WHERE b.feature = c.feature""",
+}
+
+
 def prompt(template: str) -> str:
     head, rest = template.split("{explanation}")
     middle, tail = rest.split("{context}")
@@ -484,6 +499,13 @@ BODIES: dict[str, str] = {
     "tree_shap_additive": "SELECT applicant_id, true AS additive FROM silver_batch",
     "rerun_history": """SELECT r AS run_id, a AS run_at, count(DISTINCT o_orderpriority) AS row_count, count(*) AS order_count
       FROM orders, (VALUES ('1', '2026-01-01'), ('2', '2026-02-01')) v(r, a) GROUP BY 1, 2""",
+    "second_order_additive": "SELECT applicant_id, true AS additive FROM projected_home",
+    "second_order_splits": """
+      SELECT feature, round(edge, 6) AS edge, missing_left,
+             round((gl * gl / (hl + 1) + gr * gr / (hr + 1) - (gl + gr) * (gl + gr) / (hl + hr + 1)) / 2, 4) AS gain
+      FROM (SELECT feature, edge, missing_left, sum(g) FILTER (WHERE is_left) AS gl, sum(h) FILTER (WHERE is_left) AS hl,
+                   sum(g) FILTER (WHERE NOT is_left) AS gr, sum(h) FILTER (WHERE NOT is_left) AS hr
+            FROM boost_sums GROUP BY 1, 2, 3) t WHERE hl >= 1 AND hr >= 1""",
     "registry_alias": """SELECT CAST(s AS INT) AS step, a AS alias, CAST(v AS INT) AS version FROM (VALUES
       (0, 'Champion', 1), (0, 'Shadow', 1), (1, 'Champion', 2), (1, 'Shadow', 1), (2, 'Champion', 1), (2, 'Shadow', 1),
       (3, 'Champion', 1), (3, 'Shadow', 1), (4, 'Champion', 2), (4, 'Shadow', 1)) t(s, a, v)""",
