@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.operators import sketches
 from riskweave.operators.ranking import exact_quantiles
 
 
@@ -15,19 +16,20 @@ def _present(column: str) -> Column:
 
 
 def fit_medians(
-    df: DataFrame, columns: list[str], exact: bool = False, accuracy: int = 10_000
+    df: DataFrame, columns: list[str], exact: bool = False, accuracy: int = 4_000
 ) -> dict[str, float]:
     """Median element of each double column, NULL and NaN left out: one number per column.
 
-    The mergeable sketch needs one scan for all columns; ``exact`` takes up to three. A column
-    without any value is absent from the result.
+    The mergeable sketch needs one scan for all columns and is off the middle rank by at most one
+    part in ``accuracy`` (at 99 % confidence; exact in small tables); ``exact`` takes up to three
+    scans. A column without any value is absent from the result.
     """
     if exact:
         long = df.select(*columns).unpivot([], columns, "feature", "value")
         found = exact_quantiles(long, ["feature"], "value", [0.5], method="discrete")
         return {feature: values[0] for (feature,), values in found.items()}
-    row = df.agg(*[F.percentile_approx(_present(c), 0.5, accuracy).alias(c) for c in columns]).first()
-    return {c: row[c] for c in columns if row[c] is not None}
+    found = sketches.quantiles(sketches.build(df, columns, size=sketches.size_for(1 / accuracy)), [0.5]).collect()
+    return {r["feature"]: r["value"] for r in found}
 
 
 def impute(df: DataFrame, values: Mapping[str, float]) -> DataFrame:

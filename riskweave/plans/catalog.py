@@ -29,6 +29,7 @@ from riskweave.operators import (
     registry,
     retrieval,
     silver,
+    sketches,
     split,
     vector_index,
 )
@@ -577,6 +578,42 @@ def sketch_rank_error(spark, sf_dir):
     return rows.agg(*shares).unpivot([], list(medians), "feature", "close")
 
 
+QUANTILES = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+
+
+def _line_years(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").cast("string").alias("year"), *LINE_FEATURES)
+
+
+def _off_rank(rows, found, keys):
+    """``found`` (keys, feature, probability, value, n) with the distance of each value's ranks from the wanted one."""
+    long = rows.unpivot(keys, LINE_FEATURES, "feature", "v").groupBy(*keys, "feature", "v").agg(F.count("*").alias("c"))
+    both = found.join(F.broadcast(long) if not keys else long, [*keys, "feature"])
+    below, upto = (F.sum(F.when(test, F.col("c")).otherwise(0)) / F.first("n") for test in (F.col("v") < F.col("value"), F.col("v") <= F.col("value")))
+    p = F.col("probability")
+    ranks = both.groupBy(*keys, "feature", "n", "probability").agg(below.alias("below"), upto.alias("upto"))
+    return ranks.withColumn("off", F.greatest(F.col("below") - p, p - F.col("upto"), F.lit(0.0)))
+
+
+@query
+def sketch_quantiles(spark, sf_dir):
+    """Quantiles over the stored sketches of all years, one year written twice: within three rank errors of the rows."""
+    rows, path = _line_years(spark, sf_dir), fresh_path(spark, "sketch_history")
+    years = sorted(r["year"] for r in rows.select("year").distinct().collect())
+    for year in [*years, years[0]]:
+        sketches.append_batch(rows.where(F.col("year") == year), LINE_FEATURES, path, year, fx.RUN_AT.isoformat())
+    found = fx.stored(sketches.history_quantiles(spark, path, QUANTILES), "history_quantiles")
+    return _off_rank(rows.drop("year"), found, []).select("feature", "probability", "n", (F.col("off") <= 3 * sketches.rank_error()).alias("close"))
+
+
+@query
+def sketch_by_year(spark, sf_dir):
+    """The same per year, from one scan with a sketch for each year and feature."""
+    rows = _line_years(spark, sf_dir)
+    found = fx.stored(sketches.quantiles(sketches.build(rows, LINE_FEATURES, ["year"]), QUANTILES), "year_quantiles")
+    return _off_rank(rows, found, ["year"]).select("year", "feature", "probability", "n", (F.col("off") <= 3 * sketches.rank_error()).alias("close"))
+
+
 @query
 def retrain_loop(spark, sf_dir):
     """Champion from the baseline, challenger from the labelled batch, gate, registry."""

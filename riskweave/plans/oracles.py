@@ -511,6 +511,13 @@ BODIES: dict[str, str] = {
       (3, 'Champion', 1), (3, 'Shadow', 1), (4, 'Champion', 2), (4, 'Shadow', 1)) t(s, a, v)""",
     "managed_table": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
     "sketch_rank_error": f"SELECT unnest([{listed(fixed.MEDIAN_FEATURES)}]) AS feature, true AS close",
+    "sketch_quantiles": """SELECT feature, CAST(p AS DOUBLE) AS probability, n, true AS close
+      FROM (SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount']) AS feature, unnest([count(l_quantity), count(l_extendedprice), count(l_discount)]) AS n FROM lineitem) f,
+           (SELECT unnest([0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]) AS p) q""",
+    "sketch_by_year": """SELECT year, feature, CAST(p AS DOUBLE) AS probability, n, true AS close
+      FROM (SELECT year, unnest(['l_quantity', 'l_extendedprice', 'l_discount']) AS feature, unnest([a, b, c]) AS n
+            FROM (SELECT CAST(year(l_shipdate) AS VARCHAR) AS year, count(l_quantity) AS a, count(l_extendedprice) AS b, count(l_discount) AS c FROM lineitem GROUP BY 1) y) f,
+           (SELECT unnest([0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]) AS p) q""",
     "roc_auc_ties": labelled_auc(
         "(SELECT 'discount' AS model, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, l_discount AS score FROM lineitem) s"
     ),
