@@ -1,4 +1,4 @@
-"""Model registry and run log as append-only tables."""
+"""Model registry as a committed table, and run log as an append-only one."""
 
 from __future__ import annotations
 
@@ -9,9 +9,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.sources.tables import read_or_empty, read_table, save_table
+from riskweave.sources.committed import Committed, State
 
-REGISTRY_SCHEMA = "name string, version int, path string, alias string, metrics map<string,double>, registered_at string, set_no int"
+REGISTRY_SCHEMA = "name string, version int, path string, alias string, metrics map<string,double>, registered_at string, set_no int, run string"
 RUN_LOG_SCHEMA = "run_id string, model string, kind string, key string, value string"
 
 
@@ -29,34 +29,53 @@ def register(
     alias: str,
     metrics: Mapping[str, float],
     at: str,
+    run: str | None = None,
 ) -> int:
-    """Save the model, append its registry row and return the new version.
+    """Save the model, add its registry row and return the new version.
 
-    The model's folder has a name of its own, so two writers never overwrite each other; if both
-    took one version, the row is there twice and the later check raises.
+    The row is committed as a whole under the next number of the registry's manifest; of two writers one is first, and
+    the other takes the version after it. ``run`` names the step that registers: when it is repeated, the version it
+    got is returned and nothing is added.
     """
-    version = latest_version(read_or_empty(spark, registry_path, REGISTRY_SCHEMA), name) + 1
-    path = f"{model_path}/{name}/v{version}-{uuid.uuid4().hex[:12]}"
-    model.write().save(path)
-    _append(spark, registry_path, (name, version, path, alias, dict(metrics), at))
-    paths = read_table(spark, registry_path).where((F.col("name") == name) & (F.col("version") == version)).select("path").distinct().count()
-    if paths > 1:
-        raise RuntimeError(f"{name} version {version} was registered by another writer at the same time")
-    return version
+    path = f"{model_path}/{name}/{uuid.uuid4().hex}"
+    store, taken, saved = Committed(spark, registry_path), {}, []
 
+    def row(state: State) -> DataFrame | None:
+        held = _held(store, state)
+        again = held.where((F.col("name") == name) & (F.col("run") == run)).agg(F.min("version")).first()[0] if run else None
+        taken["version"] = again or latest_version(held, name) + 1
+        if again:
+            return None
+        if not saved:
+            model.write().save(path)
+            saved.append(path)
+        return _row(spark, held, (name, taken["version"], path, alias, dict(metrics), at), run)
 
-def _append(spark: SparkSession, registry_path: str, row: tuple) -> None:
-    last = read_or_empty(spark, registry_path, REGISTRY_SCHEMA).agg(F.coalesce(F.max("set_no"), F.lit(0))).first()[0]
-    save_table(spark.createDataFrame([(*row, last + 1)], REGISTRY_SCHEMA), registry_path, mode="append")
+    store.append(row)
+    return taken["version"]
+
+
+def _held(store: Committed, state: State) -> DataFrame:
+    return store.frame(state) if state.live else store.spark.createDataFrame([], REGISTRY_SCHEMA)
+
+
+def _row(spark: SparkSession, held: DataFrame, row: tuple, run: str | None) -> DataFrame:
+    last = held.agg(F.coalesce(F.max("set_no"), F.lit(0))).first()[0]
+    return spark.createDataFrame([(*row, last + 1, run)], REGISTRY_SCHEMA).coalesce(1)
 
 
 def set_alias(spark: SparkSession, registry_path: str, name: str, alias: str, version: int, at: str) -> None:
     """Point an alias at a registered version, older ones included; a version may have several aliases."""
-    known = read_table(spark, registry_path).where((F.col("name") == name) & (F.col("version") == version))
-    row = known.select("path", "metrics").first()
-    if row is None:
-        raise LookupError(f"{name} has no version {version}")
-    _append(spark, registry_path, (name, version, row["path"], alias, row["metrics"], at))
+    store = Committed(spark, registry_path)
+
+    def row(state: State) -> DataFrame:
+        held = _held(store, state)
+        known = held.where((F.col("name") == name) & (F.col("version") == version)).select("path", "metrics").first()
+        if known is None:
+            raise LookupError(f"{name} has no version {version}")
+        return _row(spark, held, (name, version, known["path"], alias, known["metrics"], at), None)
+
+    store.append(row)
 
 
 def resolve_alias(registry: DataFrame, name: str, alias: str, fallback: int = 1) -> DataFrame:

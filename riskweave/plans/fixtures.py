@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from riskweave.functions import fixed
 from riskweave.functions import scalars as sc
 from riskweave.operators import attribution, grounding, impute, silver
 from riskweave.sources import tables
-from riskweave.sources.shared import fresh_path
+from riskweave.sources.shared import exists, fresh_path
 
 RUN_AT = datetime(2026, 1, 1)
 SPLIT_AT = datetime(1998, 1, 1)
@@ -111,6 +112,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return tables.read_table(df.sparkSession, path)
 
 
+_HELD: dict[tuple[str, str, str], str] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table that ``build`` makes of a data folder, stored by the first query of a session that asks for it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _HELD or not exists(spark, _HELD[key]):
+        path = fresh_path(spark, name)
+        tables.save_table(build(), path)
+        _HELD[key] = path
+    return tables.read_table(spark, _HELD[key])
+
+
 def silver_home(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Projected, imputed with the exact medians and filtered."""
     projected = stored(projected_home(spark, sf_dir), "projected_home")

@@ -30,6 +30,7 @@ from riskweave.operators import (
     split,
 )
 from riskweave.sources import tables
+from riskweave.sources.local import small_frame
 
 MODEL = "credit_risk"
 CHAMPION = "Champion"
@@ -41,6 +42,7 @@ COMPARISON_SCHEMA = (
     "better_model string, promotion_action string, run_id string, run_at string"
 )
 EXPLANATION_SCHEMA = "applicant_id long, explanation_summary string, total_risk_score double, run_id string, run_at string"
+MEDIAN_SCHEMA = "feature string, median double, run_id string, run_at string"
 COST_SCHEMA = "applicant_id long, impact_band string, review_flag string"
 
 
@@ -92,13 +94,25 @@ class Lifecycle:
             batch, batch_id = numbered_rows(batch)
         self.write(silver.silver_home(home), "projected_home")
         projected = self.read("projected_home")
-        filled = impute.impute(projected, impute.fit_medians(projected, fixed.MEDIAN_FEATURES))
+        filled = impute.impute(projected, self._medians(projected))
         self.write(silver.keep_labelled_known_gender(filled), "silver_home")
         aligned = impute.impute_constant(
             silver.silver_batch(batch, batch_id), {s: 0.5 for s in fixed.EXTERNAL_SCORES}
         )
         self.write(silver.drop_incomplete(aligned, [*FEATURES, "target"]), "silver_batch")
 
+    def _medians(self, projected: DataFrame) -> dict[str, float]:
+        """Sketched medians, fitted once per run: merging a sketch involves chance, and a repeated step must agree."""
+
+        def held() -> dict[str, float]:
+            rows = self.read("medians", MEDIAN_SCHEMA).where(F.col("run_id") == self.run_id)
+            return {r["feature"]: r["median"] for r in rows.select("feature", "median").collect()}
+
+        if not held():
+            fitted = impute.fit_medians(projected, fixed.MEDIAN_FEATURES)
+            self.append(small_frame(self.spark, list(fitted.items()), "feature string, median double"), "medians")
+        return held()
+
     def train(self) -> None:
         """Three classifiers on one split; the best by AUC, then F1, becomes champion."""
         rows = silver.drop_non_finite(self.read("silver_home"), [*FEATURES])
@@ -117,7 +131,7 @@ class Lifecycle:
         board = tables.latest_run(self.read("leaderboard")).collect()  # one row per model
         self._log(fitted, {r["model"]: r for r in board}, "run_log")
         best = next(r for r in board if r["is_champion"])
-        self._register(fitted[best["model"]], {"roc_auc": best["roc_auc"], "f1": best["f1"]})
+        self._register(fitted[best["model"]], {"roc_auc": best["roc_auc"], "f1": best["f1"]}, "train")
 
     def _log(self, fitted: Mapping, measured: Mapping, name: str) -> None:
         """Parameters, metrics and importances of every fit of the step."""
@@ -128,14 +142,21 @@ class Lifecycle:
             logs.append(registry.run_log(self.spark, self.run_id, registry.effective_params(model), numbers, weights, kind))
         self.append(reduce(DataFrame.unionByName, logs).drop("run_id"), name)
 
-    def _register(self, model, measured: Mapping[str, float]) -> None:
-        """Register once per run and step; a repeated step finds its version by the time of the run."""
+    def _register(self, model, measured: Mapping[str, float], step: str) -> None:
+        """Register once per run and step; a repeated step finds the version it got."""
         registry.register(
-            self.spark, self.path("registry"), MODEL, model, self.path("models"), CHAMPION, measured, self.run_at
+            self.spark, self.path("registry"), MODEL, model, self.path("models"), CHAMPION, measured, self.run_at, self._step(step)
         )
 
-    def champion(self):
-        return registry.load_by_alias(self.read("registry"), MODEL, CHAMPION)
+    def _step(self, step: str) -> str:
+        return f"{self.run_id}/{step}"
+
+    def champion(self, before: str | None = None):
+        """The model in charge, or the one that was before the named step of this run registered its own."""
+        held = self.read("registry")
+        if before:
+            held = held.where(~F.col("run").eqNullSafe(self._step(before)))
+        return registry.load_by_alias(held, MODEL, CHAMPION)
 
     def monitor(self) -> bool:
         """Drift of the batch against the baseline; true when retraining is called for."""
@@ -153,7 +174,7 @@ class Lifecycle:
         challenger = models.fit(
             "boosting", parts.where(~F.col("is_test")), FEATURES, "target", self.params.get("boosting")
         )
-        incumbent, _ = self.champion()
+        incumbent, _ = self.champion(before="retrain")
         scored = models.score(challenger, models.score(incumbent, parts.where("is_test"), "old"), "new")
         if self.score_mode == "class":
             scored = scored.withColumn("old", metrics.predicted_class(F.col("old"), 0.5).cast("double"))
@@ -163,7 +184,7 @@ class Lifecycle:
         self.append(metrics.promotion_gate(measured, "old", "new", F.lit(self.run_at)), "model_comparison")
         outcome = tables.latest_run(self.read("model_comparison")).first()
         if outcome["promotion_action"] == fixed.PROMOTED:
-            self._register(challenger, {"roc_auc": outcome["challenger_auc"], "f1": outcome["challenger_f1"]})
+            self._register(challenger, {"roc_auc": outcome["challenger_auc"], "f1": outcome["challenger_f1"]}, "retrain")
 
     def explain(self) -> None:
         """Score, attribution and sentence of every applicant of the batch."""

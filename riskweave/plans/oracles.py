@@ -574,6 +574,9 @@ BODIES: dict[str, str] = {
       FROM (SELECT doc_id, text, CAST(unnest(range(0, greatest(length(text) - 50, 1), 450)) AS INT) AS start
             FROM documents) c""",
     "audit_table": "SELECT * FROM audit",
+    "audit_upsert": "SELECT * FROM audit",
+    "keyed_upsert": """SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus FROM (
+      SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) x WHERE r = 1""",
     "latest_audit": "SELECT * FROM audit ORDER BY timestamp DESC, applicant_id LIMIT 50",
     "dashboard_kpis": """
       SELECT count(*) AS total_audited, round(avg(drift_score_avg_psi), 4) AS avg_drift_psi,

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from riskweave.sources.committed import Committed, is_committed
+
 
 def _is_path(target: str) -> bool:
     return "/" in target
@@ -32,9 +34,11 @@ def save_table(
 
 
 def read_table(spark: SparkSession, target: str, merge_schema: bool = False) -> DataFrame:
-    """Read a path in the session's table format, or a catalog table by name."""
+    """Read a path in the session's table format, or a catalog table by name; of a committed table, the last version."""
     if not _is_path(target):
         return spark.read.table(target)
+    if is_committed(spark, target):
+        return Committed(spark, target).read()
     return spark.read.format(table_format(spark)).option("mergeSchema", merge_schema).load(target)
 
 
