@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,14 +71,14 @@ def drift_status(psi: Column) -> Column:
     return sc.below(psi, cuts, fixed.DRIFT_RETRAIN)
 
 
-def psi_from_histogram(hist: DataFrame, epsilon: float = fixed.PSI_EPSILON) -> DataFrame:
-    """Index and status per feature. An empty share becomes epsilon, without renormalising."""
+def psi_from_histogram(hist: DataFrame, epsilon: float = fixed.PSI_EPSILON, keys: Sequence[str] = ("feature_name",)) -> DataFrame:
+    """Index and status per feature, or per ``keys``. An empty share becomes epsilon, without renormalising."""
 
     def floored(name: str) -> Column:
         return F.when(F.col(name) == 0, F.lit(epsilon)).otherwise(F.col(name))
 
     e, a = floored("expected_share"), floored("actual_share")
-    scores = hist.groupBy("feature_name").agg(F.round(F.sum((a - e) * F.log(a / e)), 4).alias("psi_score"))
+    scores = hist.groupBy(*keys).agg(F.round(F.sum((a - e) * F.log(a / e)), 4).alias("psi_score"))
     return scores.withColumn("drift_status", drift_status(F.col("psi_score")))
 
 

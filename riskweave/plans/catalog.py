@@ -39,6 +39,7 @@ from riskweave.plans.lifecycle import Lifecycle
 from riskweave.sources import committed, files, tables
 from riskweave.sources.local import small_frame
 from riskweave.sources.shared import fresh_path
+from riskweave.streaming import drift as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -348,6 +349,22 @@ def drift_psi_events(spark, sf_dir):
     return drift.drift_psi(events.where(F.col("ts") < at), events.where(F.col("ts") >= at), ["value"])
 
 
+@query
+def drift_stream(spark, sf_dir):
+    """Drift per day of all events, which arrive as a file of four days after another, against the first days' bins."""
+    events, source = table(spark, sf_dir, "events").select("ts", "user_id", "value"), fresh_path(spark, "event_files")
+    first = F.col("ts") < F.lit(fx.EVENTS_SPLIT_AT).cast("timestamp_ntz")
+    edges = drift.fit_edges(events.where(first), ["value"])
+    expected = streaming.expected_shares(events.where(first), edges)
+    for day in range(1, 32, 4):
+        part = events.where(F.dayofmonth("ts").between(day, day + 3))
+        part.coalesce(1).write.mode("append").parquet(source)
+    target = fresh_path(spark, "event_counts")
+    streaming.follow(spark, source, events.schema, target, fresh_path(spark, "event_checkpoint"), "ts", edges, files_per_batch=1)
+    found = streaming.window_drift(tables.read_table(spark, target), expected)
+    return found.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
+
+
 @query
 def drift_trigger(spark, sf_dir):
     return drift.drift_trigger(drift_psi(spark, sf_dir))

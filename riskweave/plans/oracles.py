@@ -232,14 +232,14 @@ CTES: dict[str, str] = {
              row_number() OVER (PARTITION BY applicant_id ORDER BY shap DESC, pos DESC) AS down_from
       FROM shap_long""",
     "explained": f"""
-      SELECT d.applicant_id, {text(fx.MODEL_VERSION)} AS model_version, d.score AS total_risk_score,
-             u.feature AS top_positive_feature, u.shap AS top_positive_shap,
-             d.feature AS top_negative_feature, d.shap AS top_negative_shap,
-             'Risk ' || printf('%.1f%%', d.score * 100) || ' primarily driven UP by ' || u.feature
-               || ' and driven DOWN by ' || d.feature || '.' AS explanation_summary,
+      SELECT applicant_id, {text(fx.MODEL_VERSION)} AS model_version, score AS total_risk_score,
+             up AS top_positive_feature, up_shap AS top_positive_shap, down AS top_negative_feature, down_shap AS top_negative_shap,
+             'Risk ' || printf('%.1f%%', score * 100) || ' primarily driven UP by ' || up || ' and driven DOWN by ' || down || '.' AS explanation_summary,
              {text(AT)} AS audit_timestamp
-      FROM (SELECT * FROM shap_ranked WHERE up_from = 1) d
-      JOIN (SELECT * FROM shap_ranked WHERE down_from = 1) u ON u.applicant_id = d.applicant_id""",
+      FROM (SELECT applicant_id, max(score) AS score,
+                   max(feature) FILTER (WHERE down_from = 1) AS up, max(shap) FILTER (WHERE down_from = 1) AS up_shap,
+                   max(feature) FILTER (WHERE up_from = 1) AS down, max(shap) FILTER (WHERE up_from = 1) AS down_shap
+            FROM shap_ranked GROUP BY applicant_id) t""",
     "policy_tf": rf"""
       SELECT item_id, term, CAST(count(*) AS DOUBLE) AS tf
       FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '{fixed.TOKEN_PATTERN}')) AS term FROM benchmark) t
@@ -381,6 +381,8 @@ def contexts(hits: str, key: str, passages: str, passage_key: str) -> str:
 
 GAPPED = [*FEATURES, "ext_source_1", "ext_source_2", "ext_source_3"]
 CTES |= {
+    "day_bins": """SELECT strftime(ts, '%Y-%m-%d') AS window_start, len(list_filter(edges, lambda x: x < value)) AS bin
+      FROM events, event_drift_edges WHERE ts IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)""",
     "boost_rows": " UNION ALL ".join(f"SELECT {text(f)} AS feature, CAST({f} AS DOUBLE) AS v, target AS y FROM projected_home WHERE target IS NOT NULL" for f in GAPPED),
     "boost_edges": """SELECT DISTINCT feature, v AS edge FROM (
         SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY v) AS r, count(*) OVER (PARTITION BY feature) AS n, max(v) OVER (PARTITION BY feature) AS top
@@ -474,6 +476,17 @@ BODIES: dict[str, str] = {
     "drift_psi_lines": "SELECT * FROM line_drift_psi",
     "drift_psi_injected": "SELECT * FROM shift_drift_psi",
     "drift_psi_events": "SELECT * FROM event_drift_psi",
+    "drift_stream": """
+      SELECT window_start, 'value' AS feature_name, psi_score,
+             CASE WHEN psi_score < 0.10 THEN 'Stable' WHEN psi_score < 0.20 THEN 'Monitor' ELSE 'Retraining Trigger' END AS drift_status
+      FROM (SELECT window_start, round(sum((a - e) * ln(a / e)), 4) AS psi_score
+            FROM (SELECT h.window_start, CASE WHEN expected_share = 0 THEN 0.0001 ELSE expected_share END AS e,
+                         CASE WHEN coalesce(n, 0) = 0 THEN 0.0001 ELSE CAST(n AS DOUBLE) / total END AS a
+                  FROM (SELECT window_start, total, bin, expected_share
+                        FROM (SELECT window_start, count(*) AS total FROM day_bins GROUP BY 1) w, event_drift_hist) h
+                  LEFT JOIN (SELECT window_start, bin, count(*) AS n FROM day_bins GROUP BY 1, 2) c
+                         ON c.window_start = h.window_start AND c.bin = h.bin) s
+            GROUP BY 1) p""",
     "drift_trigger": """SELECT round(avg(psi_score), 4) AS avg_psi, arg_max(feature_name, psi_score) AS max_feature,
       bool_or(drift_status = 'Retraining Trigger') AS retraining_trigger FROM silver_drift_psi""",
     "drift_report": f"""SELECT *, {text(AT)} AS audit_timestamp, 'drift-1' AS run_id, {text(AT)} AS run_at FROM line_drift_psi""",
