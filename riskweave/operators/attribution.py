@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from functools import reduce
+from math import factorial
 from typing import TYPE_CHECKING, NamedTuple
 
 import numpy as np
@@ -183,6 +184,12 @@ def leaf_paths(tree: TreeNodes) -> tuple[list[LeafPaths], float]:
     return out, base
 
 
+def _agrees(values: np.ndarray, paths: LeafPaths) -> np.ndarray:
+    """One where a value (rows x leaves x features of the path) takes the path, else zero."""
+    inside = (values <= paths.upto) & ((values > paths.above) | np.isneginf(paths.above))
+    return np.where(np.isnan(values), paths.missing, inside)
+
+
 def _add_paths(x: np.ndarray, paths: LeafPaths, out: np.ndarray) -> None:
     """Add the Shapley values of the leaves' outputs to ``out`` (rows x features).
 
@@ -193,7 +200,7 @@ def _add_paths(x: np.ndarray, paths: LeafPaths, out: np.ndarray) -> None:
     """
     size = paths.feature.shape[1]
     values = x[:, paths.feature]
-    agrees = np.where(np.isnan(values), paths.missing, (values <= paths.upto) & ((values > paths.above) | np.isneginf(paths.above)))
+    agrees = _agrees(values, paths)
     nodes, weights = np.polynomial.legendre.leggauss(size // 2 + 1)
     integral = np.zeros_like(agrees)
     ones = np.ones((*agrees.shape[:2], 1))
@@ -233,3 +240,84 @@ def tree_shap(df: DataFrame, model: PipelineModel | BoostedTrees, features: list
 
     added = [StructField(name, DoubleType()) for name in names]
     return df.mapInPandas(attribute, StructType(df.schema.fields + added))
+
+
+def _masks(x: np.ndarray, paths: LeafPaths) -> np.ndarray:
+    """Per row and leaf, a bit for each feature on the path that the row agrees with."""
+    values = x[:, paths.feature]
+    return (_agrees(values, paths).astype(np.int64) << np.arange(paths.feature.shape[1])).sum(axis=2)
+
+
+def background_masks(background: DataFrame, groups: list[LeafPaths], features: list[str]) -> pd.DataFrame:
+    """(grp, leaf, mask, n): how many background rows agree with which features of each leaf's path.
+
+    Rows are counted inside their task and added up; what comes back depends on the model's paths, not on the rows.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = batch.to_numpy(dtype=float)
+            for g, paths in enumerate(groups):
+                masks = _masks(x, paths)
+                leaf = np.broadcast_to(np.arange(masks.shape[1]), masks.shape)
+                yield pd.DataFrame({"grp": g, "leaf": leaf.ravel(), "mask": masks.ravel()}).value_counts().reset_index(name="n")
+
+    rows = background.select(*[F.col(f).cast("double") for f in features]).mapInPandas(count, "grp int, leaf int, mask long, n long")
+    return rows.groupBy("grp", "leaf", "mask").agg(F.sum("n").alias("n")).toPandas()
+
+
+def _played(own: np.ndarray, other: np.ndarray, share: np.ndarray, size: int) -> np.ndarray:
+    """Shapley values (own x features) of a leaf of value one for each mask of a row against weighted background masks.
+
+    Features that only the row agrees with must be its own, those that only the background row agrees with must not; if
+    both disagree anywhere, no mixture of the two reaches the leaf. With p and q such features, one of the first kind
+    gets (p-1)! q! / (p+q)! and one of the second kind loses p! (q-1)! / (p+q)!.
+    """
+    full = (1 << size) - 1
+    reach = (own[:, None] | other[None, :]) == full
+    first, second = own[:, None] & ~other[None, :], other[None, :] & ~own[:, None]
+    fact = np.array([float(factorial(k)) for k in range(size + 1)])
+    p, q = np.bitwise_count(first).astype(int), np.bitwise_count(second).astype(int)
+    weight = np.where(reach, share[None, :], 0.0)
+    total = np.array([float(factorial(k)) for k in range(2 * size + 1)])[p + q]
+    gains, losses = weight * fact[np.maximum(p - 1, 0)] * fact[q] / total, weight * fact[p] * fact[np.maximum(q - 1, 0)] / total
+    bits = np.arange(size)
+    has = lambda masks: (masks[..., None] >> bits) & 1
+    return (gains[..., None] * has(first) - losses[..., None] * has(second)).sum(axis=1)
+
+
+def interventional_shap(df: DataFrame, model: PipelineModel | BoostedTrees, background: DataFrame, features: list[str]) -> DataFrame:
+    """Add exact attributions against a background table, and its mean output as the base.
+
+    An unknown feature takes its values from the background rows, independently of the known ones. Rows and background
+    may be of any size: the background is reduced to counts of the features that its rows agree with on each path, and
+    attributing is a map over the rows. NULL and NaN go where the trees send missing values. An empty background gives
+    NaN.
+    """
+    trees = model.trees if hasattr(model, "trees") else ensemble_nodes(model, df.sparkSession)
+    fitted = [leaf_paths(tree) for tree in trees]
+    groups = [g for paths, _ in fitted for g in paths]
+    alone = sum(float(t.value[0]) for t in trees if t.feature[0] < 0)  # trees without a split
+    size = float(background.count())
+    met: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+    for (g, leaf), part in background_masks(background, groups, features).groupby(["grp", "leaf"]):
+        met[int(g), int(leaf)] = (part["mask"].to_numpy(np.int64), part["n"].to_numpy(float) / size)
+    base = getattr(model, "base", 0.0) + alone if size else np.nan
+    for (g, leaf), (masks, share) in met.items():
+        base += groups[g].value[leaf] * share[masks == (1 << groups[g].feature.shape[1]) - 1].sum()
+    names = [shap_name(f) for f in features] + ["shap_base"]
+
+    def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = batch[features].to_numpy(dtype=float)
+            found = np.full((len(x), len(features)), 0.0 if size else np.nan)
+            for g, paths in enumerate(groups if size else ()):
+                masks = _masks(x, paths)
+                for leaf in range(masks.shape[1]):
+                    own, place = np.unique(masks[:, leaf], return_inverse=True)
+                    parts = _played(own, *met[g, leaf], paths.feature.shape[1]) * paths.value[leaf]
+                    found[:, paths.feature[leaf]] += parts[place]
+            yield batch.assign(**dict(zip(names, [*found.T, np.full(len(x), base)], strict=True)))
+
+    added = [StructField(name, DoubleType()) for name in names]
+    return df.mapInPandas(attribute, StructType(df.schema.fields + added))

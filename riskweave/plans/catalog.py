@@ -23,6 +23,7 @@ from riskweave.operators import (
     impute,
     metrics,
     models,
+    numbering,
     profile,
     pruned,
     ranking,
@@ -555,6 +556,17 @@ def second_order_additive(spark, sf_dir):
     return explained.select("applicant_id", (F.abs(total - F.col("margin")) < 1e-9).alias("additive"))
 
 
+@query
+def interventional_additive(spark, sf_dir):
+    """Whether attributions against all training loans add up to the margin, per incoming applicant."""
+    model, parts = _second_order(spark, sf_dir)
+    batch = fx.silver_batch(spark, sf_dir).select("applicant_id", *GAPPED_FEATURES)
+    scored = boosting.score(model, batch, "score", "margin")
+    explained = attribution.interventional_shap(scored, model, parts.where("not is_test"), GAPPED_FEATURES)
+    total = sum((F.col(attribution.shap_name(f)) for f in GAPPED_FEATURES), F.col("shap_base"))
+    return explained.select("applicant_id", (F.abs(total - F.col("margin")) < 1e-9).alias("additive"))
+
+
 @query
 def registry_alias(spark, sf_dir):
     """An alias set forward, back, and beside another one, read after each step."""
@@ -967,6 +979,13 @@ def applicant_ordinal(spark, sf_dir):
     return ranking.with_ordinal(ids, "applicant_id", "ordinal")
 
 
+@query
+def numbered_applicants(spark, sf_dir):
+    """Incoming loans numbered from zero by the order of their values."""
+    rows = fx.batch_like(spark, sf_dir)
+    return numbering.dense_numbers(rows, "applicant_id").select("applicant_id", "row_key", "Age", "Credit_amount")
+
+
 @query
 def badges(spark, sf_dir):
     rows = _audit(spark, sf_dir)

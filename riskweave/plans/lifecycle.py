@@ -13,7 +13,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from riskweave.functions import fixed
 from riskweave.operators import (
@@ -29,6 +28,7 @@ from riskweave.operators import (
     silver,
     split,
 )
+from riskweave.operators.numbering import dense_numbers
 from riskweave.sources import tables
 from riskweave.sources.local import small_frame
 
@@ -47,17 +47,8 @@ COST_SCHEMA = "applicant_id long, impact_band string, review_flag string"
 
 
 def numbered_rows(df: DataFrame) -> tuple[DataFrame, Column]:
-    """``df`` with a number per row that depends on values only, and the column that holds it.
-
-    Equal rows are numbered among themselves. Two different rows sharing the 60-bit number would be
-    found by the check, which raises.
-    """
-    own = F.xxhash64(*[F.col(c).cast("string") for c in sorted(df.columns)], *[F.col(c).isNull() for c in sorted(df.columns)])
-    place = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
-    out = df.withColumn("_row", own).withColumn("_row_id", F.xxhash64("_row", place).bitwiseAND((1 << 60) - 1)).drop("_row")
-    if not out.groupBy("_row_id").count().where("count > 1").isEmpty():
-        raise ValueError("two rows have one number; pass batch_id")
-    return out, F.col("_row_id")
+    """``df`` with a dense number per row in the order of its values, and the column that holds it."""
+    return dense_numbers(df, "_row_id", sorted(df.columns)), F.col("_row_id")
 
 
 @dataclass(frozen=True)
@@ -86,9 +77,8 @@ class Lifecycle:
     def align(self, home: DataFrame, batch: DataFrame, batch_id: Column | None = None) -> None:
         """Both sources on the shared schema, imputed and filtered.
 
-        ``batch_id`` must be unique per row; later steps join on it. Without one, rows get a
-        number made from their values, and from their count among equal rows, so that running the
-        step again gives the same numbers.
+        ``batch_id`` must be unique per row; later steps join on it. Without one, rows are numbered
+        in the order of their values, so that running the step again gives the same numbers.
         """
         if batch_id is None:
             batch, batch_id = numbered_rows(batch)

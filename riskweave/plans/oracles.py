@@ -512,6 +512,9 @@ BODIES: dict[str, str] = {
     "tree_shap_additive": "SELECT applicant_id, true AS additive FROM silver_batch",
     "rerun_history": """SELECT r AS run_id, a AS run_at, count(DISTINCT o_orderpriority) AS row_count, count(*) AS order_count
       FROM orders, (VALUES ('1', '2026-01-01'), ('2', '2026-02-01')) v(r, a) GROUP BY 1, 2""",
+    "interventional_additive": "SELECT applicant_id, true AS additive FROM silver_batch",
+    "numbered_applicants": """SELECT row_number() OVER (ORDER BY row_key, Age, Sex, Job, Housing, Credit_amount, Duration, Purpose) - 1 AS applicant_id,
+      row_key, Age, Credit_amount FROM batch_like""",
     "second_order_additive": "SELECT applicant_id, true AS additive FROM projected_home",
     "second_order_splits": """
       SELECT feature, round(edge, 6) AS edge, missing_left,

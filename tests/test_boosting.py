@@ -125,6 +125,28 @@ def test_attributions_equal_all_coalitions(spark, fitted):
             assert got[r[0]][f] == pytest.approx(shap, abs=1e-9)
 
 
+def test_attributions_against_a_background_equal_all_coalitions(spark, fitted):
+    rows, model = fitted
+    background, asked = rows[50:75], rows[:25]
+    got = attribution.interventional_shap(frame(spark, asked), model, frame(spark, background), FEATURES).collect()
+    back = matrix(background)
+    outputs = model.margins(back)
+    for r, x in zip(sorted(got, key=lambda r: r["id"]), matrix(asked), strict=True):
+        def value(known):
+            mixed = back.copy()
+            mixed[:, list(known)] = x[list(known)]  # noqa: B023
+            return model.margins(mixed).mean()
+
+        assert r["shap_base"] == pytest.approx(outputs.mean(), abs=1e-9)
+        for f in range(3):
+            others = [o for o in range(3) if o != f]
+            shap = sum(
+                math.factorial(len(s)) * math.factorial(2 - len(s)) / 6 * (value((*s, f)) - value(s))
+                for n in range(3) for s in itertools.combinations(others, n)
+            )
+            assert r[attribution.shap_name(FEATURES[f])] == pytest.approx(shap, abs=1e-9)
+
+
 def test_saved_model_scores_alike(spark, fitted):
     rows, model = fitted
     path = fresh_path(spark, "boosted")

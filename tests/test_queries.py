@@ -9,9 +9,9 @@ from check import connect, difference
 from riskweave.plans.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-PYTHON_STAGES = {"ann_topk", "ann_recall", "cosine_topk", "context_blocks", "tree_shap", "tree_shap_additive", "train_second_order", "second_order_additive"}
-# One row per model.
-SMALL_WINDOW = {"leaderboard"}
+PYTHON_STAGES = {"ann_topk", "ann_recall", "cosine_topk", "context_blocks", "tree_shap", "tree_shap_additive", "train_second_order", "second_order_additive", "interventional_additive"}
+# One row per model, or per range of rows.
+SMALL_WINDOW = {"leaderboard", "numbered_applicants"}
 
 
 @pytest.fixture(scope="module")
