@@ -120,25 +120,31 @@ def read_postings(terms: DataFrame, row_id: str, index: PrunedIndex) -> DataFram
 
 
 def candidates(terms: DataFrame, postings: DataFrame, row_id: str) -> DataFrame:
-    """(id, passage_id) pairs that can still reach the floor: what was read, and the cutoff of each term that was not."""
+    """(id, passage_id, read) pairs that can still reach the floor: what was read, and the cutoff of each term that was not.
+
+    ``read`` sums the terms without a cutoff, whose postings were all read.
+    """
     budget = terms.groupBy(row_id).agg(F.sum(F.col("x") * F.col("cut")).alias("_rest"))
     seen = postings.groupBy(row_id, "passage_id").agg(
-        F.sum(F.col("x") * (F.col("weight") - F.col("cut"))).alias("_over"), F.first("floor").alias("floor")
+        F.sum(F.col("x") * (F.col("weight") - F.col("cut"))).alias("_over"), F.first("floor").alias("floor"),
+        F.sum(F.when(F.col("cut") == 0, F.col("x") * F.col("weight")).otherwise(0.0)).alias("read"),
     )
-    return seen.join(budget, row_id).where(F.col("_over") + F.col("_rest") + _SLACK >= F.col("floor")).select(row_id, "passage_id")
+    return seen.join(budget, row_id).where(F.col("_over") + F.col("_rest") + _SLACK >= F.col("floor")).select(row_id, "passage_id", "read")
 
 
 def similarities(queries: DataFrame, row_id: str, text: str, index: PrunedIndex, k: int, pattern: str = fixed.TOKEN_PATTERN) -> DataFrame:
     """(id, passage_id, dot, norm) of all passages that can be among the best k of a query, and maybe some more.
 
-    A query without a known term has no row. ``dot`` over ``norm`` is the cosine.
+    Only terms with a cutoff are looked up in a passage, as the others were read in full. A query without a known term
+    has no row. ``dot`` over ``norm`` is the cosine.
     """
     terms = query_terms(queries, row_id, text, index, k, pattern)
     pairs = candidates(terms, read_postings(terms, row_id, index), row_id)
-    vectors = terms.groupBy(row_id).agg(F.collect_list(F.struct("term", "x")).alias("_q"), F.first("norm").alias("norm"))
+    open_terms = F.collect_list(F.when(F.col("cut") > 0, F.struct("term", "x"))).alias("_q")
+    vectors = terms.groupBy(row_id).agg(open_terms, F.first("norm").alias("norm"))
     full = pairs.join(vectors, row_id).join(index.table("passages"), "passage_id")
     part = lambda s, t: s + F.coalesce(F.try_element_at("weights", t["term"]), F.lit(0.0)) * t["x"]
-    return full.select(row_id, "passage_id", F.aggregate("_q", F.lit(0.0), part).alias("dot"), "norm")
+    return full.select(row_id, "passage_id", F.aggregate("_q", F.col("read"), part).alias("dot"), "norm")
 
 
 def top_passages(queries: DataFrame, row_id: str, text: str, index: PrunedIndex, k: int = 2, pattern: str = fixed.TOKEN_PATTERN) -> DataFrame:
