@@ -12,7 +12,7 @@ from check import connect, difference
 from riskweave.llm.bpe import read_ranks
 from riskweave.llm.oracles import ORACLES
 from riskweave.llm.queries import QUERIES
-from tests.llm.test_operators import brute_bytes, brute_lines, brute_print, plain_words, rows_of
+from tests.llm.test_operators import brute_bytes, brute_lines, brute_print, corpus, frame, plain_words, rows_of
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -59,3 +59,28 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(clean) == {i for i, s in held.items() if not any(x and len(x & s) >= 0.8 * len(x) for x in leaks)}
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(corpus_pipeline.VOCABULARY), special_tokens={})
     assert {i: hashlib.md5(bytes(r.ids)).digest() for i, r in tokens.items()} == {i: hashlib.md5(np.array(encoding.encode_ordinary(r.text), "<u4").tobytes()).digest() for i, r in clean.items()}
+
+
+def pipeline_tables(spark, folder, rows):
+    frame(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    marks = [(d, 1, 0) for d, _ in rows if d is not None]
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    items = [(1, rows[35][1]), (2, None), (3, "")] if rows else []
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    pipeline_tables(spark, tmp_path, [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_keep_clashing_columns_nulls_and_repeats(spark, tmp_path):
+    pipeline_tables(spark, tmp_path, corpus())
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / name))
+        held = spark.read.parquet(str(tmp_path / name))
+        assert held.columns == docs.columns and 0 < held.count() <= docs.count()
+        assert held.where("key <> 'k' or keep <> 1 or spans <> 's' or m <> 2").count() == 0
+        docs = held
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
