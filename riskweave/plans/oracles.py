@@ -8,12 +8,9 @@ from __future__ import annotations
 
 import re
 
-from riskweave.functions import fixed
-from riskweave.operators.retrieval import PROMPT_TEMPLATE
-from riskweave.plans import fixtures as fx
+from riskweave.plans import expected
+from riskweave.plans.expected import AT, FEATURES
 
-FEATURES = fixed.PROXY_FEATURES
-AT = fx.RUN_AT.isoformat()
 WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
 
 
@@ -47,7 +44,7 @@ def no_minus_zero(expr: str) -> str:
 
 
 def margin(model: str) -> str:
-    b, weights = fx.SCORECARDS[model]
+    b, weights = expected.SCORECARDS[model]
     return " + ".join([double(b)] + [f"{double(w)} * {f}" for f, w in weights.items()])
 
 
@@ -155,10 +152,10 @@ CTES: dict[str, str] = {
         CNT_CHILDREN AS num_children, CAST(TARGET AS INT) AS target, 'home_credit' AS source_dataset
       FROM home_like""",
     "middles": "SELECT "
-    + each("list_sort(list(@) FILTER (WHERE @ IS NOT NULL))[CAST(ceil(0.5 * count(@)) AS INT)] AS @", fixed.MEDIAN_FEATURES)
+    + each("list_sort(list(@) FILTER (WHERE @ IS NOT NULL))[CAST(ceil(0.5 * count(@)) AS INT)] AS @", expected.MEDIAN_FEATURES)
     + " FROM projected_home",
     "silver_home": "SELECT p.* REPLACE ("
-    + each("coalesce(p.@, m.@) AS @", fixed.MEDIAN_FEATURES)
+    + each("coalesce(p.@, m.@) AS @", expected.MEDIAN_FEATURES)
     + ") FROM projected_home p CROSS JOIN middles m WHERE p.target IS NOT NULL AND p.gender <> 'Other'",
     "aligned_batch": f"""
       SELECT {hexed('row_key', 15)} AS applicant_id,
@@ -176,20 +173,20 @@ CTES: dict[str, str] = {
         CAST(0 AS INT) AS num_children, CAST(0 AS INT) AS target, 'german_credit' AS source_dataset
       FROM batch_like""",
     "silver_batch": "SELECT * REPLACE ("
-    + each("coalesce(@, CAST(0.5 AS DOUBLE)) AS @", fixed.EXTERNAL_SCORES)
+    + each("coalesce(@, CAST(0.5 AS DOUBLE)) AS @", expected.EXTERNAL_SCORES)
     + ") FROM aligned_batch WHERE "
     + each("@ IS NOT NULL", [*FEATURES, "target"], " AND "),
     "scored_home": "SELECT *, "
-    + ", ".join(f"1 / (1 + exp(-({margin(m)}))) AS {m}" for m in fx.SCORECARDS)
+    + ", ".join(f"1 / (1 + exp(-({margin(m)}))) AS {m}" for m in expected.SCORECARDS)
     + " FROM silver_home",
     "scored_batch": "SELECT *, "
-    + ", ".join(f"1 / (1 + exp(-({margin(m)}))) AS {m}" for m in fx.SCORECARDS)
+    + ", ".join(f"1 / (1 + exp(-({margin(m)}))) AS {m}" for m in expected.SCORECARDS)
     + " FROM silver_batch",
     "missing_scores": f"""
       SELECT 'scorecard_a' AS model, target AS label, 1 / (1 + exp(-({margin('scorecard_a')}))) AS score
       FROM projected_home WHERE applicant_id % 11 <> 0 AND {margin('scorecard_a')} IS NOT NULL""",
     "long_scores": " UNION ALL ".join(
-        f"SELECT {text(m)} AS model, target AS label, {m} AS score FROM scored_home" for m in fx.SCORECARDS
+        f"SELECT {text(m)} AS model, target AS label, {m} AS score FROM scored_home" for m in expected.SCORECARDS
     ),
     "class_metrics": """
       SELECT model, round(accuracy, 6) AS accuracy,
@@ -219,7 +216,7 @@ CTES: dict[str, str] = {
     **drift_ctes("shift_drift", "line_base", "line_shifted", ["l_quantity", "l_extendedprice", "l_discount"]),
     **drift_ctes("event_drift", "event_base", "event_incoming", ["value"]),
     "shap": "SELECT s.*, "
-    + ", ".join(f"{double(w)} * (s.{f} - m.m_{f}) AS shap_{f}" for f, w in fx.SCORECARDS["scorecard_a"][1].items())
+    + ", ".join(f"{double(w)} * (s.{f} - m.m_{f}) AS shap_{f}" for f, w in expected.SCORECARDS["scorecard_a"][1].items())
     + " FROM scored_batch s CROSS JOIN (SELECT "
     + each("avg(@) AS m_@", FEATURES)
     + " FROM silver_batch) m",
@@ -232,7 +229,7 @@ CTES: dict[str, str] = {
              row_number() OVER (PARTITION BY applicant_id ORDER BY shap DESC, pos DESC) AS down_from
       FROM shap_long""",
     "explained": f"""
-      SELECT applicant_id, {text(fx.MODEL_VERSION)} AS model_version, score AS total_risk_score,
+      SELECT applicant_id, {text(expected.MODEL_VERSION)} AS model_version, score AS total_risk_score,
              up AS top_positive_feature, up_shap AS top_positive_shap, down AS top_negative_feature, down_shap AS top_negative_shap,
              'Risk ' || printf('%.1f%%', score * 100) || ' primarily driven UP by ' || up || ' and driven DOWN by ' || down || '.' AS explanation_summary,
              {text(AT)} AS audit_timestamp
@@ -242,8 +239,8 @@ CTES: dict[str, str] = {
             FROM shap_ranked GROUP BY applicant_id) t""",
     "policy_tf": rf"""
       SELECT item_id, term, CAST(count(*) AS DOUBLE) AS tf
-      FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '{fixed.TOKEN_PATTERN}')) AS term FROM benchmark) t
-      WHERE term NOT IN ({listed(fixed.STOP_WORDS)}) GROUP BY 1, 2""",
+      FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '{expected.TOKEN_PATTERN}')) AS term FROM benchmark) t
+      WHERE term NOT IN ({listed(expected.STOP_WORDS)}) GROUP BY 1, 2""",
     "policy_idf": """
       SELECT term, ln((1 + (SELECT count(*) FROM benchmark)) / CAST(1 + count(*) AS DOUBLE)) + 1 AS idf
       FROM policy_tf GROUP BY term""",
@@ -252,7 +249,7 @@ CTES: dict[str, str] = {
       FROM policy_tf JOIN policy_idf USING (term)""",
     "doc_x": rf"""
       SELECT doc_id, term, count(*) * any_value(idf) AS x
-      FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{fixed.TOKEN_PATTERN}')) AS term FROM documents) t
+      FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{expected.TOKEN_PATTERN}')) AS term FROM documents) t
       JOIN policy_idf USING (term) GROUP BY 1, 2""",
     "doc_sim": """
       SELECT d.doc_id, b.item_id, coalesce(s.sim, 0) AS sim, coalesce(s.dot, 0) AS dot
@@ -274,12 +271,12 @@ CTES: dict[str, str] = {
              round(1 - grounding, 4) AS hallucination_risk,
              CASE WHEN len(hits) > 0 THEN array_to_string(hits, ', ') ELSE 'None' END AS compliance_claims_detected,
              band AS impact_band,
-             {case('band', fixed.REVIEW_FLAGS, 'NULL')} AS review_flag,
-             {case('band', fixed.EXPOSURES, text('Unknown'))} AS estimated_financial_exposure,
+             {case('band', expected.REVIEW_FLAGS, 'NULL')} AS review_flag,
+             {case('band', expected.EXPOSURES, text('Unknown'))} AS estimated_financial_exposure,
              {text(AT)} AS audit_timestamp
       FROM (SELECT *, CASE WHEN grounding < 0.30 THEN CASE WHEN len(hits) > 0 THEN 'VERY HIGH' ELSE 'HIGH' END
                            WHEN grounding < 0.50 THEN 'MEDIUM' ELSE 'LOW' END AS band
-            FROM (SELECT *, list_filter([{listed(fx.DOCUMENT_KEYWORDS)}], lambda k: contains(lower(text), k)) AS hits,
+            FROM (SELECT *, list_filter([{listed(expected.DOCUMENT_KEYWORDS)}], lambda k: contains(lower(text), k)) AS hits,
                          ({hexed('CAST(applicant_id AS VARCHAR)', 13)} % 1000000) / CAST(1000000 AS DOUBLE) AS ml_risk_score
                   FROM grounded) h) b""",
     "audit": f"""
@@ -289,14 +286,14 @@ CTES: dict[str, str] = {
       first_text AS (SELECT arg_min(explanation_summary, applicant_id) AS t FROM texts),
       first_cost AS (SELECT arg_min(review_flag, applicant_id) AS r, arg_min(impact_band, applicant_id) AS b FROM costs)
       SELECT s.applicant_id, round(scorecard_a, 4) AS model_prediction,
-             CASE WHEN scorecard_a > 0.5 THEN {text(fixed.RISK_HIGH)} WHEN scorecard_a > 0.3 THEN {text(fixed.RISK_MEDIUM)}
-                  ELSE {text(fixed.RISK_LOW)} END AS risk_classification,
-             coalesce(e.explanation_summary, ft.t || {text(fixed.TEMPLATE_SUFFIX)}, {text(fixed.NO_EXPLANATION)}) AS shap_summary,
+             CASE WHEN scorecard_a > 0.5 THEN {text(expected.RISK_HIGH)} WHEN scorecard_a > 0.3 THEN {text(expected.RISK_MEDIUM)}
+                  ELSE {text(expected.RISK_LOW)} END AS risk_classification,
+             coalesce(e.explanation_summary, ft.t || {text(expected.TEMPLATE_SUFFIX)}, {text(expected.NO_EXPLANATION)}) AS shap_summary,
              (SELECT round(avg(psi_score), 4) FROM line_drift_psi) AS drift_score_avg_psi,
              (SELECT promotion_action FROM gate) AS retraining_status,
-             coalesce(c.review_flag, fc.r, {text(fixed.NOT_EVALUATED)}) AS explanation_label,
-             coalesce(c.impact_band, fc.b, {text(fixed.NOT_SCORED)}) AS hallucination_cost_band,
-             {text(fx.MODEL_VERSION)} AS model_version, {text(AT)} AS timestamp
+             coalesce(c.review_flag, fc.r, {text(expected.NOT_EVALUATED)}) AS explanation_label,
+             coalesce(c.impact_band, fc.b, {text(expected.NOT_SCORED)}) AS hallucination_cost_band,
+             {text(expected.MODEL_VERSION)} AS model_version, {text(AT)} AS timestamp
       FROM scored_batch s LEFT JOIN texts e USING (applicant_id) LEFT JOIN costs c USING (applicant_id)
       CROSS JOIN first_text ft CROSS JOIN first_cost fc""",
     "neighbours": """
@@ -325,9 +322,9 @@ def scenario(source: str) -> str:
     return f"""
       SELECT *, CASE WHEN predicted_risk > 0.65 THEN 'HIGH RISK' WHEN predicted_risk < 0.25 THEN 'LOW RISK'
                      ELSE 'MEDIUM RISK' END AS classification,
-             CASE WHEN predicted_risk > 0.65 THEN {text(fixed.SCENARIO_HIGH_LABEL)}
-                  WHEN predicted_risk < 0.25 THEN {text(fixed.SCENARIO_LOW_LABEL)}
-                  ELSE {text(fixed.SCENARIO_MEDIUM_LABEL)} END AS hallucination_flag,
+             CASE WHEN predicted_risk > 0.65 THEN {text(expected.SCENARIO_HIGH_LABEL)}
+                  WHEN predicted_risk < 0.25 THEN {text(expected.SCENARIO_LOW_LABEL)}
+                  ELSE {text(expected.SCENARIO_MEDIUM_LABEL)} END AS hallucination_flag,
              'Risk primarily driven UP by loan_duration (+' || printf('%.2f', CAST(duration AS DOUBLE) / 10)
                || ') and driven DOWN by income_proxy' AS shap_summary
       FROM (SELECT *, greatest(CAST(0.01 AS DOUBLE), least(CAST(0.99 AS DOUBLE),
@@ -355,7 +352,7 @@ HOME_COLUMNS = [
 ]
 BATCH_COLUMNS = ["row_key", "Age", "Sex", "Job", "Housing", "Credit_amount", "Duration", "Purpose"]
 SILVER_COLUMNS = [
-    "applicant_id", *fixed.MEDIAN_FEATURES, "gender", "education_level", "family_status", "num_children", "target",
+    "applicant_id", *expected.MEDIAN_FEATURES, "gender", "education_level", "family_status", "num_children", "target",
     "source_dataset",
 ]
 
@@ -442,8 +439,8 @@ BODIES: dict[str, str] = {
     "silver_union": """SELECT source_dataset, gender, count(*) AS row_count, max(credit_amount) AS max_credit, min(age) AS min_age
       FROM (SELECT source_dataset, gender, credit_amount, age FROM silver_home
             UNION ALL SELECT source_dataset, gender, credit_amount, age FROM silver_batch) u GROUP BY 1, 2""",
-    "impute_median": f"SELECT applicant_id, {', '.join(fixed.MEDIAN_FEATURES)} FROM silver_home",
-    "impute_const": "SELECT applicant_id, " + each("coalesce(@, CAST(0.5 AS DOUBLE)) AS @", fixed.EXTERNAL_SCORES) + " FROM projected_home",
+    "impute_median": f"SELECT applicant_id, {', '.join(expected.MEDIAN_FEATURES)} FROM silver_home",
+    "impute_const": "SELECT applicant_id, " + each("coalesce(@, CAST(0.5 AS DOUBLE)) AS @", expected.EXTERNAL_SCORES) + " FROM projected_home",
     "drop_non_finite": """SELECT SK_ID_CURR AS applicant_id, AMT_CREDIT AS credit_amount, round(AMT_CREDIT / AMT_ANNUITY, 4) AS months
       FROM home_like WHERE AMT_CREDIT IS NOT NULL AND AMT_ANNUITY IS NOT NULL AND AMT_ANNUITY <> 0""",
     "gender_crosstab": "SELECT gender, target, count(*) AS row_count FROM projected_home GROUP BY 1, 2",
@@ -460,7 +457,7 @@ BODIES: dict[str, str] = {
     "band_share": " UNION ALL ".join(
         f"""SELECT {text(b)} AS category, count(*) FILTER (WHERE impact_band = {text(b)}) AS row_count, count(*) AS total,
             round(CAST(count(*) FILTER (WHERE impact_band = {text(b)}) AS DOUBLE) / count(*) * 100, 0) AS percent FROM cost"""
-        for b in fixed.IMPACT_BANDS
+        for b in expected.IMPACT_BANDS
     ),
     "alert_level": """
       SELECT round(g, 4) AS avg_grounding, round(h, 4) AS avg_hallucination_risk,
@@ -495,9 +492,9 @@ BODIES: dict[str, str] = {
       FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY h) AS r, count(*) OVER (PARTITION BY target) AS n
             FROM (SELECT applicant_id, target, {hexed("concat_ws('|', CAST(applicant_id AS VARCHAR), '42')", 13)} AS h
                   FROM projected_home) a) b""",
-    "score_applicants": f"""SELECT applicant_id, {each('round(@, 6) AS @', fx.SCORECARDS)},
-      CASE WHEN scorecard_a > 0.5 THEN {text(fixed.RISK_HIGH)} WHEN scorecard_a > 0.3 THEN {text(fixed.RISK_MEDIUM)}
-           ELSE {text(fixed.RISK_LOW)} END AS risk_classification FROM scored_home""",
+    "score_applicants": f"""SELECT applicant_id, {each('round(@, 6) AS @', expected.SCORECARDS)},
+      CASE WHEN scorecard_a > 0.5 THEN {text(expected.RISK_HIGH)} WHEN scorecard_a > 0.3 THEN {text(expected.RISK_MEDIUM)}
+           ELSE {text(expected.RISK_LOW)} END AS risk_classification FROM scored_home""",
     "confusion": """SELECT model, label, CASE WHEN score > 0.4 THEN 1 ELSE 0 END AS predicted, count(*) AS row_count
       FROM long_scores GROUP BY 1, 2, 3""",
     "classification_metrics": "SELECT * FROM class_metrics",
@@ -526,7 +523,7 @@ BODIES: dict[str, str] = {
       (0, 'Champion', 1), (0, 'Shadow', 1), (1, 'Champion', 2), (1, 'Shadow', 1), (2, 'Champion', 1), (2, 'Shadow', 1),
       (3, 'Champion', 1), (3, 'Shadow', 1), (4, 'Champion', 2), (4, 'Shadow', 1)) t(s, a, v)""",
     "managed_table": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
-    "sketch_rank_error": f"SELECT unnest([{listed(fixed.MEDIAN_FEATURES)}]) AS feature, true AS close",
+    "sketch_rank_error": f"SELECT unnest([{listed(expected.MEDIAN_FEATURES)}]) AS feature, true AS close",
     "sketch_quantiles": """SELECT feature, CAST(p AS DOUBLE) AS probability, n, true AS close
       FROM (SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount']) AS feature, unnest([count(l_quantity), count(l_extendedprice), count(l_discount)]) AS n FROM lineitem) f,
            (SELECT unnest([0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]) AS p) q""",
@@ -562,7 +559,7 @@ BODIES: dict[str, str] = {
     "context_blocks": contexts(
         "neighbours", "query_id", f"(SELECT * FROM documents WHERE length(trim(text, {WS})) >= 10)", "doc_id"
     ),
-    "prompt_rows": f"""SELECT d.doc_id, {prompt(PROMPT_TEMPLATE)} AS prompt
+    "prompt_rows": f"""SELECT d.doc_id, {prompt(expected.PROMPT_TEMPLATE)} AS prompt
       FROM documents d LEFT JOIN ({contexts('doc_top', 'doc_id', 'benchmark', 'item_id')}) c ON c.query_id = d.doc_id""",
     "top_passages": "SELECT doc_id, item_id AS passage_id, round(sim, 4) AS similarity, CAST(rank AS INT) AS rank FROM doc_top",
     "pruned_top_passages": "SELECT doc_id, item_id AS passage_id, round(sim, 4) AS similarity, CAST(rank AS INT) AS rank FROM doc_top",
@@ -571,15 +568,15 @@ BODIES: dict[str, str] = {
     "verdicts": f"""
       SELECT applicant_id, CASE WHEN grounding < 0.3 THEN '[UNSUPPORTED]' WHEN grounding < 0.5 THEN '[PARTIALLY GROUNDED]'
                ELSE '[GROUNDED]' END AS verdict, 'rule' AS source,
-             CASE WHEN grounding < 0.3 THEN {text(fixed.CLEARANCE_BLOCKED)} WHEN grounding < 0.5 THEN {text(fixed.CLEARANCE_MANUAL)}
-               ELSE {text(fixed.CLEARANCE_GRANTED)} END AS clearance
+             CASE WHEN grounding < 0.3 THEN {text(expected.CLEARANCE_BLOCKED)} WHEN grounding < 0.5 THEN {text(expected.CLEARANCE_MANUAL)}
+               ELSE {text(expected.CLEARANCE_GRANTED)} END AS clearance
       FROM grounded""",
     "tfidf_weights": "SELECT item_id, term, round(idf, 4) AS idf, round(weight, 4) AS weight FROM policy_weight",
     "grounding_score": """SELECT applicant_id, round(grounding, 4) AS grounding_score, round(1 - grounding, 4) AS hallucination_risk
       FROM grounded""",
     "compliance_hits": f"""
       SELECT conv_id, turn, CASE WHEN len(hits) > 0 THEN array_to_string(hits, ', ') ELSE 'None' END AS claims
-      FROM (SELECT conv_id, turn, list_filter([{listed(fx.DOCUMENT_KEYWORDS)}], lambda k: contains(lower(text), k)) AS hits
+      FROM (SELECT conv_id, turn, list_filter([{listed(expected.DOCUMENT_KEYWORDS)}], lambda k: contains(lower(text), k)) AS hits
             FROM (SELECT conv_id, turn, text FROM conversations
                   UNION ALL SELECT doc_id, CAST(-1 AS BIGINT), text FROM documents) t) h""",
     "impact_review": "SELECT * EXCLUDE (explanation) FROM cost",
