@@ -149,6 +149,15 @@ def what_if(df: DataFrame, **sliders: tuple[int, int, int]) -> DataFrame:
     return df
 
 
+def whole_grid(cells: DataFrame, **sliders: tuple[int, int, int]) -> DataFrame:
+    """Every position of all sliders together, with what ``cells`` (one row per occupied position) holds there, else NULL.
+
+    The positions are as many as the sliders have, whatever the rows behind ``cells``; a plain join on all of them follows.
+    """
+    positions = what_if(cells.sparkSession.range(1), **sliders).drop("id")
+    return positions.join(cells, list(sliders), "left")
+
+
 def snap(value: Column, slider: tuple[int, int, int]) -> Column:
     """Nearest lower slider position, clamped to the slider's range."""
     low, high, step = slider

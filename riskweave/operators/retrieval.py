@@ -122,6 +122,16 @@ PROMPT_TEMPLATE = (
 )
 
 
+def chunk_passages(df: DataFrame, row_id: str, text: str, **sizes: int) -> DataFrame:
+    """Rows (passage_id, id, chunk_no, text): overlapping chunks as passages of their own, named ``id:chunk_no``.
+
+    Texts that are NULL give none, empty ones an empty chunk.
+    """
+    pieces = df.select(row_id, F.posexplode(tx.chunks(F.col(text), **sizes)).alias("chunk_no", "text"))
+    name = F.concat_ws(":", F.col(row_id).cast("string"), F.col("chunk_no").cast("string"))
+    return pieces.select(name.alias("passage_id"), row_id, "chunk_no", "text")
+
+
 def prompt_rows(df: DataFrame, explanation: str, context: str, template: str = PROMPT_TEMPLATE) -> DataFrame:
     """Add ``prompt``: the template with both placeholders filled, ready for any scorer."""
     head, rest = template.split("{explanation}")

@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from riskweave.operators import (
     audit,
     boosting,
     drift,
+    export,
     governance,
     grounding,
     impute,
@@ -83,6 +86,18 @@ def csv_roundtrip(spark, sf_dir):
     return files.sanitize_names(files.scan_csv(spark, path, source.schema))
 
 
+@query
+def csv_inferred(spark, sf_dir):
+    """Types that a CSV scan without a schema finds in orders, and the filled values of each column."""
+    path = fresh_path(spark, "orders_csv")
+    table(spark, sf_dir, "orders").write.option("header", True).csv(path)
+    found = files.scan_csv(spark, path)
+    kinds = {"int": "whole number", "bigint": "whole number"}  # which of both depends on the largest value
+    filled = found.agg(*[F.count(c).alias(c) for c in found.columns]).unpivot([], found.columns, "column_name", "filled")
+    types = sc.recode(F.col("column_name"), {f.name: kinds.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in found.schema}, None)
+    return filled.select("column_name", types.alias("data_type"), "filled")
+
+
 @query
 def json_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "events_json")
@@ -464,16 +479,25 @@ def synthetic_labels(spark, sf_dir):
     return labelled.select("applicant_id", F.round("label_probability", 6).alias("label_probability"), "target")
 
 
-# Training (rows only)
+# Training
 
 SMALL_FOREST = {"numTrees": 10, "maxDepth": 5}
 SMALL_BOOSTING = {"maxIter": 5, "maxDepth": 4}
 
 
 def _trained(spark, sf_dir, kind, params):
-    rows = fx.silver_home(spark, sf_dir).select("applicant_id", *FEATURES, "target")
-    parts = fx.stored(split.stratified_split(rows, "applicant_id", "target"), "split")
-    return models.fit(kind, parts.where(~F.col("is_test")), FEATURES, "target", params), parts
+    """The split and a model of its training rows, each stored by the first query of the session that needs it."""
+
+    def divided():
+        rows = fx.silver_home(spark, sf_dir).select("applicant_id", *FEATURES, "target")
+        return split.stratified_split(rows, "applicant_id", "target")
+
+    parts = fx.once(spark, sf_dir, "training_split", divided)
+    name = "_".join([kind, *(f"{k}{v}" for k, v in params.items())])
+    path = fx.once_path(
+        spark, sf_dir, name, lambda at: models.fit(kind, parts.where(~F.col("is_test")), FEATURES, "target", params).save(at)
+    )
+    return PipelineModel.load(path), parts
 
 
 def _test_metrics(spark, sf_dir, kind, params):
@@ -503,6 +527,79 @@ def feature_importance(spark, sf_dir):
     return models.importances(model, FEATURES, spark)
 
 
+KINDS = {"logistic": {"maxIter": 50}, "forest": SMALL_FOREST, "boosting": SMALL_BOOSTING}
+
+
+@query
+def class_weights(spark, sf_dir):
+    """Weight of a row of each class under both schemes."""
+    rows = fx.once(spark, sf_dir, "silver_home", lambda: fx.silver_home(spark, sf_dir)).select("target")
+    for scheme in ("balanced", "positive_ratio"):
+        rows = models.with_class_weight(rows, "target", scheme).withColumnRenamed("class_weight", scheme)
+    return rows.groupBy("target").agg(
+        F.count("*").alias("row_count"), F.round(F.max("balanced"), 6).alias("balanced"), F.max("positive_ratio").alias("positive_ratio")
+    )
+
+
+def _gradient(rows):
+    """Whether the weighted residuals of a linear fit are free of each standardised feature, and of the mean."""
+    spread = rows.agg(*[F.struct(F.avg(f).alias("m"), F.stddev_pop(f).alias("s")).alias(f) for f in FEATURES]).first()
+    residual = F.col("class_weight") * (F.col("score") - F.col("target"))
+    unit = {"intercept": F.lit(1.0), **{f: (F.col(f) - spread[f]["m"]) / spread[f]["s"] for f in FEATURES}}
+    return {f"gradient of {f}": F.abs(F.sum(residual * x) / F.sum("class_weight")) < 1e-4 for f, x in unit.items()}
+
+
+def _less_loss(rows, loss):
+    """Whether the weighted loss on the training rows is under that of the best constant."""
+    share = rows.agg(F.sum(F.col("class_weight") * F.col("target")) / F.sum("class_weight")).first()[0]
+    return {"loss under constant": F.sum(F.col("class_weight") * (loss(F.col("score")) - loss(F.lit(share)))) < 0}
+
+
+def _log_loss(p):
+    return -F.log(F.when(F.col("target") == 1, p).otherwise(1 - p))
+
+
+def _squared_loss(p):
+    return (p - F.col("target")) ** 2
+
+
+@query
+def training_facts(spark, sf_dir):
+    """What must hold of each fit on its training rows, with the sizes of both parts."""
+    found = []
+    for kind, scheme in (("logistic", "balanced"), ("forest", "balanced"), ("boosting", "positive_ratio")):
+        model, parts = _trained(spark, sf_dir, kind, KINDS[kind])
+        rows = models.score(model, models.with_class_weight(parts.where("not is_test"), "target", scheme))
+        facts = _gradient(rows) if kind == "logistic" else _less_loss(rows, _squared_loss if kind == "forest" else _log_loss)
+        held = rows.agg(*[holds.alias(fact) for fact, holds in facts.items()])
+        found.append(held.unpivot([], list(facts), "fact", "holds").withColumn("model", F.lit(kind)))
+    sizes = parts.agg(
+        F.count_if(~F.col("is_test")).alias("train_rows"), F.count_if(F.col("is_test")).alias("test_rows"),
+        F.sum(F.col("is_test").cast("long") * F.col("target")).alias("test_positives"),
+    )
+    return reduce(DataFrame.unionByName, found).withColumns({c: sizes.select(c).scalar() for c in sizes.columns})
+
+
+@query
+def importance_agrees(spark, sf_dir):
+    """Importances of the forest against those counted from its stored nodes."""
+    model, _ = _trained(spark, sf_dir, "forest", SMALL_FOREST)
+    counted = export.split_importances(model, FEATURES, spark).withColumnRenamed("importance", "counted")
+    both = models.importances(model, FEATURES, spark).join(counted, "feature")
+    return both.select("feature", (F.abs(F.col("importance") - F.col("counted")) < 1e-9).alias("agrees"))
+
+
+@query
+def score_exported(spark, sf_dir):
+    """Every applicant scored by each model and by its expression, which knows nothing of the model."""
+    rows = fx.silver_batch(spark, sf_dir).select("applicant_id", *FEATURES)
+    for kind, params in KINDS.items():
+        model, _ = _trained(spark, sf_dir, kind, params)
+        agrees = F.abs(F.col("score") - export.score_expression(model, FEATURES, spark)) < 1e-9
+        rows = models.score(model, rows).withColumn(kind, agrees).drop("score")
+    return rows.select("applicant_id", *KINDS)
+
+
 @query
 def tree_shap(spark, sf_dir):
     model, _ = _trained(spark, sf_dir, "boosting", SMALL_BOOSTING)
@@ -679,24 +776,81 @@ def retrain_loop(spark, sf_dir):
     return kept.withColumn("active_version", version)
 
 
+def _lifecycle(spark, sf_dir):
+    """All steps from raw loans to the audit table, through stored tables, once per session."""
+
+    def steps(root):
+        return Lifecycle(spark, root, "run-1", fx.RUN_AT.isoformat(), KINDS)
+
+    def fill(root):
+        steps(root).run(
+            fx.home_like(spark, sf_dir), fx.batch_like(spark, sf_dir), table(spark, sf_dir, "benchmark"), passage_id="item_id"
+        )
+
+    return steps(fx.once_path(spark, sf_dir, "lifecycle", fill))
+
+
 @query
 def model_lifecycle(spark, sf_dir):
-    """All steps from raw loans to the audit table, through stored tables."""
-    steps = Lifecycle(
-        spark,
-        fresh_path(spark, "lifecycle"),
-        "run-1",
-        fx.RUN_AT.isoformat(),
-        {"logistic": {"maxIter": 50}, "forest": SMALL_FOREST, "boosting": SMALL_BOOSTING},
+    return _lifecycle(spark, sf_dir).read("audit_table")
+
+
+LIFECYCLE_TABLES = [
+    "projected_home", "silver_home", "silver_batch", "training_split", "test_scores", "leaderboard", "drift_metrics",
+    "challenger_split", "challenger_scores", "model_comparison", "explanations", "hallucination_cost", "audit_table",
+]
+
+
+@query
+def lifecycle_tables(spark, sf_dir):
+    """Rows of every table that the steps leave."""
+    steps = _lifecycle(spark, sf_dir)
+    counts = [steps.read(n).agg(F.lit(n).alias("table_name"), F.count("*").alias("row_count")) for n in LIFECYCLE_TABLES]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _recounted(scores, names):
+    """Long rows (model, key, recounted): the metrics of stored scores."""
+    measured = metrics.evaluate(metrics.long_scores(scores, "target", names))
+    return measured.unpivot(["model"], ["accuracy", "precision", "recall", "f1", "roc_auc"], "key", "recounted")
+
+
+@query
+def run_log(spark, sf_dir):
+    """Log of all fits: the parameters they were given, whether metrics agree with the stored scores, what is important."""
+    steps = _lifecycle(spark, sf_dir)
+    log = steps.read("run_log").join(_recounted(steps.read("test_scores"), {k: k for k in KINDS}), ["model", "key"], "left")
+    number = F.col("value").try_cast("double")
+    shown = (
+        F.when(F.col("kind") == "param", F.col("value"))
+        .when(F.col("kind") == "metric", (F.abs(number - F.col("recounted")) < 1e-9).cast("string"))
+        .otherwise((number >= 0).cast("string"))
     )
-    return steps.run(
-        fx.home_like(spark, sf_dir),
-        fx.batch_like(spark, sf_dir),
-        table(spark, sf_dir, "benchmark"),
-        passage_id="item_id",
+    given = F.col("key").isin("maxIter", "numTrees", "maxDepth") | (F.col("kind") != "param")
+    return log.where(given).select("run_id", "model", "kind", "key", shown.alias("value"))
+
+
+@query
+def challenger_facts(spark, sf_dir):
+    """The challenger's test rows, and whether comparison, action and version in charge follow from their scores."""
+    steps = _lifecycle(spark, sf_dir)
+    scores = steps.read("challenger_scores")
+    again = {r["model"]: r["recounted"] for r in _recounted(scores, {"old": "old", "new": "new"}).where("key = 'roc_auc'").collect()}
+    promoted = again["new"] > again["old"]
+    active = registry.resolve_alias(steps.read("registry"), "credit_risk", "Champion").agg(F.max("version").alias("v")).scalar()
+    compared = steps.read("model_comparison")
+    agrees = (F.abs(F.col("champion_auc") - again["old"]) < 1e-9) & (F.abs(F.col("challenger_auc") - again["new"]) < 1e-9)
+    sizes = scores.agg(F.count("*").alias("test_rows"), F.sum("target").alias("test_positives"))
+    return compared.select(
+        sizes.select("test_rows").scalar().alias("test_rows"),
+        sizes.select("test_positives").scalar().alias("test_positives"),
+        agrees.alias("auc_agrees"),
+        ((F.col("promotion_action") == fixed.PROMOTED) == F.lit(promoted)).alias("action_follows"),
+        (active == (2 if promoted else 1)).alias("version_follows"),
     )
 
 
+
 # Explanation
 
 
@@ -907,6 +1061,16 @@ def chunk_overlap(spark, sf_dir):
     return docs.select("doc_id", F.posexplode(tx.chunks(F.col("text"))).alias("chunk_no", "chunk"))
 
 
+@query
+def chunk_topk(spark, sf_dir):
+    """For every benchmark text, the three best chunks of all documents, by exact search over pruned postings."""
+    chunks = fx.stored(retrieval.chunk_passages(table(spark, sf_dir, "documents"), "doc_id", "text"), "chunks")
+    index = pruned.write_index(chunks, "passage_id", "text", fresh_path(spark, "chunk_index"))
+    best = pruned.top_passages(table(spark, sf_dir, "benchmark"), "item_id", "text", index, 3)
+    found = best.join(chunks.drop("text"), "passage_id")
+    return found.select("item_id", "rank", "doc_id", "chunk_no", F.round("similarity", 4).alias("similarity"))
+
+
 # Audit and serving
 
 
@@ -1029,6 +1193,17 @@ def scenario_grid(spark, sf_dir):
     return audit.score_scenarios(cells).withColumn("predicted_risk", F.round("predicted_risk", 6))
 
 
+@query
+def slider_grid(spark, sf_dir):
+    """The whole grid of the three sliders: score of every position, and how many applicants stand there."""
+    c = F.col
+    sliders = {"age": fixed.SLIDER_AGE, "income": fixed.SLIDER_INCOME, "duration": fixed.SLIDER_DURATION}
+    cells = _scenarios(spark, sf_dir).groupBy(*[audit.snap(c(n), s).alias(n) for n, s in sliders.items()]).agg(F.count("*").alias("applicants"))
+    grid = audit.whole_grid(cells, **sliders).withColumn("applicants", F.coalesce("applicants", F.lit(0).cast("long")))
+    scored = audit.score_scenarios(grid).select(*sliders, "applicants", "predicted_risk", "classification")
+    return scored.withColumn("predicted_risk", F.round("predicted_risk", 6))
+
+
 @query
 def scenario_sweep(spark, sf_dir):
     """Every applicant at every duration of the slider: class counts per duration."""

@@ -115,14 +115,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 _HELD: dict[tuple[str, str, str], str] = {}
 
 
-def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table that ``build`` makes of a data folder, stored by the first query of a session that asks for it."""
+def once_path(spark: SparkSession, sf_dir: str, name: str, fill: Callable[[str], object]) -> str:
+    """Folder that ``fill`` wrote for a data folder, filled by the first query of a session that asks for it."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _HELD or not exists(spark, _HELD[key]):
         path = fresh_path(spark, name)
-        tables.save_table(build(), path)
+        fill(path)
         _HELD[key] = path
-    return tables.read_table(spark, _HELD[key])
+    return _HELD[key]
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table that ``build`` makes of a data folder, stored by the first query of a session that asks for it."""
+    return tables.read_table(spark, once_path(spark, sf_dir, name, lambda path: tables.save_table(build(), path)))
 
 
 def silver_home(spark: SparkSession, sf_dir: str) -> DataFrame:

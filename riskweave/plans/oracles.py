@@ -393,6 +393,46 @@ CTES |= {
 }
 
 
+def parts(source: str, share: str, seed: str) -> str:
+    """Rows of ``source`` (applicant_id, target) with the part that the lowest id hashes of each class form."""
+    return f"""
+      SELECT applicant_id, target, h <= max(CASE WHEN r <= ceil({share} * n) THEN h END) OVER (PARTITION BY target) AS is_test
+      FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY h) AS r, count(*) OVER (PARTITION BY target) AS n
+            FROM (SELECT applicant_id, target, {hexed(f"concat_ws('|', CAST(applicant_id AS VARCHAR), '{seed}')", 13)} AS h
+                  FROM {source}) a) b"""
+
+
+CTES |= {
+    "home_parts": parts("silver_home", "0.2", "42"),
+    "numbered_batch": f"""
+      SELECT n.number AS applicant_id, s.credit_amount, s.income_proxy, s.age
+      FROM silver_batch s JOIN (SELECT {hexed('row_key', 15)} AS own_id, row_number() OVER (
+        ORDER BY Age, Credit_amount, Duration, Housing, Job, Purpose, Sex, row_key) - 1 AS number FROM batch_like) n ON own_id = s.applicant_id""",
+    "labelled_batch": f"""
+      SELECT applicant_id, CASE WHEN ({hexed("concat_ws('|', CAST(applicant_id AS VARCHAR), '42')", 13)} % 1000000) / CAST(1000000 AS DOUBLE)
+               < greatest(0, least(1, credit_amount / (income_proxy + 1) * 0.1 - age * 0.005 + 0.3)) THEN 1 ELSE 0 END AS target
+      FROM numbered_batch""",
+    "challenger_parts": parts("labelled_batch", "0.3", "101"),
+    "chunk_rows": """
+      SELECT doc_id, CAST(start / 450 AS INT) AS chunk_no, substr(text, start + 1, 500) AS chunk,
+             CAST(doc_id AS VARCHAR) || ':' || CAST(CAST(start / 450 AS INT) AS VARCHAR) AS chunk_id
+      FROM (SELECT doc_id, text, CAST(unnest(range(0, greatest(length(text) - 50, 1), 450)) AS INT) AS start FROM documents) c""",
+    "chunk_tf": rf"""
+      SELECT chunk_id, term, CAST(count(*) AS DOUBLE) AS tf
+      FROM (SELECT chunk_id, unnest(regexp_extract_all(lower(chunk), '{expected.TOKEN_PATTERN}')) AS term FROM chunk_rows) t
+      WHERE term NOT IN ({listed(expected.STOP_WORDS)}) GROUP BY 1, 2""",
+    "chunk_idf": """
+      SELECT term, ln((1 + (SELECT count(*) FROM chunk_rows)) / CAST(1 + count(*) AS DOUBLE)) + 1 AS idf FROM chunk_tf GROUP BY term""",
+    "chunk_weight": """
+      SELECT chunk_id, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY chunk_id)) AS weight
+      FROM chunk_tf JOIN chunk_idf USING (term)""",
+    "item_x": rf"""
+      SELECT item_id, term, count(*) * any_value(idf) AS x
+      FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '{expected.TOKEN_PATTERN}')) AS term FROM benchmark) t
+      JOIN chunk_idf USING (term) GROUP BY 1, 2""",
+}
+
+
 def prompt(template: str) -> str:
     head, rest = template.split("{explanation}")
     middle, tail = rest.split("{context}")
@@ -531,6 +571,61 @@ BODIES: dict[str, str] = {
       FROM (SELECT year, unnest(['l_quantity', 'l_extendedprice', 'l_discount']) AS feature, unnest([a, b, c]) AS n
             FROM (SELECT CAST(year(l_shipdate) AS VARCHAR) AS year, count(l_quantity) AS a, count(l_extendedprice) AS b, count(l_discount) AS c FROM lineitem GROUP BY 1) y) f,
            (SELECT unnest([0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]) AS p) q""",
+    "class_weights": """
+      SELECT target, count(*) AS row_count, round(CAST(sum(count(*)) OVER () AS DOUBLE) / (2 * count(*)), 6) AS balanced,
+             CASE WHEN target = 1 THEN round(CAST(sum(count(*)) OVER () - count(*) AS DOUBLE) / count(*), 2) ELSE CAST(1 AS DOUBLE) END AS positive_ratio
+      FROM silver_home GROUP BY 1""",
+    "training_facts": f"""
+      SELECT model, fact, true AS holds, count(*) FILTER (WHERE NOT is_test) AS train_rows, count(*) FILTER (WHERE is_test) AS test_rows,
+             count(*) FILTER (WHERE is_test AND target = 1) AS test_positives
+      FROM home_parts, (SELECT 'logistic' AS model, 'gradient of ' || unnest(['intercept', {listed(FEATURES)}]) AS fact
+                        UNION ALL SELECT unnest(['forest', 'boosting']), 'loss under constant') f
+      GROUP BY 1, 2""",
+    "importance_agrees": f"SELECT unnest([{listed(FEATURES)}]) AS feature, true AS agrees",
+    "score_exported": "SELECT applicant_id, true AS logistic, true AS forest, true AS boosting FROM silver_batch",
+    "run_log": f"""
+      SELECT 'run-1' AS run_id, model, kind, key, value FROM (
+        SELECT * FROM (VALUES ('logistic', 'param', 'maxIter', '50'), ('forest', 'param', 'numTrees', '10'), ('forest', 'param', 'maxDepth', '5'),
+                              ('boosting', 'param', 'maxIter', '5'), ('boosting', 'param', 'maxDepth', '4')) p(model, kind, key, value)
+        UNION ALL
+        SELECT model, kind, key, 'true' FROM (SELECT unnest(['logistic', 'forest', 'boosting']) AS model) m,
+          (SELECT 'metric' AS kind, unnest(['accuracy', 'precision', 'recall', 'f1', 'roc_auc']) AS key
+           UNION ALL SELECT 'importance', unnest([{listed(FEATURES)}])) k) l""",
+    "challenger_facts": """
+      SELECT count(*) AS test_rows, count(*) FILTER (WHERE target = 1) AS test_positives, true AS auc_agrees, true AS action_follows,
+             true AS version_follows FROM challenger_parts WHERE is_test""",
+    "lifecycle_tables": """
+      SELECT unnest(['projected_home', 'silver_home', 'training_split', 'test_scores', 'silver_batch', 'challenger_split', 'explanations',
+                     'hallucination_cost', 'audit_table', 'challenger_scores', 'leaderboard', 'drift_metrics', 'model_comparison']) AS table_name,
+             unnest([p, h, h, t, b, b, b, b, b, c, 3, 5, 1]) AS row_count
+      FROM (SELECT (SELECT count(*) FROM projected_home) AS p, (SELECT count(*) FROM silver_home) AS h,
+                   (SELECT count(*) FROM home_parts WHERE is_test) AS t, (SELECT count(*) FROM silver_batch) AS b,
+                   (SELECT count(*) FROM challenger_parts WHERE is_test) AS c) n""",
+    "csv_inferred": """
+      SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) AS column_name,
+             unnest(['whole number', 'whole number', 'string', 'double', 'timestamp', 'string']) AS data_type,
+             unnest([count(o_orderkey), count(o_custkey), count(o_orderstatus), count(o_totalprice), count(o_orderdate), count(o_orderpriority)]) AS filled
+      FROM orders""",
+    "chunk_topk": """
+      SELECT item_id, CAST(rank AS INT) AS rank, doc_id, chunk_no, round(similarity, 4) AS similarity FROM (
+        SELECT b.item_id, c.doc_id, c.chunk_no, coalesce(s.sim, 0) AS similarity,
+               row_number() OVER (PARTITION BY b.item_id ORDER BY round(coalesce(s.dot, 0), 9) DESC, c.chunk_id) AS rank
+        FROM benchmark b CROSS JOIN chunk_rows c LEFT JOIN (
+          SELECT q.item_id, w.chunk_id, sum(q.x * w.weight) AS dot, sum(q.x * w.weight) / any_value(n.len) AS sim
+          FROM item_x q JOIN chunk_weight w USING (term) JOIN (SELECT item_id, sqrt(sum(x * x)) AS len FROM item_x GROUP BY 1) n ON n.item_id = q.item_id
+          GROUP BY 1, 2) s ON s.item_id = b.item_id AND s.chunk_id = c.chunk_id) r
+      WHERE rank <= 3""",
+    "slider_grid": "SELECT age, income, duration, applicants, round(predicted_risk, 6) AS predicted_risk, classification FROM ("
+    + scenario(
+        """SELECT g.age, g.income, g.duration, coalesce(n, 0) AS applicants
+           FROM (SELECT CAST(a AS INT) AS age, CAST(i AS INT) AS income, CAST(d AS INT) AS duration
+                 FROM range(18, 81) x(a), range(10000, 150001, 5000) y(i), range(6, 73) z(d)) g
+           LEFT JOIN (SELECT floor(greatest(18, least(80, age))) AS age, count(*) AS n,
+                             floor((greatest(10000, least(150000, income)) - 10000) / 5000) * 5000 + 10000 AS income,
+                             greatest(6, least(72, duration)) AS duration
+                      FROM scenarios GROUP BY 1, 3, 4) s ON s.age = g.age AND s.income = g.income AND s.duration = g.duration"""
+    )
+    + ") s",
     "roc_auc_ties": labelled_auc(
         "(SELECT 'discount' AS model, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label, l_discount AS score FROM lineitem) s"
     ),
