@@ -19,24 +19,46 @@ def term_rows(df: DataFrame, row_id: str, text: str, pattern: str = fixed.TOKEN_
     return pairs.select(row_id, "_t.term", "_t.tf")
 
 
-def tfidf_weights(
+def kept_terms(
     corpus: DataFrame,
     row_id: str,
     text: str,
     stop_words: list[str] = tuple(fixed.STOP_WORDS),
     pattern: str = fixed.TOKEN_PATTERN,
 ) -> DataFrame:
-    """Rows (id, term, idf, weight): smooth idf and unit-length passage vectors."""
-    kept = corpus.where(F.col(text).isNotNull())
-    terms = term_rows(kept, row_id, text, pattern).where(~F.col("term").isin(list(stop_words)))
-    size = kept.agg(F.count("*").cast("double").alias("n")).scalar()
+    """``term_rows`` of a corpus without its NULL texts and without stop words."""
+    rows = term_rows(corpus.where(F.col(text).isNotNull()), row_id, text, pattern)
+    return rows.where(~F.col("term").isin(list(stop_words)))
+
+
+def weigh_terms(terms: DataFrame, row_id: str, size: Column) -> DataFrame:
+    """Rows (id, term, idf, weight) from term rows of ``size`` texts: smooth idf and unit-length vectors.
+
+    Frequencies are counted inside each task first. Weights are shuffled once, by row, where a row holds each term once.
+    """
     idf = F.log((size + 1) / (F.col("_df") + 1)) + 1
     frequency = terms.groupBy("term").agg(F.count("*").alias("_df")).select("term", idf.alias("idf"))
     weighted = terms.join(frequency, "term").withColumn("_w", F.col("tf") * F.col("idf"))
-    length = weighted.groupBy(row_id).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_len"))
-    return weighted.join(length, row_id).select(
-        row_id, "term", "idf", (F.col("_w") / F.col("_len")).alias("weight")
-    )
+    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(row_id)))
+    return weighted.select(row_id, "term", "idf", (F.col("_w") / length).alias("weight"))
+
+
+def corpus_size(corpus: DataFrame, text: str) -> Column:
+    return corpus.agg(F.count(text).cast("double").alias("n")).scalar()
+
+
+def tfidf_weights(corpus: DataFrame, row_id: str, text: str, **options) -> DataFrame:
+    """Rows (id, term, idf, weight) of a corpus, as one plan; texts are read for the frequencies and again for the rows."""
+    return weigh_terms(kept_terms(corpus, row_id, text, **options), row_id, corpus_size(corpus, text))
+
+
+def store_weights(corpus: DataFrame, row_id: str, text: str, path: str, **options) -> DataFrame:
+    """The same with ``passage_id`` as id, stored below ``path``; texts are split into terms once, and the counts kept there."""
+    spark = corpus.sparkSession
+    kept_terms(corpus, row_id, text, **options).withColumnRenamed(row_id, "passage_id").write.mode("overwrite").parquet(f"{path}/counts")
+    weights = weigh_terms(spark.read.parquet(f"{path}/counts"), "passage_id", corpus_size(corpus, text))
+    weights.select("passage_id", "term", "idf", "weight").write.mode("overwrite").parquet(f"{path}/weights")
+    return spark.read.parquet(f"{path}/weights")
 
 
 def write_index(corpus: DataFrame, row_id: str, text: str, path: str, **options) -> DataFrame:
@@ -48,9 +70,7 @@ def write_index(corpus: DataFrame, row_id: str, text: str, path: str, **options)
     each passage, also for one without any term.
     """
     spark = corpus.sparkSession
-    weights = tfidf_weights(corpus, row_id, text, **options).withColumnRenamed(row_id, "passage_id")
-    weights.select("passage_id", "term", "idf", "weight").write.mode("overwrite").parquet(f"{path}/weights")
-    stored = spark.read.parquet(f"{path}/weights")
+    stored = store_weights(corpus, row_id, text, path, **options)
     terms = stored.groupBy("term").agg(F.first("idf").alias("idf"))
     nothing = F.lit(None)
     alone = terms.select(nothing.cast(stored.schema["passage_id"].dataType).alias("passage_id"), "term", "idf", nothing.cast("double").alias("weight"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskweave.functions import fixed
-from riskweave.operators.grounding import term_rows, tfidf_weights
+from riskweave.operators.grounding import store_weights, term_rows
 
 #: Levels to a halving of the weight; all weights under the last level share it. Weights are at most one.
 _PER_HALVING, _LAST_LEVEL = 2, 60
@@ -65,9 +65,7 @@ def write_index(corpus: DataFrame, row_id: str, text: str, path: str, **options)
     the passage, so no task holds a term.
     """
     spark = corpus.sparkSession
-    weights = tfidf_weights(corpus, row_id, text, **options).withColumnRenamed(row_id, "passage_id")
-    weights.select("passage_id", "term", "idf", "weight").write.parquet(f"{path}/weights")
-    held = spark.read.parquet(f"{path}/weights")
+    held = store_weights(corpus, row_id, text, path, **options)
     stats = held.groupBy("term").agg(F.first("idf").alias("idf"), F.count(F.lit(1)).alias("df"), F.max("weight").alias("most"))
     stats.write.parquet(f"{path}/terms")
     kept = corpus.where(F.col(text).isNotNull()).select(F.col(row_id).alias("passage_id"))

@@ -59,9 +59,17 @@ class Lifecycle:
     run_at: str
     params: Mapping[str, Mapping] = field(default_factory=dict)
     score_mode: str = "probability"  # or "class": the champion's side of the comparison is its predicted class
+    files: str | None = None  # folder of models, registry and index; needed where the root is a catalog schema
 
     def path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
+        """Table ``name`` below the root: a folder, or a name in a schema (``schema`` or ``catalog.schema``)."""
+        return f"{self.root.rstrip('/')}/{name}" if "/" in self.root else f"{self.root}.{name}"
+
+    def folder(self, name: str) -> str:
+        """Folder for what is no table of the catalog."""
+        if self.files is None and "/" not in self.root:
+            raise ValueError("with a catalog schema as root, name a folder for models and registry in files")
+        return f"{(self.files or self.root).rstrip('/')}/{name}"
 
     def read(self, name: str, schema: str | None = None) -> DataFrame:
         if schema is None:
@@ -135,7 +143,7 @@ class Lifecycle:
     def _register(self, model, measured: Mapping[str, float], step: str) -> None:
         """Register once per run and step; a repeated step finds the version it got."""
         registry.register(
-            self.spark, self.path("registry"), MODEL, model, self.path("models"), CHAMPION, measured, self.run_at, self._step(step)
+            self.spark, self.folder("registry"), MODEL, model, self.folder("models"), CHAMPION, measured, self.run_at, self._step(step)
         )
 
     def _step(self, step: str) -> str:
@@ -143,7 +151,7 @@ class Lifecycle:
 
     def champion(self, before: str | None = None):
         """The model in charge, or the one that was before the named step of this run registered its own."""
-        held = self.read("registry")
+        held = tables.read_table(self.spark, self.folder("registry"))
         if before:
             held = held.where(~F.col("run").eqNullSafe(self._step(before)))
         return registry.load_by_alias(held, MODEL, CHAMPION)
@@ -194,7 +202,7 @@ class Lifecycle:
     def ground(self, policy: DataFrame, passage_id: str = "paragraph_id", text: str = "text") -> None:
         """Support of each explanation in the policy corpus, and its cost record."""
         passages = policy.select(F.col(passage_id).alias("passage_id"), F.col(text).alias("text"))
-        index = grounding.write_index(passages, "passage_id", "text", self.path(f"policy_index/{self.run_id}"))
+        index = grounding.write_index(passages, "passage_id", "text", self.folder(f"policy_index/{self.run_id}"))
         said = tables.latest_run(self.read("explanations")).select("applicant_id", "explanation_summary", "total_risk_score")
         scores = grounding.grounding_scores(said, "applicant_id", "explanation_summary", index)
         costs = governance.cost_records(

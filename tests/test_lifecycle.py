@@ -1,3 +1,6 @@
+import uuid
+
+import pytest
 from pyspark.sql import functions as F
 
 from riskweave.plans import fixtures as fx
@@ -42,3 +45,27 @@ def test_steps_hand_over_through_tables(spark):
     again.monitor()
     assert again.read("drift_metrics").count() == 10
     assert {r["run_id"] for r in latest_run(again.read("drift_metrics")).collect()} == {"run-2"}
+
+
+def test_tables_in_a_schema_of_a_catalog(spark):
+    schema = f"riskweave_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{fresh_path(spark, schema)}'")
+    root = f"spark_catalog.{schema}"
+    try:
+        steps = Lifecycle(spark, root, "run-1", "2026-01-01", SMALL, files=fresh_path(spark, "files"))
+        loans = fx.home_like(spark, SF_DIR), fx.batch_like(spark, SF_DIR), fx.table(spark, SF_DIR, "benchmark")
+        audit = steps.run(*loans, passage_id="item_id")
+        rows = audit.count()
+        assert rows == loans[1].count() and spark.table(f"{root}.audit_table").count() == rows
+        drifted = rows_of(steps, "drift_metrics")
+        steps.monitor()  # again: replaces the rows of its run
+        assert rows_of(steps, "drift_metrics") == drifted and len(drifted) == 5
+        Lifecycle(spark, root, "run-2", "2026-02-01", SMALL, files=steps.files).monitor()
+        assert steps.read("drift_metrics").count() == 10
+    finally:
+        spark.sql(f"DROP SCHEMA {schema} CASCADE")
+
+
+def test_a_schema_as_root_needs_a_folder_for_files(spark):
+    with pytest.raises(ValueError, match="folder"):
+        Lifecycle(spark, "spark_catalog.none", "run-1", "2026-01-01").folder("models")
