@@ -2,7 +2,8 @@
 
 A window is ``size`` units long (words or bytes). Its minimiser is the smallest hash of the ``gram``-unit runs inside it,
 or those in two orders, taken together. Equal windows have equal minimisers wherever they stand, and can only meet in the
-bucket of that minimiser.
+bucket of that minimiser. Windows whose minimiser has too many different strings take one over a longer gram instead,
+level by level, up to the whole window.
 """
 
 from __future__ import annotations
@@ -18,10 +19,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import bytes_of, keyed, partitions, slices, stored
+from riskweave.llm.common import bytes_of, keyed, partitions, slices, stored_at
 from riskweave.llm.words import bit_set, find_words, in_set, mix, powers, running
+from riskweave.sources.shared import remove
 
-#: Windows in one packed string, strings of one minimiser that may meet in one bucket, bits of the lookup tables.
+#: Windows in one packed string, strings of one minimiser beyond which a longer gram divides them, bits of the lookup tables.
 MOST_WINDOWS, CROWD, MOST_BITS = 256, 20_000, 26
 _CHUNK = "m long, chunk binary, key long, digest long, first int, n int, sure boolean"
 #: Bytes of text that numpy arrays are built over at once.
@@ -36,7 +38,6 @@ class Units:
     begin: np.ndarray
     starts: np.ndarray | None  # byte places of units; None if units are bytes
     ends: np.ndarray | None
-    grams: np.ndarray  # hash of the gram at each unit
     sums: np.ndarray  # running hash over units
     base: np.ndarray
 
@@ -45,27 +46,27 @@ class Units:
             return self.raw[first : first + units].tobytes()
         return self.raw[self.starts[first] : self.ends[first + units - 1]].tobytes()
 
+    def grams(self, size: int) -> np.ndarray:
+        """Hash of the ``size`` units that begin at each unit."""
+        n = max(len(self.sums) - size, 0)
+        return mix((self.sums[size : size + n] - self.sums[:n]) * self.base[:n])
+
     def content(self, first: np.ndarray, units: np.ndarray) -> np.ndarray:
         return mix((self.sums[first + units] - self.sums[first]) * self.base[first])
 
 
-def byte_units(column: pa.Array, gram: int) -> Units:
+def byte_units(column: pa.Array) -> Units:
     raw, offsets = bytes_of(column)
-    sums, inverse = running(raw), powers(len(raw))[1]
-    n = max(len(raw) - gram + 1, 0)
-    grams = mix((sums[gram : gram + n] - sums[:n]) * inverse[:n])
-    return Units(raw, offsets, None, None, grams, sums, inverse)
+    return Units(raw, offsets, None, None, running(raw), powers(len(raw))[1])
 
 
-def word_units(column: pa.Array, gram: int) -> Units:
+def word_units(column: pa.Array) -> Units:
     joined = pa.array([b" ".join(t.split()) for t in column.to_pylist()], pa.binary())
     words = find_words(joined)
     power, inverse = powers(len(words.hashes) + 1)
     sums = np.zeros(len(words.hashes) + 1, np.uint64)
     np.cumsum(words.hashes * power[: len(words.hashes)], out=sums[1:])
-    n = max(len(words.hashes) - gram + 1, 0)
-    grams = mix((sums[gram : gram + n] - sums[:n]) * inverse[:n])
-    return Units(words.raw, np.concatenate(([0], np.cumsum(words.counts))), words.starts, words.ends, grams, sums, inverse)
+    return Units(words.raw, np.concatenate(([0], np.cumsum(words.counts))), words.starts, words.ends, sums, inverse)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -83,25 +84,43 @@ _ORDERS = np.array([0x243F6A8885A308D3, 0x13198A2E03707344], np.uint64)
 _PLACE = np.uint64(31)  # bits for a gram's place, enough for any text that fits in a row
 
 
-def runs(units: Units, size: int, gram: int, orders: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first unit, windows, minimiser, places of the minimiser) of each packed run of the slice.
+#: Text, first unit, windows, minimiser and places of the minimiser of each packed run.
+Runs = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+#: Bits of the minimisers of a level that occur more than once, and of those with too many strings (none: no table).
+Level = tuple[np.ndarray, np.ndarray | None]
+
+
+def levels(gram: int, size: int) -> list[int]:
+    """Gram lengths from ``gram`` up, each twice the last; the whole window comes last."""
+    out = []
+    while gram < size:
+        out.append(gram)
+        gram *= 2
+    return [*out, size]
+
+
+def windows(units: Units, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, first unit) of every window of the slice."""
+    counts = np.maximum(np.diff(units.begin) - size + 1, 0)
+    row = np.repeat(np.arange(len(counts)), counts)
+    return row, np.repeat(units.begin[:-1] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(len(row))
+
+
+def runs(units: Units, row: np.ndarray, at: np.ndarray, size: int, gram: int, orders: int) -> Runs:
+    """Runs of windows that follow each other and share a minimiser over grams of ``gram`` units.
 
     The smallest upper hash bits, leftmost at ties, choose a window's minimiser, so its choice depends on the window only.
     """
-    counts = np.maximum(np.diff(units.begin) - size + 1, 0)  # windows per text
-    row = np.repeat(np.arange(len(counts)), counts)
-    at = np.repeat(units.begin[:-1] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(len(row))
-    if not len(at):
-        return row, at, at, np.zeros(0, np.uint64), at
-    places = np.arange(len(units.grams), dtype=np.uint64)
+    grams = units.grams(gram)
+    places = np.arange(len(grams), dtype=np.uint64)
     m, place = np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64)
     for salt in _ORDERS[:orders]:
-        smallest = sliding_min((mix(units.grams ^ salt) >> _PLACE) << _PLACE | places, size - gram + 1)[at]
+        smallest = sliding_min((mix(grams ^ salt) >> _PLACE) << _PLACE | places, size - gram + 1)[at]
         here = (smallest & ((np.uint64(1) << _PLACE) - np.uint64(1))).astype(np.int64)
-        m = mix(m + units.grams[here])
+        m = mix(m + grams[here])
         place = place * 3 + here
     new = np.ones(len(at), bool)
-    new[1:] = (m[1:] != m[:-1]) | (row[1:] != row[:-1])
+    new[1:] = (m[1:] != m[:-1]) | (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
     i = np.arange(len(at))
     new |= (i - np.maximum.accumulate(np.where(new, i, 0))) % MOST_WINDOWS == 0
     first = np.flatnonzero(new)
@@ -110,56 +129,72 @@ def runs(units: Units, size: int, gram: int, orders: int) -> tuple[np.ndarray, n
     return row[first], at[first], last - first + 1, m[first], 1 + moved[last] - moved[first]
 
 
-def _tally(units_of: Callable, size: int, gram: int, orders: int):
+def runs_by_level(units: Units, size: int, grams: list[int], orders: int, known: list[Level]) -> Iterator[Runs]:
+    """Runs of each level in ``known``, without those that cannot repeat and those that a longer gram divides, then all
+    runs of the level after them. Equal windows take the same level, as their minimisers alone decide it."""
+    row, at = windows(units, size)
+    for gram, level in zip(grams, [*known, None], strict=False):
+        if not len(at):
+            return
+        found = runs(units, row, at, size, gram, orders)
+        if level is None:
+            yield found
+            return
+        repeated, crowded = level
+        found = tuple(c[in_set(repeated, found[3])] for c in found)
+        if crowded is None:
+            yield found
+            return
+        crowd = in_set(crowded, found[3])
+        yield tuple(c[~crowd] for c in found)
+        each = found[2][crowd]
+        row = np.repeat(found[0][crowd], each)
+        at = np.repeat(found[1][crowd] - np.concatenate(([0], np.cumsum(each)[:-1])).astype(np.int64), each) + np.arange(len(row))
+
+
+def _tally(units_of: Callable, size: int, grams: list[int], orders: int, known: list[Level]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SLICE):
-            units = units_of(batch.column("text"), gram)
-            _, at, n, m, places = runs(units, size, gram, orders)
-            _, once = np.unique(mix(m + np.uint64(1)) ^ units.content(at, n + size - 1), return_index=True)
-            values, into = np.unique(m, return_inverse=True)
-            total = np.bincount(into, places, len(values)).astype(np.int64)
-            distinct = np.bincount(into[once], minlength=len(values))
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(total), pa.array(distinct)], ["m", "n", "chunks"])
+            units = units_of(batch.column("text"))
+            for k, (_, at, n, m, places) in enumerate(runs_by_level(units, size, grams, orders, known)):
+                if k < len(known):
+                    continue
+                _, once = np.unique(mix(m + np.uint64(1)) ^ units.content(at, n + size - 1), return_index=True)
+                values, into = np.unique(m, return_inverse=True)
+                total = np.bincount(into, places, len(values)).astype(np.int64)
+                distinct = np.bincount(into[once], minlength=len(values))
+                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(total), pa.array(distinct)], ["m", "n", "chunks"])
 
     return run
 
 
-def _packed(units_of: Callable, size: int, gram: int, orders: int, repeated: np.ndarray, crowded: np.ndarray, both_ways: bool):
+def _packed(units_of: Callable, size: int, grams: list[int], orders: int, known: list[Level], both_ways: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: dict[bytes, tuple[int, int] | bool] = {}
             for part in slices([batch], limit=SLICE):
-                units = units_of(part.column("text"), gram)
-                row, at, n, m, _ = runs(units, size, gram, orders)
-                hit = np.flatnonzero(in_set(repeated, m)) if len(m) else np.zeros(0, np.int64)
-                row, at, n, m = row[hit], at[hit], n[hit], m[hit]
-                crowd = in_set(crowded, m) if len(m) else np.zeros(0, bool)
-                if crowd.any():  # windows of a crowded minimiser go each by its own hash
-                    each = n[crowd]
-                    one = np.repeat(at[crowd] - np.concatenate(([0], np.cumsum(each)[:-1])), each) + np.arange(each.sum())
-                    row, at = np.concatenate((row[~crowd], np.repeat(row[crowd], each))), np.concatenate((at[~crowd], one))
-                    m = np.concatenate((m[~crowd], units.content(one, np.full(len(one), size))))
-                    n = np.concatenate((n[~crowd], np.ones(len(one), np.int64)))
+                units = units_of(part.column("text"))
                 key, digest = part.column("key").to_numpy(), part.column("digest").to_numpy()
-                sure, sent = [], []
-                for r, a, windows, value in zip(row.tolist(), at.tolist(), n.tolist(), m.view(np.int64).tolist(), strict=True):
-                    chunk = units.pack(a, windows + size - 1)
-                    name = xxhash.xxh3_128_digest(chunk)
-                    own = (int(key[r]), a - int(units.begin[r]))
-                    had = seen.get(name)
-                    place = (own[0], int(digest[r]), own[1], windows)
-                    if had is None:
-                        seen[name] = own
-                    elif both_ways and had is True or not both_ways and own > had:
-                        sure.append(place)
-                        continue
-                    elif both_ways:  # the second of a string tells its bucket that it comes again; further ones need not
-                        seen[name] = True
-                    sent.append((value, chunk, *place))
-                if sent:
-                    yield _rows(sent)
-                if sure:
-                    yield _sure(sure)
+                for row, at, n, m, _ in runs_by_level(units, size, grams, orders, known):
+                    sent, sure = [], []
+                    for r, a, count, value in zip(row.tolist(), at.tolist(), n.tolist(), m.view(np.int64).tolist(), strict=True):
+                        chunk = units.pack(a, count + size - 1)
+                        name = xxhash.xxh3_128_digest(chunk)
+                        own = (int(key[r]), a - int(units.begin[r]))
+                        had = seen.get(name)
+                        place = (own[0], int(digest[r]), own[1], count)
+                        if had is None:
+                            seen[name] = own
+                        elif both_ways and had is True or not both_ways and own > had:
+                            sure.append(place)
+                            continue
+                        elif both_ways:  # the second of a string tells its bucket that it comes again; further ones need not
+                            seen[name] = True
+                        sent.append((value, chunk, *place))
+                    if sent:
+                        yield _rows(sent)
+                    if sure:
+                        yield _sure(sure)
 
     return run
 
@@ -194,24 +229,42 @@ class Bucket:
 Spans = tuple[np.ndarray, np.ndarray, np.ndarray]  # row of the bucket, first window, windows
 
 
-def _in_buckets(judge: Callable[[Bucket], Spans], most_bytes: int = 3 << 20):
-    names = ["key", "digest", "first", "n"]
+_SPAN = ["key", "digest", "first", "n"]
 
+
+def settle(held: list[pa.RecordBatch], both_ways: bool) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+    """(rows that decide about others, rows that are decided) of one bucket.
+
+    A string that starts earlier in the bucket, or that comes twice in it where ``both_ways`` counts, is cut whole, and
+    tells other strings nothing that the earliest one, or the first two, do not. Ties of (key, first) all stay.
+    """
+    t = pa.Table.from_batches(held).combine_chunks()
+    kind = pa.compute.dictionary_encode(t.column("chunk").combine_chunks()).indices.to_numpy()
+    key, first = t.column("key").to_numpy(), t.column("first").to_numpy()
+    order = np.lexsort((first, key, kind))
+    place = np.arange(len(order))
+    head = np.maximum.accumulate(np.where(np.append(True, kind[order][1:] != kind[order][:-1]), place, 0))
+    decided = np.zeros(len(order), bool)
+    decided[order] = place - head > 1 if both_ways else (key[order] != key[order][head]) | (first[order] != first[order][head])
+    return tuple(pa.RecordBatch.from_struct_array(t.filter(pa.array(f)).to_struct_array().combine_chunks()) for f in (~decided, decided))
+
+
+def _in_buckets(judge: Callable[[Bucket], Spans], both_ways: bool, most_bytes: int = 3 << 20):
     def judged(tables: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(tables).combine_chunks()
         get = lambda c: t.column(c).to_numpy()
-        bucket = Bucket(t.column("chunk").to_pylist(), *(get(c) for c in ("m", "key", "digest", "first", "n")))
+        bucket = Bucket(t.column("chunk").to_pylist(), *(get(c) for c in ("m", *_SPAN)))
         row, first, n = judge(bucket)
         columns = [bucket.key[row], bucket.digest[row], (bucket.first[row] + first).astype(np.int32), n.astype(np.int32)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _SPAN)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        size = 0
+        size, most = 0, 2 * most_bytes
         for batch in batches:
             sure = batch.column("sure")
             if batch.num_rows and pa.compute.any(sure).as_py():
-                yield batch.filter(sure).select(names)
+                yield batch.filter(sure).select(_SPAN)
                 batch = batch.filter(pa.compute.invert(sure))
             for part in slices([batch], "chunk", most_bytes // 4):
                 m = part.column("m").to_numpy()
@@ -221,9 +274,14 @@ def _in_buckets(judge: Callable[[Bucket], Spans], most_bytes: int = 3 << 20):
                     cut = int(np.searchsorted(m != last, True)) if m[0] == last else 0
                     if cut < len(m):
                         yield judged([*held, part.slice(0, cut)] if cut else held)
-                        held, size, part = [], 0, part.slice(cut)
+                        held, size, most, part = [], 0, 2 * most_bytes, part.slice(cut)
                 held.append(part)
                 size += part.column("chunk").nbytes
+                if size >= most:  # what one minimiser keeps grows with its different strings only
+                    kept, decided = settle(held, both_ways)
+                    yield decided.select(_SPAN)
+                    held, size = [kept], kept.column("chunk").nbytes
+                    most = max(2 * most_bytes, 2 * size)
         if held:
             yield judged(held)
 
@@ -235,18 +293,26 @@ def spans(docs: DataFrame, size: int, gram: int, units_of: Callable, judge: Call
 
     Pass 1 counts minimisers, summed per slice before the shuffle. Those that occur once cannot hold a repeated window;
     the others are set in a table of at most 2**26 bits, whatever the corpus: at sizes where it fills up, more strings
-    travel, and none is missed. Pass 2 sends packed strings to buckets. A string that comes again in its Arrow batch is
-    decided there, so a passage that a third of all documents share leaves one or two strings per batch. A minimiser with more
-    than ``CROWD`` strings is crowded: its windows travel singly, by their own hashes.
+    travel, and none is missed. Windows whose minimiser has more than ``CROWD`` different strings are counted again by a
+    minimiser over a gram twice as long, and so on, up to the whole window. Pass 2 sends packed strings to buckets. A string
+    that comes again in its Arrow batch is decided there, so a passage that a third of all documents share leaves one or two
+    strings per batch; a bucket keeps one or two of these.
     """
     texts = keyed(docs).select("key", "digest", "text")
-    tally = texts.mapInArrow(_tally(units_of, size, gram, orders), "m long, n long, chunks long")
-    many = stored(tally.groupBy("m").agg(F.sum("n").alias("n"), F.sum("chunks").alias("chunks")).where("n > 1").select("m", "chunks"), "minimisers")
-    bits = min(MOST_BITS, max(12, math.ceil(math.log2(1 + many.count())) + 4))
-    repeated, crowded = bit_set(many, "m", bits), bit_set(many.where(F.col("chunks") > CROWD), "m", min(bits, 22))
-    packed = texts.mapInArrow(_packed(units_of, size, gram, orders, repeated, crowded, both_ways), _CHUNK)
+    grams, known = levels(gram, size), []
+    for length in grams:
+        tally = texts.mapInArrow(_tally(units_of, size, grams, orders, list(known)), "m long, n long, chunks long")
+        many, path = stored_at(tally.groupBy("m").agg(F.sum("n").alias("n"), F.sum("chunks").alias("chunks")).where("n > 1").select("m", "chunks"), "minimisers")
+        crowded = many.where((F.col("chunks") > CROWD) & F.lit(length < size))
+        table = lambda rows, n, spare: bit_set(rows, "m", min(MOST_BITS, max(12, math.ceil(math.log2(1 + n)) + spare)))
+        crowd = crowded.count()
+        known.append((table(many, many.count(), 4), table(crowded, crowd, 6) if crowd else None))
+        remove(docs.sparkSession, path)
+        if not crowd:
+            break
+    packed = texts.mapInArrow(_packed(units_of, size, grams, orders, known, both_ways), _CHUNK)
     buckets = packed.repartition(partitions(docs.sparkSession), "m").sortWithinPartitions("sure", "m")
-    cut = buckets.mapInArrow(_in_buckets(judge), "key long, digest long, first int, n int")
+    cut = buckets.mapInArrow(_in_buckets(judge, both_ways), "key long, digest long, first int, n int")
     return cut.groupBy("key", "digest").agg(F.collect_set(F.struct("first", "n")).alias("spans"))
 
 
