@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from riskweave.llm.common import slices
 
 _NONE = np.int32(2**31 - 1)
-_CACHED = 300_000
+#: Pieces, and bytes of pieces and their ids, that a worker remembers; wider pieces are forgotten after their slice.
+_CACHED, _CACHED_BYTES = 300_000, 64 << 20
 _WIDEST = 256
 _CELLS = 1 << 20
 
@@ -96,6 +97,7 @@ class Encoder:
         if (self.byte < 0).any():
             raise ValueError("a byte-level vocabulary needs all 256 single bytes")
         self.cache: dict[str, bytes] = {}
+        self.cached_bytes = 0
 
     def matrix(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of pieces of like length. Each row merges its leftmost pair of the smallest id once a round."""
@@ -154,8 +156,9 @@ class Encoder:
 
     def learn(self, pieces: set[str]) -> None:
         """Put the ids of pieces that are not yet known into the cache, as little-endian 32-bit integers."""
-        if len(self.cache) > _CACHED:
+        if len(self.cache) > _CACHED or self.cached_bytes > _CACHED_BYTES:
             self.cache.clear()
+            self.cached_bytes = 0
         buckets: dict[int, list[tuple[str, bytes]]] = {}
         for piece in pieces:
             if piece in self.cache:
@@ -164,6 +167,7 @@ class Encoder:
             rank = self.ranks.get(raw)
             if rank is not None:
                 self.cache[piece] = rank.to_bytes(4, "little")
+                self.cached_bytes += len(raw) + 4
             elif len(raw) > _WIDEST:
                 self.cache[piece] = self.long_piece(raw).astype("<u4").tobytes()
             else:
@@ -174,12 +178,18 @@ class Encoder:
                 part = bucket[at : at + step]
                 for (piece, _), ids in zip(part, self.matrix([raw for _, raw in part]), strict=True):
                     self.cache[piece] = ids.astype("<u4").tobytes()
+                    self.cached_bytes += len(piece) + 4 * len(ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [(self.find if self.wide(t) else self.find_narrow)(t) for t in texts]
-        self.learn(set().union(*split))
+        pieces = set().union(*split)
+        self.learn(pieces)
         get = self.cache.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        ids = [b"".join(map(get, s)) for s in split]
+        for piece in pieces:
+            if len(piece) > _WIDEST // 4 and len(piece.encode()) > _WIDEST:
+                del self.cache[piece]
+        return ids
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
