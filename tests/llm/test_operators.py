@@ -213,7 +213,9 @@ def test_classifiers_take_any_row(spark, docs, none, module):
     same = got.where("doc_id in (302, 303)").select("score").distinct()
     assert same.count() == 1 or module is quality  # null and empty differ at most by their metadata
     assert score(none).count() == 0
-    module.train(none, labels), module.train(docs, labels.where("false"))
+    for nothing in (module.train(none, labels), module.train(docs, labels.where("false"))):
+        blank = module.score(docs, nothing) if module is quality else module.score(docs, *nothing)
+        assert blank.where("score <> 0.5 or predicted <> 0").count() == 0
     if module is quality:
         kept = quality.keep_good(docs, fitted)
         assert kept.schema == docs.schema
@@ -231,12 +233,50 @@ def test_nothing_learnt_keeps_all(spark, docs):
 
 
 def edits(a, b):
-    row = list(range(len(b) + 1))
+    """Letters put in, left out, replaced, or swapped with a neighbour."""
+    table = [list(range(len(b) + 1))]
     for i, x in enumerate(a, 1):
-        row, last = [i], row
+        table.append([i])
         for j, y in enumerate(b, 1):
-            row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y)))
-    return row[-1]
+            steps = [table[i - 1][j] + 1, table[i][j - 1] + 1, table[i - 1][j - 1] + (x != y)]
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                steps.append(table[i - 2][j - 2] + 1)
+            table[i].append(min(steps))
+    return table[-1][-1]
+
+
+def test_planted_misspellings():
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    terms = ["scum", "idiot", "moron", "pathetic", "worthless", "disgusting", "trash", "loser"]
+    finder = toxicity.Finder(dict.fromkeys(terms, 3.0), frozenset({"closer", "slum", "sum", "motor"}))
+
+    def misspell(term):
+        at = rng.randrange(1, len(term) - 1)
+        letter = rng.choice("abcdefghijklmnopqrstuvwxyz0135")
+        put_in, left_out, replaced = term[:at] + letter + term[at:], term[:at] + term[at + 1 :], term[:at] + letter + term[at + 1 :]
+        swapped = term[:at] + term[at + 1] + term[at] + term[at + 2 :]
+        marked = term[:at] + rng.choice("!*@-.$") + term[at + 1 :]
+        return rng.choice([put_in, left_out, replaced, swapped, marked, rng.choice("-.*").join(term)])
+
+    planted = [misspell(rng.choice(terms)) for _ in range(600)]
+    x = finder.features(pa.array([f"so, what a {w} indeed (it's so)".encode() for w in planted], pa.binary()))
+    assert (x[:, 0] + x[:, 1] > 0).mean() >= 0.98
+    clean = ["we are closer to the slum", "it's a well-known motor", "don't re-enter e.g. a.b.c", "see http://a.example/b-c_d.html", "sum of the parts", "", "- - -", "a"]
+    assert not finder.features(pa.array([c.encode() for c in clean], pa.binary())).any()
+    assert finder.look_up_linked(b"it's") is None and finder.look_up_linked(b"i.d.i.o.t") == ("idiot", 1)
+    hit = finder.features(pa.array([b"idiot-like", b"an id!ot", b"idoit"], pa.binary()))
+    assert hit[0, 0] > 0 and hit[0, 1] == 0 and (hit[1:, 1] > 0).all()
+
+
+def test_toxicity_learns_the_same_from_repeated_ids(spark):
+    rows = [(k, f"the w{k} {'grobian' if k % 2 else 'grobion' if k % 4 else 'garden'} of things") for k in range(120)]
+    rows += [(k, f"another text w{k} {'grobian' if k % 2 else 'garden'}") for k in range(0, 40)] + [(3, None), (5, "")]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(120)], "doc_id long, toxic int")
+    fits = [toxicity.train(spark.createDataFrame(r, "doc_id long, text string").repartition(n), labels) for r, n in ((rows, 2), (rows[::-1], 5))]
+    assert fits[0][0] == fits[1][0] and fits[0][2] == fits[1][2] and np.allclose(fits[0][1], fits[1][1])
+    assert "grobian" in fits[0][0] and "grobion" in fits[0][2]
 
 
 def test_trie_finds_what_edit_distance_finds():
@@ -288,6 +328,40 @@ def brute_bytes(rows, size):
     return out
 
 
+def test_windows_of_long_grams_last():
+    assert superwindows.levels(4, 20) == [4, 8, 16, 20] and superwindows.levels(32, 200) == [32, 64, 128, 200] and superwindows.levels(7, 7) == [7]
+
+
+@pytest.mark.parametrize("both_ways", [True, False])
+def test_one_string_everywhere_stays_small_in_its_bucket(both_ways):
+    import pyarrow as pa
+
+    most = [0]
+
+    def judge(bucket):
+        most[0] = max(most[0], sum(map(len, bucket.chunks)))
+        count, first = Counter(bucket.chunks), {}
+        for c, k, f in zip(bucket.chunks, bucket.key.tolist(), bucket.first.tolist(), strict=True):
+            first[c] = min(first.get(c, (k, f)), (k, f))
+        place = list(zip(bucket.chunks, bucket.key.tolist(), bucket.first.tolist(), strict=True))
+        row = np.array([i for i, (c, k, f) in enumerate(place) if (count[c] > 1 if both_ways else first[c] < (k, f))], np.int64)
+        return row, np.zeros(len(row), np.int64), bucket.n[row].astype(np.int64)
+
+    rng = random.Random(8)
+    rows = [(1, b"seldom", 5, 5, 0, 1, False)]
+    rows += [(2, rng.choice([b"the same words", b"others"]) if rng.random() < 0.98 else f"own {k}".encode(), rng.randint(0, 3000), k, rng.randint(0, 3), 1, False) for k in range(9000)]
+    rows += [(3, b"last", 1, 1, 0, 1, False), (4, None, 9, 9, 2, 3, True)]
+    columns = list(zip(*rows, strict=True))
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, superwindows._SCHEMA, strict=True)], schema=superwindows._SCHEMA)
+    parts = [batch.slice(i, 500) for i in range(0, batch.num_rows, 500)]
+    got = set().union(*(zip(*(c.to_pylist() for c in b.columns), strict=True) for b in superwindows._in_buckets(judge, both_ways, 1000)(iter(parts))))
+    count, first = Counter(r[:2] for r in rows), {}
+    for m, c, k, _, f, _, _ in rows:
+        first[m, c] = min(first.get((m, c), (k, f)), (k, f))
+    want = {(k, d, f, n) for m, c, k, d, f, n, sure in rows if sure or (count[m, c] > 1 if both_ways else first[m, c] < (k, f))}
+    assert got == want and most[0] < 20_000 < sum(len(r[1] or b"") for r in rows)
+
+
 @pytest.mark.parametrize("crowd", [20_000, 1])
 def test_suffix_dedup(spark, docs, none, monkeypatch, crowd):
     monkeypatch.setattr(superwindows, "CROWD", crowd)
@@ -393,6 +467,18 @@ def test_bpe_against_library(spark, docs, none):
     assert bpe.round_trip(none, path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_cache_is_bounded_in_bytes(monkeypatch):
+    encoder, encoding = bpe.Encoder(RANKS, public_tokenizers.PATTERN), tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+    rng = random.Random(2)
+    monkeypatch.setattr(bpe, "_CACHED_BYTES", 2000)
+    for n in range(1, 30):
+        texts = [" ".join("".join(rng.choice("aeioéstr") for _ in range(rng.choice([3, 9, 40 * n]))) for _ in range(12)) for _ in range(3)]
+        assert [np.frombuffer(i, "<u4").tolist() for i in encoder.encode(texts)] == [encoding.encode_ordinary(t) for t in texts]
+        assert all(len(piece.encode()) <= bpe._WIDEST for piece in encoder.cache)
+    encoder.learn({"x"})
+    assert len(encoder.cache) == 1
+
+
 def test_wide_rows_merge_like_narrow_ones(monkeypatch):
     encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
     rng = random.Random(6)
