@@ -27,6 +27,8 @@ _QUOTES = re.compile("[\"“”„«»‘’]|(?<![^\\W_])'|'(?![^\\W_])")
 #: Words that announce a quotation or a mention, fixed values.
 _REPORTS = re.compile(r"\b(?:said|says|quote[ds]?|quoting|called|calls|word|words|term|terms|wrote|writes|phrase|slur|insult|report(?:ed|s)?|sagte|wort|zitat|nannte|dit|mot|cite|dijo|palabra|cita)\b")
 N_FEATURES = 7
+#: What a misspelt hit counts for beside an exact one.
+MISSPELT = 0.7
 
 
 def allowed_edits(length: int) -> int:
@@ -197,8 +199,8 @@ class Finder:
             weight = self.lexicon[term]
             out[r, 0 if not edits else 1] += 1 - quoted
             out[r, 2] += quoted
-            out[r, 3] = max(out[r, 3], weight * (1 - quoted) * (1 if not edits else 0.7))
-            out[r, 4] += weight * (1 - quoted) * (1 if not edits else 0.7)
+            out[r, 3] = max(out[r, 3], weight * (1 - quoted) * (1 if not edits else MISSPELT))
+            out[r, 4] += weight * (1 - quoted) * (1 if not edits else MISSPELT)
             out[r, 5] = max(out[r, 5], weight * quoted)
         out[:, 6] = out[:, 4] / np.maximum(words.counts, 1) * 100
         out[:, :3] = np.log1p(out[:, :3])
@@ -207,6 +209,11 @@ class Finder:
         return out
 
 
+def evidence(x: np.ndarray) -> np.ndarray:
+    """What weights are learnt for: exact and misspelt hits as one column, as labelled rows may hold few misspellings."""
+    return np.column_stack((np.log1p(np.expm1(x[:, 0]) + MISSPELT * np.expm1(x[:, 1])), x[:, 2:]))
+
+
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, toxic texts, other texts, hashes of the words before it in toxic texts), summed within a batch."""
     for batch in slices(batches, limit=1 << 20):
@@ -245,8 +252,8 @@ def learn_lexicon(sums: DataFrame, most: int = TERMS, least: int = 4, most_clean
     return {r.word: math.log((r.places + 0.5) / (r.other + 0.5)) for r in best if r.places > r.other}
 
 
-def learn_harmless(sums: DataFrame, lexicon: dict[str, float], most: int = HARMLESS, least: int = 2) -> frozenset[str]:
-    """Words from ``word_counts`` that look like a term but stand in ``least`` clean texts and in no more toxic ones.
+def learn_harmless(sums: DataFrame, lexicon: dict[str, float], most: int = HARMLESS, least: int = 1) -> frozenset[str]:
+    """Words from ``word_counts`` that look like a term but stand in ``least`` clean texts or more, and in no more toxic ones.
 
     Of more than ``most``, those in most clean texts are taken, ties by word; that bounds what reaches the driver.
     """
@@ -304,9 +311,9 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int
     for done in (path, sums_path):
         remove(docs.sparkSession, done)
     if got is None:
-        return lexicon, np.zeros(N_FEATURES + 1), harmless
+        return lexicon, np.zeros(N_FEATURES), harmless
     x, y = got[[f"x{k}" for k in range(N_FEATURES)]].to_numpy(float), got["label"].to_numpy(float)
-    return lexicon, _fit(x, (y > 0).astype(float)), harmless
+    return lexicon, _fit(evidence(x), (y > 0).astype(float)), harmless
 
 
 def score(docs: DataFrame, lexicon: dict[str, float], weights: np.ndarray, harmless: frozenset[str] = frozenset(), cut: float = CUT, folds: int = FOLDS, held_out: int = HELD_OUT) -> DataFrame:
@@ -318,7 +325,7 @@ def score(docs: DataFrame, lexicon: dict[str, float], weights: np.ndarray, harml
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(lexicon, harmless)
         for batch in slices(batches):
-            margin = finder.features(batch.column("text")) @ weights[:-1] + weights[-1]
+            margin = evidence(finder.features(batch.column("text"))) @ weights[:-1] + weights[-1]
             scores = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
