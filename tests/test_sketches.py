@@ -79,3 +79,19 @@ def test_medians_and_empty_columns(spark, frame, rows):
 
 def test_size_and_error_belong_together():
     assert sketches.size_for(sketches.rank_error(4096)) in (4096, 4097) and sketches.size_for(1e-9) == 65_535
+
+
+def test_ranks_are_checked_without_sending_all_values_to_every_task(spark):
+    """What is broadcast are the few quantiles, not the values, which are as many as the rows."""
+    from riskweave.plans import catalog
+
+    rows = spark.range(4000).select(*[(F.col("id") * k).cast("double").alias(c) for k, c in enumerate(catalog.LINE_FEATURES, 1)])
+    found = spark.createDataFrame([(c, 4000, 0.5, 2000.0 * k) for k, c in enumerate(catalog.LINE_FEATURES, 1)], "feature string, n long, probability double, value double")
+    checked = catalog._off_rank(rows, found, [])
+    assert checked.count() == 3 and all(r["off"] <= 0.001 for r in checked.collect())
+    plan = checked._jdf.queryExecution().sparkPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-|"))
+    joins = [i for i, line in enumerate(plan) if "BroadcastHashJoin" in line]
+    assert len(joins) == 1 and "BuildRight" in plan[joins[0]]
+    sides = [i for i in range(joins[0] + 1, len(plan)) if depth(plan[i]) == depth(plan[joins[0] + 1])]
+    assert len(sides) == 2 and not any("Aggregate" in line for line in plan[sides[1] :])
