@@ -13,6 +13,8 @@ from riskweave.functions import fixed
 from riskweave.functions import scalars as sc
 from riskweave.functions import text as tx
 
+#: Bytes of a tile, and the arrays as large as its similarities that live at once: themselves, their partition and masks.
+_TILE_BYTES, _COPIES = 64 << 20, 3
 _DIGITS = 9  # similarities equal to this many digits are ties, ordered by passage id
 
 
@@ -31,7 +33,8 @@ def block_best(
     queries: pd.DataFrame, units: np.ndarray, ids: np.ndarray, passages: np.ndarray, k: int, skip_same: bool
 ) -> pd.DataFrame:
     """Top k of one block of queries against one block of passages; ties by passage id."""
-    sims = np.round(units @ passages.T, _DIGITS)
+    sims = units @ passages.T
+    np.round(sims, _DIGITS, out=sims)
     own = queries["query_id"].to_numpy()
     if skip_same:
         sims[own[:, None] == ids[None, :]] = -np.inf
@@ -51,13 +54,21 @@ def block_best(
     return found.groupby("row", sort=False).head(keep).drop(columns="row")
 
 
+def blocks_best(q: pd.DataFrame, c: pd.DataFrame, k: int, skip_same: bool, tile_bytes: int = _TILE_BYTES) -> pd.DataFrame:
+    """``block_best`` of two blocks, in tiles of queries whose arrays take ``tile_bytes`` together."""
+    ids, passages = c["passage_id"].to_numpy(), unit_rows(c["embedding"])
+    step = max(1, tile_bytes // (_COPIES * 8 * len(ids)))
+    tiles = [q.iloc[start : start + step] for start in range(0, len(q), step)]
+    return pd.concat([block_best(t, unit_rows(t["embedding"]), ids, passages, k, skip_same) for t in tiles])
+
+
 def cosine_topk(
     queries: DataFrame,
     corpus: DataFrame,
     k: int = 2,
     skip_same_id: bool = False,
     block_rows: int = 20_000,
-    tile_bytes: int = 64 << 20,
+    tile_bytes: int = _TILE_BYTES,
 ) -> DataFrame:
     """Best k passages per query: (query_id, passage_id, similarity, rank).
 
@@ -89,10 +100,7 @@ def cosine_topk(
     def multiply(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({f.name: [] for f in out})
-        ids, passages = c["passage_id"].to_numpy(), unit_rows(c["embedding"])
-        step = max(1, tile_bytes // (8 * len(ids)))
-        tiles = [q.iloc[start : start + step] for start in range(0, len(q), step)]
-        return pd.concat([block_best(t, unit_rows(t["embedding"]), ids, passages, k, skip_same_id) for t in tiles])
+        return blocks_best(q, c, k, skip_same_id, tile_bytes)
 
     partial = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(multiply, out)
     order = Window.partitionBy("query_id", "query_no").orderBy(F.desc("similarity"), F.asc("passage_id"))
