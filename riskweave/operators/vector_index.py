@@ -16,14 +16,16 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from riskweave.operators.retrieval import block_best, cosine_topk, unit_rows
+from riskweave.operators.retrieval import blocks_best, cosine_topk
 from riskweave.sources.local import small_frame
 
 #: Most cells of an index and rows its centroids are fitted on; both bound what is sent to tasks, whatever the corpus.
 MOST_CELLS, SAMPLE_ROWS = 4096, 100_000
+#: Bytes of what a task computes at a time when it looks for the cells of its rows.
+_SLICE_BYTES = 32 << 20
 
 
 class VectorIndex(NamedTuple):
@@ -63,22 +65,26 @@ def fit_centroids(vectors: DataFrame, cells: int | None = None, sample_rows: int
 
 
 def _with_cells(rows: DataFrame, centroids: np.ndarray, probes: int) -> DataFrame:
-    """``rows`` once for each of their ``probes`` nearest cells, with ``probe`` counting from zero; equally near cells by number."""
+    """``rows`` once for each of their ``probes`` nearest cells, with ``probe`` counting from zero; equally near cells by number.
+
+    Python names the cells only, in slices of bounded bytes; rows are copied as they stream on, however many probes there are.
+    """
     cells, size = centroids.shape
     probes = min(probes, cells)
-    added = [StructField("cell", IntegerType()), StructField("probe", IntegerType())]
+    added = StructField("_near", ArrayType(IntegerType()))
+    step = max(1, min(4096, _SLICE_BYTES // (8 * (3 * cells + 2 * size))))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
-                sims = _matrix(part.column("embedding"), size) @ centroids.T
-                near = np.argsort(-sims, axis=1, kind="stable")[:, :probes].astype(np.int32)
-                row, order = np.divmod(np.arange(near.size), probes)
-                columns = [c.take(pa.array(row)) for c in part.columns]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(near.ravel()), pa.array(order.astype(np.int32))], [*part.schema.names, "cell", "probe"])
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                sims = -(_matrix(part.column("embedding"), size) @ centroids.T)
+                near = np.argsort(sims, axis=1, kind="stable")[:, :probes].astype(np.int32)
+                lists = pa.ListArray.from_arrays((np.arange(len(near) + 1) * probes).astype(np.int32), near.ravel())
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "_near"])
 
-    return rows.mapInArrow(place, StructType([*rows.schema.fields, *added]))
+    listed = rows.mapInArrow(place, StructType([*rows.schema.fields, added]))
+    return listed.select(*rows.columns, F.posexplode("_near").alias("probe", "cell")).select(*rows.columns, "cell", "probe")
 
 
 def add_vectors(index: VectorIndex, vectors: DataFrame) -> None:
@@ -171,10 +177,7 @@ def ann_topk(queries: DataFrame, index: VectorIndex, k: int = 10, probes: int =
     def rank(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({f.name: [] for f in out})
-        ids, passages = c["passage_id"].to_numpy(), unit_rows(c["embedding"])
-        step = max(1, (64 << 20) // (8 * len(ids)))
-        tiles = [q.iloc[start : start + step] for start in range(0, len(q), step)]
-        return pd.concat([block_best(t, unit_rows(t["embedding"]), ids, passages, k, skip_same_id) for t in tiles])
+        return blocks_best(q, c, k, skip_same_id)
 
     key = ["cell", "qb", "cb"]
     partial = left.groupBy(*key).cogroup(right.select(*key, "passage_id", "embedding").groupBy(*key)).applyInPandas(rank, out)

@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +106,26 @@ def test_search_has_no_cross_join_and_prunes_cells(spark, both, index):
     plan = vector_index.ann_topk(both[0], index, 5, 2)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "FlatMapCoGroupsInPandas" in plan or "FlatMapCoGroupsInArrow" in plan
+
+
+def test_rows_are_not_copied_in_python(spark, both, index, monkeypatch):
+    """Python names the cells of a row, and slices do not change them; what is copied for each cell is copied by Spark."""
+    rows = both[0].select("query_id", "embedding")
+    placed = vector_index._with_cells(rows, index.centroids, 3)
+    whole = sorted((r["query_id"], r["probe"], r["cell"]) for r in placed.select("query_id", "probe", "cell").collect())
+    assert "Generate" in placed._jdf.queryExecution().optimizedPlan().toString()
+    assert len(whole) == 3 * rows.count() and {p for _, p, _ in whole} == {0, 1, 2}
+    monkeypatch.setattr(vector_index, "_SLICE_BYTES", 1)
+    few = vector_index._with_cells(rows, index.centroids, 3).select("query_id", "probe", "cell")
+    assert sorted((r["query_id"], r["probe"], r["cell"]) for r in few.collect()) == whole
+
+
+def test_a_tile_and_its_copies_stay_within_their_bytes():
+    rng = np.random.default_rng(0)
+    block = lambda key, n: pd.DataFrame({key: np.arange(n), "query_no": np.arange(n), "embedding": list(rng.normal(size=(n, 8)))})
+    asked, held = block("query_id", 1500), block("passage_id", 20_000)
+    tracemalloc.start()
+    found = retrieval.blocks_best(asked, held, 3, False, 32 << 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 3 * 1500 and peak < 1.3 * (32 << 20)
