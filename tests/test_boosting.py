@@ -176,3 +176,49 @@ def test_constant_absent_and_one_class(spark):
     empty = boosting.fit(frame(spark, []), FEATURES, "y", PARAMS)
     assert empty.trees == () and empty.margins(matrix(rows)).tolist() == [0.0] * 20
     assert boosting.score(empty, frame(spark, rows)).where("score <> 0.5").count() == 0
+
+
+def test_cells_pay_what_paths_pay(monkeypatch):
+    """Rows on, between and beyond the cuts, missing and infinite ones, by cells of several sizes and by the paths themselves."""
+    from riskweave.operators import attribution as at
+
+    rng = np.random.default_rng(5)
+
+    def grown(depth):
+        nodes = []
+
+        def grow(level):
+            at_node = len(nodes)
+            nodes.append(None)
+            cover = float(rng.integers(1, 50))
+            if level == depth:
+                nodes[at_node] = (-1, 0.0, -1, -1, cover, rng.normal(), False)
+                return at_node
+            f, cut, side = int(rng.integers(0, 5)), float(rng.integers(-2, 3)), bool(rng.integers(0, 2))
+            left, right = grow(level + 1), grow(level + 1)
+            nodes[at_node] = (f, cut, left, right, nodes[left][4] + nodes[right][4], 0.0, side)
+            return at_node
+
+        grow(0)
+        return at.TreeNodes(*[np.array(c) for c in zip(*nodes, strict=True)])
+
+    groups = [g for tree in (grown(4), grown(3), grown(5)) for g in at.leaf_paths(tree)[0]]
+    x = rng.choice([-np.inf, -2.0, -1.5, -1.0, 0.0, 0.5, 1.0, 2.0, 7.0, np.inf, np.nan], size=(700, 5))
+    want = np.zeros_like(x)
+    for g in groups:
+        at._add_paths(x, g, want)
+    for most in (8, 100, 4096):
+        packs, wide = at.packed_leaves(groups, most)
+        assert sorted([leaf for _, leaves in packs for leaf in leaves] + wide) == sorted((g, i) for g, p in enumerate(groups) for i in range(len(p.value)))
+        got = np.zeros_like(x)
+        for cuts, leaves in packs:
+            cells = at._one_per_cell(cuts, 5)
+            assert len(cells) <= most
+            table = at.CellTable(cuts, np.zeros_like(cells))
+            for g, leaf in leaves:
+                at._add_paths(cells, at._leaf(groups, g, leaf), table.paid)
+            at._add_cells(x, [table], got)
+        for g, leaf in wide:
+            at._add_paths(x, at._leaf(groups, g, leaf), got)
+        np.testing.assert_allclose(got, want, atol=1e-12)
+    assert len(at.packed_leaves(groups)[0]) < 12 and not at.packed_leaves(groups)[1]
