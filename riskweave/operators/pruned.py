@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from riskweave.functions import fixed
 from riskweave.operators.grounding import store_weights, term_rows
+from riskweave.sources.shared import fresh_path
 
 #: Levels to a halving of the weight; all weights under the last level share it. Weights are at most one.
 _PER_HALVING, _LAST_LEVEL = 2, 60
@@ -109,8 +110,7 @@ def query_terms(queries: DataFrame, row_id: str, text: str, index: PrunedIndex,
 def read_postings(terms: DataFrame, row_id: str, index: PrunedIndex) -> DataFrame:
     """(id, term, x, cut, floor, passage_id, weight): the postings that a search reads, from levels above the cutoffs."""
     wanted = terms.where(F.col("cut") < F.col("most"))
-    levels = F.sequence(F.lit(0), _cut_level(F.col("cut")))
-    wanted = wanted.withColumn("_l", F.explode(F.filter(levels, lambda v: v >= _level(F.col("most")))))
+    wanted = wanted.withColumn("_l", F.explode(F.sequence(_level(F.col("most")), _cut_level(F.col("cut")))))  # a lower cut has no lower level
     blocks = index.table("blocks").withColumnsRenamed({"term": "_term", "most": "_top"})
     met = wanted.join(blocks, (F.col("term") == F.col("_term")) & (F.col("_l") == F.col("level")) & (F.col("_top") > F.col("cut")))
     rows = met.select(row_id, "term", "x", "cut", "floor", F.explode("postings").alias("_p"))
@@ -134,9 +134,11 @@ def similarities(queries: DataFrame, row_id: str, text: str, index: PrunedIndex,
     """(id, passage_id, dot, norm) of all passages that can be among the best k of a query, and maybe some more.
 
     Only terms with a cutoff are looked up in a passage, as the others were read in full. A query without a known term
-    has no row. ``dot`` over ``norm`` is the cosine.
+    has no row. ``dot`` over ``norm`` is the cosine. The terms of the queries are stored once, as three steps read them.
     """
-    terms = query_terms(queries, row_id, text, index, k, pattern)
+    path = fresh_path(index.spark, "query_terms")
+    query_terms(queries, row_id, text, index, k, pattern).write.parquet(path)
+    terms = index.spark.read.parquet(path)
     pairs = candidates(terms, read_postings(terms, row_id, index), row_id)
     open_terms = F.collect_list(F.when(F.col("cut") > 0, F.struct("term", "x"))).alias("_q")
     vectors = terms.groupBy(row_id).agg(open_terms, F.first("norm").alias("norm"))

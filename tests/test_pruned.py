@@ -90,3 +90,12 @@ def test_plan_reads_blocks_by_term_and_level(spark, both):
     _, queries, index = both
     plan = pruned.top_passages(queries, "qid", "text", index)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "Python" not in plan
+
+
+def test_query_terms_are_worked_out_once(spark, both, monkeypatch):
+    _, queries, index = both
+    seen, read = [], pruned.read_postings
+    monkeypatch.setattr(pruned, "read_postings", lambda terms, *rest: seen.append(terms) or read(terms, *rest))
+    assert pruned.top_passages(queries, "qid", "text", index, 2).count() > 0
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
