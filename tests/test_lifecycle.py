@@ -69,3 +69,17 @@ def test_tables_in_a_schema_of_a_catalog(spark):
 def test_a_schema_as_root_needs_a_folder_for_files(spark):
     with pytest.raises(ValueError, match="folder"):
         Lifecycle(spark, "spark_catalog.none", "run-1", "2026-01-01").folder("models")
+
+
+def test_equal_sentences_are_looked_up_once(spark, monkeypatch):
+    from riskweave.plans import lifecycle
+
+    steps = Lifecycle(spark, fresh_path(spark, "lifecycle"), "run-1", "2026-01-01", SMALL)
+    said = [(k, ("high income loan", "short loan", None)[k % 3], 0.4) for k in range(30)]
+    steps.append(spark.createDataFrame(said, "applicant_id long, explanation_summary string, total_risk_score double"), "explanations")
+    asked, score = [], lifecycle.grounding.grounding_scores
+    monkeypatch.setattr(lifecycle.grounding, "grounding_scores", lambda q, *rest, **more: asked.append(q.count()) or score(q, *rest, **more))
+    policy = spark.createDataFrame([(1, "income of a loan"), (2, "short terms")], "paragraph_id long, text string")
+    steps.ground(policy)
+    costs = steps.read("hallucination_cost")
+    assert asked == [3] and costs.count() == costs.select("applicant_id").distinct().count() == 30
