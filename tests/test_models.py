@@ -168,3 +168,14 @@ def test_synthetic_labels_follow_probability(spark):
     out = split.synthetic_labels(df, "id")
     assert out.first()["label_probability"] == pytest.approx(0.4)
     assert out.agg(F.avg("target")).first()[0] == pytest.approx(0.4, abs=0.03)
+
+
+def test_a_split_hashes_its_rows_before_the_passes(spark, monkeypatch):
+    from riskweave.operators import split
+
+    seen, quantiles = [], split.exact_quantiles
+    monkeypatch.setattr(split, "exact_quantiles", lambda df, *rest, **more: seen.append(df) or quantiles(df, *rest, **more))
+    rows = spark.range(1000).select(F.col("id"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    parts = split.stratified_split(rows, "id", "y", 0.2)
+    assert parts.columns == ["id", "y", "is_test"] and parts.where("is_test").groupBy("y").count().orderBy("y").collect() == [(0, 134), (1, 67)]
+    assert "Range" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
