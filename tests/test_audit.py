@@ -57,3 +57,15 @@ def test_slider_grid_and_snap(spark):
     assert grid.count() == 63 * 29 * 67
     values = spark.createDataFrame([(5.0,), (14999.0,), (999999.0,)], "v double").select(audit.snap(F.col("v"), fixed.SLIDER_INCOME))
     assert [r[0] for r in values.collect()] == [10000, 10000, 150000]
+
+
+def test_positions_and_audit_read_what_they_need(spark, monkeypatch):
+    from riskweave.plans import catalog
+
+    seen, kept, place, store = [], {}, catalog.ranking.with_ordinal, catalog.fx.stored
+    monkeypatch.setattr(catalog.ranking, "with_ordinal", lambda df, *rest: seen.append(df) or place(df, *rest))
+    monkeypatch.setattr(catalog.fx, "stored", lambda df, name: kept.setdefault(name, df.columns) and store(df, name))
+    assert catalog.applicant_ordinal(spark, "/root/testdata/sf0.001").count() > 0
+    assert "md5" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert catalog._assembled_audit(spark, "/root/testdata/sf0.001").count() > 0
+    assert kept["explanations"] == ["applicant_id", "explanation_summary"] and kept["costs"] == ["applicant_id", "impact_band", "review_flag"]
