@@ -1,5 +1,7 @@
+import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +101,39 @@ def test_query_terms_are_worked_out_once(spark, both, monkeypatch):
     assert pruned.top_passages(queries, "qid", "text", index, 2).count() > 0
     plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Window" not in plan
+
+
+def test_the_index_is_small_beside_its_postings(spark, both):
+    """A posting holds neither its term, nor the name of its passage, nor its weight."""
+    _, _, index = both
+    stored = sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(index.path) for f in files if f.endswith(".parquet"))
+    assert stored < 16 * index.table("weights").count()
+
+
+def test_few_passages_are_scored(spark, both):
+    """Passages scored in full give a floor that few others reach."""
+    _, queries, index = both
+    terms = pruned.query_terms(queries.where("qid < 60"), "qid", "text", index, 2)
+    assert pruned.candidates(terms, pruned.read_postings(terms, "qid", index), "qid").count() <= 60 * 20
+
+
+def test_many_segments_and_repeated_ids(spark, monkeypatch):
+    """Segments are cut after few words; rows with one id are passages of their own, of which the best counts."""
+    texts = corpus(300, words=100)
+    held, queries = frame(spark, texts, "pid"), frame(spark, asked(texts, 20), "qid")
+    full = grounding.write_index(held, "pid", "text", fresh_path(spark, "index"))
+    monkeypatch.setattr(pruned, "_WORDS", 400)
+    monkeypatch.setattr(pruned, "_LOW_BITS", 3)
+    index = pruned.write_index(held, "pid", "text", fresh_path(spark, "pruned"))
+    assert index.table("passages").select(F.shiftright("number", pruned._PLACE_BITS)).distinct().count() > 6
+    assert rows(pruned.top_passages(queries, "qid", "text", index)) == rows(grounding.top_passages(queries, "qid", "text", full))
+    twice = pruned.write_index(frame(spark, {1: "income loan", 2: "rate"}, "pid").unionByName(frame(spark, {1: "income"}, "pid")), "pid", "text", fresh_path(spark, "twice"))
+    best = rows(pruned.top_passages(frame(spark, {5: "income"}, "qid"), "qid", "text", twice, 1))
+    assert best == {(5, 1): (1, 1.0)} and twice.passages == 3
+
+
+def test_segments_are_bounded():
+    lists = [["a"] * n for n in (3, 3, 9, 1, 0, 0, 2, 2)]
+    batches = [pa.record_batch([pa.array(lists[i : i + 3], pa.list_(pa.string()))], ["words"]) for i in (0, 3, 6)]
+    cut = [[len(x) for b in held for x in b.column("words").to_pylist()] for held in pruned._segments(iter(batches), 3, 6)]
+    assert cut == [[3, 3], [9], [1, 0, 0], [2, 2]]
