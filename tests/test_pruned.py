@@ -123,7 +123,6 @@ def test_many_segments_and_repeated_ids(spark, monkeypatch):
     held, queries = frame(spark, texts, "pid"), frame(spark, asked(texts, 20), "qid")
     full = grounding.write_index(held, "pid", "text", fresh_path(spark, "index"))
     monkeypatch.setattr(pruned, "_WORDS", 400)
-    monkeypatch.setattr(pruned, "_LOW_BITS", 3)
     index = pruned.write_index(held, "pid", "text", fresh_path(spark, "pruned"))
     assert index.table("passages").select(F.shiftright("number", pruned._PLACE_BITS)).distinct().count() > 6
     assert rows(pruned.top_passages(queries, "qid", "text", index)) == rows(grounding.top_passages(queries, "qid", "text", full))
