@@ -9,6 +9,10 @@ A query first sums the heaviest postings of its terms and scores the passages th
 similarity from below. Its commonest terms, as far as they cannot make up that bound by themselves, are not read: what they add
 is at most the sum of their largest weights, and at most the length of their part of the query, as passages have length one.
 Only passages that still can reach the bound get the unread terms from their own counts.
+
+An index of few passages goes to the queries instead, as a small table does in a join: each task holds it in arrays, and no term
+and no posting of a query is shuffled. Heads, bound and unread terms are the same there; of a common term what is left unread is
+its list after the head.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructType
 from pyspark.sql.window import Window
 
 from riskweave.functions import fixed
@@ -46,6 +50,8 @@ _GROUPS = 64
 _STEPS = 32
 #: Passages scored in full for the bound, for each of the k; share of the bound that unread terms may make up.
 _TRIALS, _UNREAD = 8, 0.8
+#: Passages and postings up to which an index goes to the queries; numbers of a tile of their sums by passage, or of what is read at a time.
+_FEW, _FEW_POSTINGS, _TILE = 2 * _BLOCK, 1 << 20, 1 << 20
 #: Numbers of terms in a corpus are many: larger dictionaries and zstd keep the stored tables small.
 _FORMAT = {"compression": "zstd", "parquet.dictionary.page.size": str(4 << 20)}
 
@@ -348,11 +354,147 @@ def similarities(queries: DataFrame, row_id: str, text: str, index: PrunedIndex,
     return full.select(row_id, "passage_id", (F.col("read") / F.col("length") + F.col("found")).alias("dot"), "norm")
 
 
-def top_passages(queries: DataFrame, row_id: str, text: str, index: PrunedIndex, k: int = 2, pattern: str = fixed.TOKEN_PATTERN) -> DataFrame:
-    """Best k passages per query by cosine: (id, passage_id, similarity, rank), as ``grounding.top_passages``.
-
-    Passages without a common term have similarity 0 and complete the k in the order of their ids.
-    """
+class _Few(NamedTuple):
+    """A small index in arrays: passages in the order of their ids, and the postings of each term, heaviest first."""
+
+    ids: pa.Array
+    terms: pa.Array
+    idf: np.ndarray
+    starts: np.ndarray
+    places: np.ndarray
+    weights: np.ndarray
+    held: np.ndarray  # place and term of each posting as one number, sorted
+    held_at: np.ndarray  # and where it is in the lists
+
+    def sums(self, rows: int, row: np.ndarray, term: np.ndarray, x: np.ndarray, first: int, last: int | None) -> np.ndarray:
+        """What the postings ``first`` to ``last`` of the terms add, by row and passage."""
+        sizes = np.diff(self.starts)[term]
+        n = np.maximum((sizes if last is None else np.minimum(sizes, last)) - first, 0)
+        at = np.repeat(self.starts[term] + first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        cells = np.repeat(row, n) * len(self.ids) + self.places[at]
+        return np.bincount(cells, np.repeat(x, n) * self.weights[at], minlength=rows * len(self.ids)).reshape(rows, -1)
+
+    def looked_up(self, row: np.ndarray, place: np.ndarray, n: np.ndarray, term: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """What the tails of the terms of its row, ``n`` a row, add to each passage (row, place)."""
+        start, times = (np.cumsum(n) - n)[row], n[row]
+        of = np.repeat(start - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        wanted = np.repeat(place, times) * len(self.idf) + term[of]
+        near = np.minimum(np.searchsorted(self.held, wanted), len(self.held) - 1)
+        at = self.held_at[near]
+        tail = (self.held[near] == wanted) & (at - self.starts[term[of]] >= _HEAD)
+        return np.bincount(np.repeat(np.arange(len(row)), times), np.where(tail, x[of] * self.weights[at], 0.0), minlength=len(row))
+
+    def dots(self, rows: int, row: np.ndarray, term: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+        """Dot products by row and passage, 0 where a passage cannot be among the best k; terms come by row."""
+        known = self.sums(rows, row, term, x, 0, _HEAD)
+        places = len(self.ids)
+        floor = np.maximum(np.partition(known, places - k, axis=1)[:, places - k] - _SLACK, 0.0) if places >= k else np.zeros(rows)
+        tails = np.diff(self.starts)[term] - _HEAD
+        row, term, x, tails = (v[tails > 0] for v in (row, term, x, tails))
+        order = np.lexsort((term, -tails, row))
+        row, term, x, tails = (v[order] for v in (row, term, x, tails))
+        begin = np.searchsorted(row, np.arange(rows))[row]  # commonest terms of a row first
+        upto = lambda v: (c := np.concatenate([[0.0], np.cumsum(v)]))[1:] - c[begin]
+        rest = np.minimum(upto(x * self.weights[np.minimum(self.starts[term] + _HEAD, len(self.weights) - 1)]), np.sqrt(np.maximum(upto(x * x), 0.0))) + _SLACK
+        over = np.flatnonzero(rest > floor[row] * _UNREAD)
+        stop = np.full(rows, len(row))
+        np.minimum.at(stop, row[over], over)
+        cut = np.arange(len(row)) < stop[row]
+        unread = np.zeros(rows)
+        np.maximum.at(unread, row[cut], rest[cut])
+        known += self.sums(rows, row[~cut], term[~cut], x[~cut], _HEAD, None)
+        can = known + unread[:, None] + _SLACK >= floor[:, None]
+        row, term, x, tails = (v[cut] for v in (row, term, x, tails))
+        n = np.bincount(row, minlength=rows)
+        dear = (np.count_nonzero(can, axis=1) * n > np.bincount(row, tails, minlength=rows))[row]  # reading on costs less
+        known += self.sums(rows, row[dear], term[dear], x[dear], _HEAD, None)
+        row, term, x = (v[~dear] for v in (row, term, x))
+        n = np.bincount(row, minlength=rows)
+        cells = np.nonzero(can & (n > 0)[:, None])
+        known[cells] += self.looked_up(*cells, n, term, x)
+        return np.where(can, known, 0.0)
+
+    def tiles(self, row: np.ndarray, term: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
+        """Rows from and to, so that sums by passage and postings of a tile are bounded."""
+        read = np.concatenate([[0], np.cumsum(np.bincount(row, np.diff(self.starts)[term], minlength=rows))])
+        start = 0
+        while start < rows:
+            stop = int(np.searchsorted(read, read[start] + _TILE, "right")) - 1
+            stop = min(max(stop, start + 1), start + max(1, _TILE // len(self.ids)), rows)
+            yield start, stop
+            start = stop
+
+    def best(self, words: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and similarities of the best k passages of each list of words; equal ones in the order of their ids."""
+        rows, k = len(words), min(k, len(self.ids))
+        flat, width = pc.list_flatten(words), max(len(self.idf), 1)
+        no = pc.fill_null(pc.index_in(flat, value_set=self.terms.cast(flat.type)), -1).to_numpy()
+        pairs = pc.list_parent_indices(words).to_numpy().astype(np.int64) * width + no
+        pairs, tf = np.unique(pairs[no >= 0], return_counts=True)
+        row, term = pairs // width, pairs % width
+        x = tf * self.idf[term]
+        norm = np.sqrt(np.bincount(row, x * x, minlength=rows))
+        place, dot = np.zeros((rows, k), np.int64), np.zeros((rows, k))
+        for start, stop in self.tiles(row, term, rows):
+            own = slice(*np.searchsorted(row, [start, stop]))
+            found = self.dots(stop - start, row[own] - start, term[own], x[own], k)
+            shown = np.round(found, 9)
+            each = np.arange(stop - start)
+            for i in range(k):
+                at = shown.argmax(axis=1)
+                place[start:stop, i], dot[start:stop, i] = at, found[each, at]
+                shown[each, at] = -1.0
+        return place, np.divide(dot, norm[:, None], out=np.zeros_like(dot), where=norm[:, None] > 0)
+
+
+def _few(index: PrunedIndex) -> _Few | None:
+    """The index in arrays, if it has few passages, each with an id of its own."""
+    if not 0 < index.passages <= _FEW or (index.table("terms").agg(F.sum("df")).first()[0] or 0) > _FEW_POSTINGS:
+        return None
+    passages = index.table("passages").select("number", "passage_id").orderBy("passage_id").toArrow().combine_chunks()
+    ids = passages["passage_id"].combine_chunks()
+    if pc.count_distinct(ids, mode="all").as_py() < len(ids):
+        return None
+    terms, postings = index.table("terms").select("term", "idf").toArrow(), index.table("weights").select("term", "number", "weight").toArrow()
+    names = terms["term"].combine_chunks()
+    no = pc.index_in(postings["term"], value_set=names).to_numpy().astype(np.int64)
+    place = pc.index_in(postings["number"], value_set=passages["number"].combine_chunks()).to_numpy().astype(np.int64)
+    weight = postings["weight"].to_numpy()
+    order = np.lexsort((place, -weight, no))
+    no, place, weight = no[order], place[order], weight[order]
+    held = place * len(names) + no
+    held_at = np.argsort(held)
+    starts = np.concatenate([[0], np.cumsum(np.bincount(no, minlength=len(names)))])
+    return _Few(ids, names, terms["idf"].to_numpy(), starts, place, weight, held[held_at], held_at)
+
+
+def _top_of_few(few: _Few, queries: DataFrame, row_id: str, text: str, index: PrunedIndex, k: int, pattern: str) -> DataFrame:
+    """``top_passages`` where the queries are; ids that come twice or are null take the join, where their rows meet."""
+    path = fresh_path(index.spark, "query_best")
+    schema = StructType([queries.schema[row_id]])
+    schema = schema.add("ids", ArrayType(index.table("passages").schema["passage_id"].dataType)).add("similarities", ArrayType(DoubleType()))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place, similarity = few.best(batch.column("_words"), k)
+            ends = pa.array(np.arange(len(place) + 1) * place.shape[1], pa.int32())
+            ids = pa.ListArray.from_arrays(ends, few.ids.take(pa.array(place.ravel())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.ListArray.from_arrays(ends, pa.array(similarity.ravel()))], schema.names)
+
+    found = _kept(queries.select(row_id, tx.tokens(F.col(text), pattern).alias("_words")).mapInArrow(find, schema), f"{path}/found")
+    counts = found.groupBy(F.col(row_id).alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > 1) | F.col("_id").isNull())
+    shared = _kept(counts.select("_id"), f"{path}/shared")
+    each = lambda df: df.select(row_id, F.posexplode(F.arrays_zip("ids", "similarities")).alias("_r", "_p"))
+    named = lambda df: each(df).select(row_id, F.col("_p.ids").alias("passage_id"), F.col("_p.similarities").alias("similarity"), (F.col("_r") + 1).alias("rank"))
+    if shared.isEmpty():
+        return named(found)
+    is_shared = F.col(row_id).eqNullSafe(F.col("_id"))
+    met = _top_of_join(queries.join(shared, is_shared, "left_semi"), row_id, text, index, k, pattern)
+    return named(found.join(shared, is_shared, "left_anti")).unionByName(met)
+
+
+def _top_of_join(queries: DataFrame, row_id: str, text: str, index: PrunedIndex, k: int, pattern: str) -> DataFrame:
+    """``top_passages`` by joins of terms and postings, for any number of passages."""
     found = similarities(queries, row_id, text, index, k, pattern).withColumn("similarity", F.coalesce(F.try_divide("dot", "norm"), F.lit(0.0)))
     first = index.table("passages").select("passage_id").orderBy("passage_id").limit(2 * k).collect()
     listed = F.array(*[F.lit(r["passage_id"]) for r in first]).cast(f"array<{index.table('passages').schema['passage_id'].dataType.simpleString()}>")
@@ -363,6 +505,15 @@ def top_passages(queries: DataFrame, row_id: str, text: str, index: PrunedIndex,
     return one.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(row_id, "passage_id", "similarity", "rank")
 
 
+def top_passages(queries: DataFrame, row_id: str, text: str, index: PrunedIndex, k: int = 2, pattern: str = fixed.TOKEN_PATTERN) -> DataFrame:
+    """Best k passages per query by cosine: (id, passage_id, similarity, rank), as ``grounding.top_passages``.
+
+    Passages without a common term have similarity 0 and complete the k in the order of their ids.
+    """
+    few = _few(index)
+    return _top_of_join(queries, row_id, text, index, k, pattern) if few is None else _top_of_few(few, queries, row_id, text, index, k, pattern)
+
+
 def grounding_scores(queries: DataFrame, row_id: str, text: str, index: PrunedIndex, k: int = 2, pattern: str = fixed.TOKEN_PATTERN) -> DataFrame:
     """(id, grounding): mean of the best k similarities over as many passages as there are, as ``grounding.grounding_scores``."""
     best = top_passages(queries, row_id, text, index, k, pattern).groupBy(row_id).agg(F.sum("similarity").alias("_s"))
