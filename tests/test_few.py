@@ -91,3 +91,17 @@ def test_no_term_and_no_posting_is_shuffled(spark, both, monkeypatch):
     monkeypatch.setattr(pruned, "read_postings", None)
     plan = pruned.top_passages(queries, "qid", "text", index)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_grounding_averages_over_few_passages(spark, both):
+    held, queries, index = both
+    full = grounding.write_index(held, "pid", "text", fresh_path(spark, "index"))
+    scores = {r["qid"]: r["grounding"] for r in pruned.grounding_scores(queries, "qid", "text", index, 3).collect()}
+    want = {r["qid"]: r["grounding"] for r in grounding.grounding_scores(queries, "qid", "text", full, 3).collect()}
+    assert scores == pytest.approx(want, abs=1e-9)
+
+
+def test_grounding_shuffles_no_terms(spark, both, monkeypatch):
+    _, queries, index = both
+    monkeypatch.setattr(pruned, "read_postings", None)
+    assert pruned.grounding_scores(queries, "qid", "text", index).count() == queries.count()
