@@ -16,10 +16,10 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from riskweave.operators.retrieval import blocks_best, cosine_topk
+from riskweave.operators.retrieval import block_counts, blocks_best, cosine_topk
 from riskweave.sources.local import small_frame
 
 #: Most cells of an index and rows its centroids are fitted on; both bound what is sent to tasks, whatever the corpus.
@@ -149,38 +149,99 @@ def choose_probes(queries: DataFrame, index: VectorIndex, k: int = 10, target: f
     return enough.agg(F.min("probes")).first()[0] or cells
 
 
-def ann_topk(queries: DataFrame, index: VectorIndex, k: int = 10, probes: int = 8, skip_same_id: bool = False, block_rows: int = 20_000) -> DataFrame:
+def _blocks_of_cells(sizes: dict[int, int], cells: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first block of each cell, and its blocks: cells in their order share one, and a crowded cell has several to itself.
+
+    Cells without a row have none. Blocks hold a ``count``-th of the rows and a cell that is not crowded besides, at most.
+    """
+    most, first, many = max(1, -(-sum(sizes.values()) // count)), np.full(cells, -1), np.zeros(cells, np.int64)
+    block, rows = 0, 0
+    for cell in sorted(sizes):
+        own = -(-sizes[cell] // most)
+        if rows and (own > 1 or rows + sizes[cell] > most):
+            block, rows = block + 1, 0
+        first[cell], many[cell] = block, own
+        if own > 1:
+            block, rows = block + own, 0
+        else:
+            rows += sizes[cell]
+    return first, many
+
+
+def _to_blocks(rows: DataFrame, centroids: np.ndarray, probes: int, first: np.ndarray, many: np.ndarray) -> DataFrame:
+    """``rows`` once for each block (``cb``) that holds one of their ``probes`` nearest cells, with the bits of its cells from ``bits_from`` on."""
+    cells, size = centroids.shape
+    probes, blocks = min(probes, cells), int((first + many).max())
+    added = StructType([*rows.schema.fields, StructField("_blocks", ArrayType(IntegerType())), StructField("_bits", BinaryType())])
+    step = max(1, min(4096, _SLICE_BYTES // (8 * (3 * cells + 2 * size + blocks))))
+    crowded = np.flatnonzero(many > 1)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                sims = -(_matrix(part.column("embedding"), size) @ centroids.T)
+                near = np.argsort(sims, axis=1, kind="stable")[:, :probes]
+                hit = np.zeros(sims.shape, bool)
+                np.put_along_axis(hit, near, True, axis=1)
+                hit &= many > 0
+                row, cell = np.nonzero(hit)
+                goes = np.zeros((len(hit), blocks), bool)
+                goes[row, first[cell]] = True
+                for c in crowded:
+                    goes[hit[:, c], first[c] : first[c] + many[c]] = True
+                ends = np.concatenate([[0], np.cumsum(goes.sum(axis=1))]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(ends, np.nonzero(goes)[1].astype(np.int32))
+                packed = np.packbits(hit, axis=1)
+                ends = (np.arange(len(hit) + 1) * packed.shape[1]).astype(np.int32)
+                bits = pa.Array.from_buffers(pa.binary(), len(hit), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(packed.tobytes())])
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, bits], [*part.schema.names, "_blocks", "_bits"])
+
+    listed = rows.mapInArrow(place, added).select(*rows.columns, "_bits", F.explode("_blocks").alias("cb"))
+    held = [np.flatnonzero((first <= b) & (b < first + many)) for b in range(blocks)]
+    begin, end = (F.array(*[F.lit(int(c[i]) // 8) for c in held]) for i in (0, -1))
+    own = F.get(begin, F.col("cb"))
+    return listed.select(*rows.columns, "cb", F.substring("_bits", own + 1, F.get(end, F.col("cb")) - own + 1).alias("bits"))
+
+
+def ann_topk(queries: DataFrame, index: VectorIndex, k: int = 10, probes: int = 8, skip_same_id: bool = False, block_rows: int | None = None) -> DataFrame:
     """Best k of the passages in the ``probes`` nearest cells of each query: (query_id, passage_id, similarity, rank).
 
     Queries are (query_id, embedding). Similarities and the order are those of the exact search; what can be missed are
-    passages in cells that are not probed. A query meets its cells only: it is copied once per probed cell, and once more
-    for each further ``block_rows`` rows of a crowded cell, whose rows are copied once per ``block_rows`` of its queries.
-    Each task holds one block of either side. Null ids and repeats are treated as by the exact search.
+    passages in cells that are not probed. Cells share blocks of about ``block_rows`` rows, or of bounded bytes, and a crowded
+    cell is cut into several. A query is copied once for each block with a cell that it probes, however many these are, and
+    meets its own cells there; a passage is copied once per block of queries. Each task holds one block of either side and
+    yields k rows per query. Null ids and repeats are treated as by the exact search.
     """
     spark, (cells, size) = queries.sparkSession, index.centroids.shape
     held = _held(spark, index) if cells else None
     passage = held.schema["passage_id"] if cells else StructField("passage_id", LongType())
     found = [queries.schema["query_id"], StructField("query_no", LongType()), passage]
     out = StructType([*found, StructField("similarity", DoubleType())])
-    if not cells:
+    sizes = {r["cell"]: r["n"] for r in held.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()} if cells else {}  # a row per cell at most
+    if not sizes:
         return spark.createDataFrame([], out).withColumn("rank", F.lit(0)).drop("query_no")
-    asked = queries.where(_usable(size)).select("query_id", F.xxhash64("query_id", "embedding").alias("query_no"), "embedding").distinct()
-    probed = _with_cells(asked, index.centroids, probes)
-    blocks = lambda n: F.ceil(F.col(n) / block_rows)
-    corpus_sizes, query_sizes = held.groupBy("cell").agg(F.count(F.lit(1)).alias("_c")), probed.groupBy("cell").agg(F.count(F.lit(1)).alias("_q"))
-    layout = corpus_sizes.join(query_sizes, "cell").select("cell", blocks("_c").alias("cbs"), blocks("_q").alias("qbs")).collect()  # a row per cell at most
-    layout = F.broadcast(small_frame(spark, layout, "cell int, cbs long, qbs long"))
-    zero = F.lit(0).cast("long")
-    left = probed.join(layout, "cell").withColumn("qb", F.pmod(F.xxhash64("query_no"), F.col("qbs"))).withColumn("cb", F.explode(F.sequence(zero, F.col("cbs") - 1)))
-    right = held.join(layout, "cell").withColumn("cb", F.pmod(F.xxhash64("passage_id", "embedding"), F.col("cbs"))).withColumn("qb", F.explode(F.sequence(zero, F.col("qbs") - 1)))
+    usable = queries.where(_usable(size))
+    asked = usable.select("query_id", F.xxhash64("query_id", "embedding").alias("query_no"), "embedding").distinct()
+    query_blocks, count = block_counts(spark, usable.count(), sum(sizes.values()), size, block_rows)
+    first, many = _blocks_of_cells(sizes, cells, count)
+    layout = F.broadcast(small_frame(spark, [(c, int(first[c]), int(many[c])) for c in sizes], "cell int, cb int, cbs int"))
+    left = _to_blocks(asked, index.centroids, probes, first, many).withColumn("qb", F.pmod(F.xxhash64("query_no"), F.lit(query_blocks)))
+    own = F.col("cb") + F.pmod(F.xxhash64("passage_id", "embedding"), F.col("cbs")).cast("int")
+    right = held.join(layout, "cell").withColumn("cb", own).withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))))
 
     def rank(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({f.name: [] for f in out})
-        return blocks_best(q, c, k, skip_same_id)
-
-    key = ["cell", "qb", "cb"]
-    partial = left.groupBy(*key).cogroup(right.select(*key, "passage_id", "embedding").groupBy(*key)).applyInPandas(rank, out)
+        c = c.sort_values("cell", kind="stable")
+        cell = c["cell"].to_numpy()
+        starts = np.flatnonzero(np.diff(cell, prepend=-1))
+        bits = np.frombuffer(b"".join(q["bits"]), np.uint8).reshape(len(q), -1)
+        met = np.unpackbits(bits, axis=1)[:, cell[starts] - cell[0] // 8 * 8].astype(bool)
+        return blocks_best(q, c, k, skip_same_id, starts=starts, met=met)
+
+    key = ["qb", "cb"]
+    partial = left.groupBy(*key).cogroup(right.select(*key, "passage_id", "embedding", "cell").groupBy(*key)).applyInPandas(rank, out)
     order = Window.partitionBy("query_id", "query_no").orderBy(F.desc("similarity"), F.asc("passage_id"))
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("query_no")
 
